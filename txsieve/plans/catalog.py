@@ -143,13 +143,14 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "history_scan",
     f"""select {columns_sql(TX_COLUMNS)}, fee_rate, fee_per_weight,
-        cast(transaction_time as date) as event_date from ({fx.ENRICHED_SQL})""",
+        strftime(transaction_time, '%Y-%m-%d') as event_date from ({fx.ENRICHED_SQL})""",
 )
 def history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "history")
     tx = fx.enriched_transactions(spark, sf_dir).drop("time", "label")
     history.append_history(tx, path, by_date=True)
-    return history.read_history(spark, path)
+    stored = history.read_history(spark, path)
+    return stored.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
 
 
 # --- scalar columns -------------------------------------------------------
@@ -251,7 +252,7 @@ def explain_all_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "rule_check",
-    f"""select hash as transaction_hash, case when broken then 1.5 else 0.2 end as anomaly_score,
+    f"""select hash as transaction_hash, cast(case when broken then 1.5 else 0.2 end as double) as anomaly_score,
         broken as is_anomaly, case when broken then
           'Potential anomaly detected: Unusual fee rate (' || printf('%.2f', rate)
           || ' satoshis/byte)'
@@ -320,7 +321,7 @@ def filtered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "filtered_kpis",
-    f"""select count(*) as total_transactions, count_if(is_anomaly) as total_anomalies,
+    f"""select count(*) as total_transactions, count(*) filter (where is_anomaly) as total_anomalies,
         round(avg(fee_rate), 6) as avg_fee_rate,
         round(cast(sum(size) as double) / count(size), 6) as avg_tx_size from ({_VIEW_SQL})""",
 )
@@ -385,7 +386,7 @@ select total_transactions, total_anomalies, round(avg_fee_rate, 6) as avg_fee_ra
        format('{{:,}}', total_anomalies) as total_anomalies_text,
        printf('%.2f', avg_fee_rate) as avg_fee_rate_text,
        printf('%.0f', avg_tx_size) as avg_tx_size_text
-from (select count(*) as total_transactions, count_if(is_anomaly) as total_anomalies,
+from (select count(*) as total_transactions, count(*) filter (where is_anomaly) as total_anomalies,
              avg(fee_rate) as avg_fee_rate, cast(sum(size) as double) / count(size) as avg_tx_size
       from ({source}))"""
 
@@ -423,7 +424,7 @@ def hourly_counts_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "hourly_stacked",
     f"""select date_trunc('hour', transaction_time) as hour,
-        count_if(not is_anomaly) as normal, count_if(is_anomaly) as anomalous,
+        count(*) filter (where not is_anomaly) as normal, count(*) filter (where is_anomaly) as anomalous,
         count(*) as total from ({fx.SCORED_SQL}) group by 1""",
 )
 def hourly_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,8 +477,8 @@ _METRIC_NAMES = [
     f"avg_{label}_{name}" for name in ("fee", "size", "fee_rate") for label in ("normal", "anomaly")
 ]
 _METRICS_SQL = f"""
-select count(*) as num_transactions, count_if(is_anomaly) as num_anomalies,
-       count_if(is_anomaly) / count(*) * 100 as anomaly_percentage,
+select count(*) as num_transactions, count(*) filter (where is_anomaly) as num_anomalies,
+       count(*) filter (where is_anomaly) / count(*) * 100 as anomaly_percentage,
        {", ".join(
            f"round(avg({name}) filter (where {condition}), 6) as avg_{label}_{name}"
            for name in ("fee", "size", "fee_rate")
@@ -653,7 +654,7 @@ _OBSERVED_SQL = "select event_type as endpoint, value / 10 as seconds from event
     "metric_le_histogram",
     "select n as count, round(total, 6) as sum, le, bucket_count from (select count(*) as n, "
     "sum(seconds) as total, "
-    + ", ".join(f"count_if(seconds <= {b}) as b{i}" for i, b in enumerate(monitoring.LATENCY_BUCKETS))
+    + ", ".join(f"count(*) filter (where seconds <= {b}) as b{i}" for i, b in enumerate(monitoring.LATENCY_BUCKETS))
     + f" from ({_OBSERVED_SQL})), lateral (values "
     + ", ".join(f"('{b}', b{i})" for i, b in enumerate(monitoring.LATENCY_BUCKETS))
     + ", ('+Inf', n)) buckets(le, bucket_count)",
@@ -693,7 +694,7 @@ def metric_table_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "metric_errors",
-    f"""select label, count_if(not ({ALL_PRESENT})) as value from ({fx.SCORED_SQL})
+    f"""select label, count(*) filter (where not ({ALL_PRESENT})) as value from ({fx.SCORED_SQL})
         group by label""",
 )
 def metric_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -710,9 +711,9 @@ def metric_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    events = messages.file_stream(spark, path, "parquet", schema)
+    schema = fx.table(spark, sf_dir, "events").schema
+    # A plain path of a stream must be a folder; a glob may also name one file.
+    events = messages.file_stream(spark, f"{sf_dir}/events.parque[t]", "parquet", schema)
     sent = records.to_messages(fx.as_transactions(events))
     return sent.select(F.col("value").cast("binary").alias("value"))
 
