@@ -26,7 +26,7 @@ from txsieve.schemas import (
     NODE_SCHEMA,
     SEED,
 )
-from txsieve.session import materialize
+from txsieve.session import materialize, ship_package
 
 EULER_GAMMA = 0.5772156649015329
 POOL_FACTOR = 8
@@ -60,36 +60,35 @@ def sample_trees(
     """``psi`` rows per tree, uniformly and without replacement.
 
     Every row gets one hash per tree; a tree takes the rows with the smallest
-    hashes. A hash cut first leaves about ``oversample * psi`` rows per tree, so
-    that only those are exploded and shuffled, and on a large table a first cut
-    keeps a pool that all trees draw from. The hash covers the row's identity
+    hashes. A cut on the hash leaves about ``oversample * psi`` rows per tree
+    right after the explode, so that only those are shuffled, and on a large
+    table an earlier cut keeps a pool that all trees draw from. The hash covers the row's identity
     and not its content: copies of a transaction are drawn independently, so a
     group of copies takes its share of a sample and never floods it.
 
+    Rows whose 64-bit hashes collide are ordered by content, which keeps the
+    choice reproducible.
+
     The second value tells whether the cuts left every row in (then a short
     sample cannot be extended).
     """
-    identity = F.xxhash64(F.col(row_id))
     pool = POOL_FACTOR * n_trees * psi
-    drawn = rows.select(row_id, identity.alias("row_hash"), *features)
+    drawn = rows.select(F.xxhash64(row_id).alias("row_hash"), *features)
     if total > 2 * pool:
         drawn = drawn.where(_hash_below(F.xxhash64("row_hash", F.lit(seed)), pool / total))
         share = oversample * psi / pool
     else:
         share = oversample * psi / total
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    drawn = drawn.withColumn(
+        "tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
+    ).withColumn("draw", F.xxhash64("row_hash", "tree_id", F.lit(seed)))
     if share < 1:
-        trees = F.filter(
-            trees,
-            lambda tree: _hash_below(F.xxhash64(F.col("row_hash"), tree, F.lit(seed)), share),
-        )
-    by_tree = Window.partitionBy("tree_id").orderBy("draw", row_id)
+        drawn = drawn.where(_hash_below(F.col("draw"), share))
+    by_tree = Window.partitionBy("tree_id").orderBy("draw", *features)
     tasks = min(n_trees, rows.sparkSession.sparkContext.defaultParallelism)
     sample = (
-        drawn.withColumn("tree_id", F.explode(trees))
-        .withColumn("draw", F.xxhash64("row_hash", "tree_id", F.lit(seed)))
         # A stated number of partitions is not coalesced, so trees grow in parallel.
-        .repartition(tasks, "tree_id")
+        drawn.repartition(tasks, "tree_id")
         .withColumn("place", F.row_number().over(by_tree))
         .where(F.col("place") <= psi)
         .select("tree_id", "place", *features)
@@ -125,6 +124,7 @@ def _grow(values: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 def grow_trees(sample: DataFrame, features: list[str], psi: int, seed: int) -> DataFrame:
     """Node table of the forest; a group holds the ``psi`` rows of one tree."""
+    ship_package(sample.sparkSession)
     max_depth = max(1, math.ceil(math.log2(psi)))
     names = ["node_id", "feature", "threshold", "left_id", "right_id", "n", "depth"]
 
@@ -202,6 +202,7 @@ class AnomalyModel:
 
         At most ``n_trees * (2 * psi - 1)`` nodes are broadcast.
         """
+        ship_package(spark)
         shared = spark.sparkContext.broadcast(
             Forest.from_nodes(self.nodes, self.n_trees, self.psi)
         )
@@ -263,10 +264,11 @@ def fit_isolation_forest(
 ) -> tuple[AnomalyModel, DataFrame]:
     """Fit on the complete rows of ``df`` and return the model and those rows scored.
 
-    ``row_id`` names a column that is unique per row and stable between scans,
-    such as the file position added by ``read_history(..., row_id=True)``. The
-    sample, and so the model, then depends on the seed and the stored rows but
-    not on how the scan is split into tasks.
+    ``row_id`` names a column that differs between rows and is stable between
+    scans, such as the file position added by ``read_history(..., row_id=True)``.
+    The sample, and so the model, then depends on the seed and the stored rows
+    but not on how the scan is split into tasks. ``df`` is scanned several times
+    and should be a stored table or a cheap projection of one.
 
     The rows are scored once: their uncapped features, the ``keep`` columns and
     the score go to a table in the shared folder, from which the offset that

@@ -554,17 +554,21 @@ def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.complete_rows(features.select_features(tx, FEATURES, "hash"))
 
 
+def _feature_rows(tx: DataFrame, *keep: str) -> DataFrame:
+    """Complete feature rows, stored because fitting scans them several times."""
+    rows = features.complete_rows(features.select_features(tx, FEATURES, *keep))
+    return materialize(rows, "features")
+
+
 @register("feature_caps", _caps_sql(fx.ENRICHED_SQL))
 def feature_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features.complete_rows(fx.enriched_transactions(spark, sf_dir))
+    rows = _feature_rows(fx.enriched_transactions(spark, sf_dir))
     return rounded(features.caps_frame(rows, features.feature_caps(rows)), "cap")
 
 
 @register("feature_caps_orders", _caps_sql(fx.TX_ENRICHED_SQL))
 def feature_caps_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Caps of a joined frame: stored first, because caps need several scans."""
-    tx = enrich.with_ratios(fx.order_transactions(spark, sf_dir))
-    rows = materialize(features.complete_rows(features.select_features(tx)), "features")
+    rows = _feature_rows(enrich.with_ratios(fx.order_transactions(spark, sf_dir)))
     return rounded(features.caps_frame(rows, features.feature_caps(rows)), "cap")
 
 
@@ -586,8 +590,7 @@ def feature_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     "winsorize_p99", f"select hash, {rounded_sql(FEATURES)} from ({_capped_sql(fx.ENRICHED_SQL)})"
 )
 def winsorize_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = fx.enriched_transactions(spark, sf_dir)
-    rows = features.complete_rows(features.select_features(tx, FEATURES, "hash"))
+    rows = _feature_rows(fx.enriched_transactions(spark, sf_dir), "hash")
     return rounded(features.winsorize(rows, features.feature_caps(rows)), *FEATURES)
 
 
@@ -603,8 +606,7 @@ def _zscore_sql(source: str) -> str:
 
 @register("zscore_features", _zscore_sql(fx.ENRICHED_SQL))
 def zscore_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = fx.enriched_transactions(spark, sf_dir)
-    rows = features.complete_rows(features.select_features(tx, FEATURES, "hash"))
+    rows = _feature_rows(fx.enriched_transactions(spark, sf_dir), "hash")
     fitted = features.Preprocessor.fit(rows)
     return rounded(fitted.transform(rows, "hash"), *FEATURES)
 
@@ -752,16 +754,21 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- anomaly model --------------------------------------------------------
 
 
+def _stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identified transactions as a table, which is what training expects to read."""
+    return materialize(fx.identified_transactions(spark, sf_dir), "transactions")
+
+
 @register("iforest_fit")
 def iforest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node table of the fitted forest."""
-    model, _ = fit_isolation_forest(fx.identified_transactions(spark, sf_dir))
+    model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
     return spark.createDataFrame(model.nodes, NODE_SCHEMA)
 
 
 @register("iforest_score")
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = fx.identified_transactions(spark, sf_dir)
+    tx = _stored_transactions(spark, sf_dir)
     model, _ = fit_isolation_forest(tx)
     return model.score(tx).select("hash", "anomaly_score", "is_anomaly")
 
@@ -769,7 +776,7 @@ def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_latest_version")
 def model_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "models")
-    model, _ = fit_isolation_forest(fx.identified_transactions(spark, sf_dir))
+    model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
     registry.save_model(spark, path, model)
     registry.save_model(spark, path, model)
     return registry.latest_params(spark, path).drop("created_at")
@@ -787,7 +794,7 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("score_report")
 def score_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = fx.identified_transactions(spark, sf_dir)
+    tx = _stored_transactions(spark, sf_dir)
     model, _ = fit_isolation_forest(tx)
     return score_report(tx, model)
 
@@ -795,7 +802,7 @@ def score_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_score")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-scores")
-    model, _ = fit_isolation_forest(fx.identified_transactions(spark, sf_dir))
+    model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
     tx = pipelines.enriched(_message_stream(spark, sf_dir))
     query = pipelines.start_scores(
         tx, model, f"{path}/table", f"{path}/checkpoint", trigger=None

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import importlib.util
+import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +40,24 @@ def build_session(app: str = "txsieve", master: str | None = None, **conf: objec
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Operators with Python code call it, so the package works from a plain
+    checkout; with ``--py-files`` or an installed package it changes nothing.
+    """
+    archive_name = f"{__package__}_package.zip"
+    context = spark.sparkContext
+    if any(path.endswith(archive_name) for path in context.listFiles):
+        return
+    package = pathlib.Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="txsieve-"), archive_name)
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 

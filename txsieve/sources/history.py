@@ -24,14 +24,12 @@ def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> b
 
 
 def file_position() -> Column:
-    """Identity of a stored row: its file and its place in the file.
+    """Identity of a stored row: a hash of its file and its place in the file.
 
-    Unique even among exact copies, and the same in every scan however the
-    files are split into tasks.
+    It differs even among exact copies, and it is the same in every scan
+    however the files are split into tasks.
     """
-    return F.concat_ws(
-        "#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")
-    )
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
 
 
 def read_history(
