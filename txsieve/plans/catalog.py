@@ -556,8 +556,8 @@ def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feature_rows(tx: DataFrame, *keep: str) -> DataFrame:
     """Complete feature rows, stored because fitting scans them several times."""
-    rows = features.complete_rows(features.select_features(tx, FEATURES, *keep))
-    return materialize(rows, "features")
+    stored = materialize(features.select_features(tx, FEATURES, *keep), "features")
+    return features.complete_rows(stored)
 
 
 @register("feature_caps", _caps_sql(fx.ENRICHED_SQL))

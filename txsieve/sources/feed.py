@@ -9,11 +9,11 @@ from txsieve.operators.records import explode_feed
 
 def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """Nested transactions of all documents below ``path``; bad documents give none."""
-    documents = spark.read.option("wholetext", str(whole_files).lower()).text(path)
+    documents = spark.read.text(path, wholetext=whole_files)
     return explode_feed(documents)
 
 
 def stream_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """The same for documents that keep landing."""
-    documents = spark.readStream.option("wholetext", str(whole_files).lower()).text(path)
+    documents = spark.readStream.text(path, wholetext=whole_files)
     return explode_feed(documents)
