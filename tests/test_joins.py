@@ -17,8 +17,8 @@ def test_hot_key_with_many_copies(spark):
         (F.col("fee") / 3000).alias("anomaly_score"),
         (F.col("fee") > 2990).alias("is_anomaly"),
     )
-    assert "hot" in joins.hot_keys(left, "hash")
-    joined = joins.attach_scores(left, scores, salts=4)
+    assert "hot" in joins.hot_keys(left, "hash", 0.01)
+    joined = joins.attach_scores(left, scores, reducers=4)
     assert joined.count() == 3000
     assert joined.columns == ["hash", "fee", "anomaly_score", "is_anomaly"]
     hot = joined.where("hash = 'hot'")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from txsieve.operators import records
 from txsieve.operators.windows import window_stats
+from txsieve.plans import jobs
 from txsieve.sources import messages
 from txsieve.streaming import pipelines, progress
 
@@ -56,6 +57,7 @@ def test_stream_equals_batch_on_closed_windows_and_restarts(spark, tmp_path):
     assert spark.read.parquet(f"{out}/tables/history").count() == 7
     after = spark.read.parquet(f"{out}/tables/window_stats")
     assert after.count() == 4 and after.agg(F.sum("transaction_count")).first()[0] == 5
+    assert all(progress.processing_seconds(p) > 0 for p in queries[1].recentProgress)
     dropped = [progress.rows_dropped_late(p) for p in queries[1].recentProgress]
     assert sum(dropped) == 1
 
@@ -89,6 +91,16 @@ def test_interval_trigger_keeps_running_until_stopped(spark, tmp_path):
     assert spark.read.parquet(f"{out}/t").count() == 1
 
 
+def test_stream_job_waits_for_its_queries(spark, tmp_path):
+    folder, out = str(tmp_path / "messages"), str(tmp_path / "out")
+    send(spark, folder, 0, 1, 2)
+    stream = messages.file_stream(spark, folder)
+    jobs.stream(stream, f"{out}/t", f"{out}/c", trigger=None)
+    for query in spark.streams.active:
+        query.awaitTermination()
+    assert spark.read.parquet(f"{out}/t/history").count() == 3
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         messages.kafka_stream(spark, "host:1", "topic")

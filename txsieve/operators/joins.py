@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
-SALTS = 64
+MOST_HOT_KEYS = 1000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
     """Keys that may hold more than ``share`` of all rows: at most ``1 / share``.
 
     The frequent-items sketch misses no such key but may name others; a key
@@ -20,30 +19,31 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def attach_scores(
-    df: DataFrame,
-    scores: DataFrame,
-    key: str = "hash",
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    df: DataFrame, scores: DataFrame, key: str = "hash", reducers: int | None = None
 ) -> DataFrame:
     """Inner join of transactions to their predictions.
 
     The score side is reduced to one row per key (the highest score, flagged if
-    any copy is), so copies of a transaction never pair up with each other.
-    Rows of a hot key are spread over ``salts`` reducers by their input task,
-    with its one score row copied to each. Scores computed in place by
+    any copy is), so copies of a transaction never pair up with each other. A
+    key with more rows than a reducer's fair share is spread over all
+    ``reducers`` (default: the shuffle partitions of the session) by input
+    task, with its one score row copied to each; at most ``MOST_HOT_KEYS`` keys
+    are treated so, which bounds the copies. Scores computed in place by
     ``AnomalyModel.score`` need no join at all; this is for predictions that
     live in a table of their own.
     """
+    if reducers is None:
+        reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_key = scores.groupBy(key).agg(
         F.max("anomaly_score").alias("anomaly_score"), F.bool_or("is_anomaly").alias("is_anomaly")
     )
-    hot = hot_keys(df, key, share)
+    hot = hot_keys(df, key, 1 / min(reducers, MOST_HOT_KEYS))
     if not hot:
         return df.join(per_key, key, "inner")
     is_hot: Column = F.col(key).isin(hot)
-    spread = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    # The input task is the same when a task is retried, unlike a random number.
+    spread = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(reducers))).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(reducers - 1))).otherwise(F.array(F.lit(0)))
     left = df.withColumn("_salt", spread.cast("int"))
     right = per_key.withColumn("_salt", F.explode(copies))
     return left.join(right, [key, "_salt"], "inner").drop("_salt")

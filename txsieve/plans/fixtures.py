@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from txsieve.operators.enrich import flag_by_threshold, with_ratios
 from txsieve.sources.history import file_position
 
-MALFORMED_EVERY = 97
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -163,7 +161,8 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each holds one to three nested transactions, built from the row alone. All
     irregular shapes occur: no ``inputs`` key, empty ``inputs``, an input
-    without ``prev_out``, an output without ``value``, and text that is no JSON.
+    without ``prev_out`` and an output without ``value``. Error events land a
+    second text that is no JSON, next to their document.
     """
     zero_based = F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int"))
     tx = event_transactions(spark, sf_dir, "event_id")
@@ -192,9 +191,8 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     document = F.to_json(F.struct(F.transform(zero_based, a_transaction).alias("txs")))
     broken = F.concat(F.lit("not json "), F.col("hash"))
-    return tx.select(
-        F.when(F.col("event_id") % MALFORMED_EVERY == 0, broken).otherwise(document).alias("value")
-    )
+    landed = F.when(F.col("label") == "error", F.array(document, broken))
+    return tx.select(F.explode(landed.otherwise(F.array(document))).alias("value"))
 
 
 FEED_SQL = f"""
@@ -208,4 +206,4 @@ select hash || '_' || j as hash, time, size, weight, fee + j as fee,
        (select coalesce(sum(case when k % 3 <> 0 then 1000 * size + k end), 0)
         from range(1, outputs_count + 1) r(k)) as output_value
 from (select *, unnest(range(0, event_id % 3 + 1)) as j
-      from ({TXE_SQL}) where event_id % {MALFORMED_EVERY} <> 0)"""
+      from ({TXE_SQL}))"""

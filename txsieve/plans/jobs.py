@@ -80,5 +80,7 @@ def score(transactions: DataFrame, models: str, version: int | None = None) -> D
 
 def stream(messages: DataFrame, out: str, checkpoint: str, **settings: object) -> None:
     """Run the message pipeline until one of its queries ends."""
+    streams = messages.sparkSession.streams
+    streams.resetTerminated()  # queries that ended earlier must not end this wait
     start_pipeline(messages, out, checkpoint, **settings)
-    messages.sparkSession.streams.awaitAnyTermination()
+    streams.awaitAnyTermination()

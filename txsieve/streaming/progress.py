@@ -35,3 +35,8 @@ def _partitions(offsets: object) -> dict[tuple[str, str], int]:
 def rows_dropped_late(progress: Mapping) -> int:
     """Rows that arrived below the watermark and were left out of the statistics."""
     return sum(state["numRowsDroppedByWatermark"] for state in progress["stateOperators"])
+
+
+def processing_seconds(progress: Mapping) -> float:
+    """Wall time of the batch, an observation for the latency histogram."""
+    return progress["durationMs"]["triggerExecution"] / 1000
