@@ -32,9 +32,10 @@ def table(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("rankable", [10, 700, 10**6])
-@pytest.mark.parametrize("q", [0.0, 0.01, 0.335, 0.9, 0.99, 1.0])
-def test_equals_numpy_however_many_rounds(table, q, rankable):
+@pytest.mark.parametrize("rankable, sample", [(10, quantiles.SAMPLE_ROWS), (700, 300)])
+@pytest.mark.parametrize("q", [0.0, 0.335, 0.99, 1.0])
+def test_equals_numpy_however_many_rounds(table, q, rankable, sample, monkeypatch):
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", sample)
     pdf = table.toPandas()
     found = exact_quantiles(table, table.columns, q, rankable=rankable)
     for name in table.columns:
@@ -45,18 +46,25 @@ def test_equals_numpy_however_many_rounds(table, q, rankable):
             assert found[name] == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-12)
 
 
+def test_few_rows_use_the_builtin(table):
+    found = exact_quantiles(table, ["smooth", "nothing"], 0.9)
+    assert found["smooth"] == pytest.approx(np.quantile(table.toPandas()["smooth"], 0.9))
+    assert found["nothing"] is None
+
+
 def test_rounds_are_few(table, monkeypatch):
     scans = []
     narrow = quantiles._narrow_by_scan
     monkeypatch.setattr(
         quantiles, "_narrow_by_scan", lambda *args: (scans.append(1), narrow(*args))[1]
     )
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", 2000)
     exact_quantiles(table, ["smooth", "heavy"], 0.99, rankable=50)
     assert len(scans) <= 4
 
 
 @settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     values=st.lists(st.integers(-3, 3) | st.floats(-1e6, 1e6), min_size=1, max_size=40),
@@ -69,11 +77,11 @@ def test_small_inputs(spark, values, q):
 
 
 def test_wrong_guess_still_ends_right(table, monkeypatch):
-    """A sketch that proposes useless cut points costs scans, not correctness."""
+    """A sample that proposes useless cut points costs scans, not correctness."""
     monkeypatch.setattr(
         quantiles._Search,
         "propose",
-        lambda self, grid: setattr(self, "cuts", (grid[0], grid[5]) if grid else ()),
+        lambda self, grid, share: setattr(self, "cuts", (grid[0], grid[5]) if grid else ()),
     )
     values = table.toPandas()["smooth"]
     found = exact_quantiles(table, ["smooth"], 0.02, rankable=19_000)["smooth"]

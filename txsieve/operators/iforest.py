@@ -270,11 +270,11 @@ def fit_isolation_forest(
     but not on how the scan is split into tasks. ``df`` is scanned several times
     and should be a stored table or a cheap projection of one.
 
-    The rows are scored once: their uncapped features, the ``keep`` columns and
-    the score go to a table in the shared folder, from which the offset that
-    flags the ``contamination`` share is computed.
+    The rows are scored once: the score and the ``keep`` columns go to a table
+    in the shared folder, from which the offset that flags the
+    ``contamination`` share is computed.
     """
-    rows = complete_rows(df.select(*keep, row_id, *features), features)
+    rows = complete_rows(df.select(*dict.fromkeys([*keep, row_id, *features])), features)
     total = rows.count()
     preprocessor = Preprocessor.fit(rows, features, method=caps, rows=total)
     scaled = preprocessor.transform(rows, row_id)
@@ -283,17 +283,12 @@ def fit_isolation_forest(
         preprocessor, nodes, n_trees, psi, seed, contamination, trained_rows=total
     )
     scored = materialize(
-        rows.select(
-            *keep, *features, model.raw_score(df.sparkSession).alias("raw_score")
-        ),
-        "scored",
+        rows.select(*keep, model.raw_score(df.sparkSession).alias("raw_score")), "scored"
     )
     offset = exact_quantiles(scored, ["raw_score"], 1 - contamination, rows=total)["raw_score"]
     model = replace(model, offset=offset)
     flagged = scored.select(
-        *keep,
-        *features,
-        (F.col("raw_score") - F.lit(offset)).alias("anomaly_score"),
+        *keep, (F.col("raw_score") - F.lit(offset)).alias("anomaly_score")
     ).withColumn("is_anomaly", F.col("anomaly_score") > 0)
     return model, flagged
 

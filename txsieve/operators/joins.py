@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_HOT_KEYS = 1000
+MOST_HOT_SHARES = 1000
+SAMPLE_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """Keys that may hold more than ``share`` of all rows: at most ``1 / share``.
+    """Keys that probably hold more than ``share`` of all rows; fewer than ``2 / share``.
 
-    The frequent-items sketch misses no such key but may name others; a key
-    named without need costs a few copied rows and changes no result.
+    Estimated on a sample of about a million rows (all rows of a smaller
+    frame), with half the share as the limit so that a hot key is hardly ever
+    missed. The answer steers how rows are spread and changes no result.
     """
-    found = df.where(F.col(key).isNotNull()).select(key).freqItems([key], share).first()[0]
-    return list(found or [])
+    keys = df.where(F.col(key).isNotNull()).select(key)
+    total = keys.count()
+    if total > SAMPLE_ROWS:
+        keys = keys.sample(SAMPLE_ROWS / total, seed=0)
+    limit = share / 2 * min(total, SAMPLE_ROWS)
+    return [row[0] for row in keys.groupBy(key).count().where(F.col("count") > limit).collect()]
 
 
 def attach_scores(
@@ -27,17 +33,17 @@ def attach_scores(
     any copy is), so copies of a transaction never pair up with each other. A
     key with more rows than a reducer's fair share is spread over all
     ``reducers`` (default: the shuffle partitions of the session) by input
-    task, with its one score row copied to each; at most ``MOST_HOT_KEYS`` keys
-    are treated so, which bounds the copies. Scores computed in place by
-    ``AnomalyModel.score`` need no join at all; this is for predictions that
-    live in a table of their own.
+    task, with its one score row copied to each; there are fewer than
+    ``2 * MOST_HOT_SHARES`` such keys, which bounds the copies. Scores computed
+    in place by ``AnomalyModel.score`` need no join at all; this is for
+    predictions that live in a table of their own.
     """
     if reducers is None:
         reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_key = scores.groupBy(key).agg(
         F.max("anomaly_score").alias("anomaly_score"), F.bool_or("is_anomaly").alias("is_anomaly")
     )
-    hot = hot_keys(df, key, 1 / min(reducers, MOST_HOT_KEYS))
+    hot = hot_keys(df, key, 1 / min(reducers, MOST_HOT_SHARES))
     if not hot:
         return df.join(per_key, key, "inner")
     is_hot: Column = F.col(key).isin(hot)

@@ -1,12 +1,14 @@
 """Exact quantiles of very large columns.
 
 The built-in ``percentile`` keeps every distinct value of a group in one task,
-which a large table of doubles does not allow. Here a bounded sketch only
-proposes cut points; exact counts decide between which cut points the wanted
-rank lies; and the surviving values are ranked once few enough are left. Each
-round is one scan whose partial state has a constant size, and each scan
-divides the candidates by about a thousand. Columns with few rows skip the
-rounds and go straight to ``percentile``.
+which a large table of doubles does not allow; quantile sketches are small per
+task but add up when hundreds of thousands of tasks send one to a single
+reducer. Here a small random sample only proposes cut points; exact counts over
+all rows decide between which cut points the wanted rank lies; and the rows
+left there are ranked once they are few. Each round is one scan that sends a
+few counts and the sample to the reducer, and each round divides the candidates
+by a few hundred. An unlucky sample costs another round and never changes the
+result. Columns with few rows skip the rounds and go straight to ``percentile``.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+SAMPLE_ROWS = 400_000
+RANKABLE_ROWS = 400_000
 GRID_STEPS = 1_000
-RANKABLE_VALUES = 200_000
+DEVIATIONS = 5
 
 
 @dataclass
@@ -27,7 +30,8 @@ class _Search:
     """Where the value of a 0-based rank can be: strictly between two values.
 
     ``before`` rows are at or below ``low``; ``inside`` rows lie strictly
-    between the bounds. ``cuts`` are unproven cut points for the next scan.
+    between the bounds. ``cuts`` are unproven cut points for the next scan, and
+    ``expected`` is the number of rows they are expected to enclose.
     """
 
     rank: int
@@ -36,46 +40,52 @@ class _Search:
     high: float | None = None
     before: int = 0
     cuts: tuple[float, ...] = ()
+    expected: float = 0.0
     found: float | None = None
     up_to_found: int = 0
 
-    def interval(self, value: Column) -> Column:
+    def between(self, value: Column, guessed: bool = False) -> Column:
+        """Whether a value lies inside the proven, or else the guessed, interval."""
+        low, high = (self.cuts[0], self.cuts[-1]) if guessed and self.cuts else (self.low, self.high)
         inside = value.isNotNull()
-        if self.low is not None:
-            inside = inside & (value > F.lit(self.low))
-        if self.high is not None:
-            inside = inside & (value < F.lit(self.high))
+        if low is not None:
+            inside = inside & (value > F.lit(low))
+        if high is not None:
+            inside = inside & (value < F.lit(high))
         return inside
 
-    def guess(self) -> tuple[float | None, float | None]:
-        """Open interval expected to hold the rank, for the sketch of a scan."""
-        return (self.cuts[0], self.cuts[-1]) if self.cuts else (self.low, self.high)
+    def sample_share(self) -> float:
+        return min(1.0, SAMPLE_ROWS / max(1.0, self.expected if self.cuts else self.inside))
 
     def narrow(self, counts: list[tuple[float, int, int]]) -> bool:
         """Use exact ``(cut, rows below, rows at or below)``; True if the guess held."""
-        low, high, before, after = self.low, self.high, self.before, self.before + self.inside
+        after = self.before + self.inside
         for cut, below, up_to in counts:
             if below <= self.rank < up_to:
                 self.found, self.up_to_found = cut, up_to
                 return False
             if up_to <= self.rank:
-                low, before = cut, up_to
-            elif high is None or cut < high:
-                high, after = min(cut, high) if high is not None else cut, min(after, below)
-        self.low, self.high, self.before, self.inside = low, high, before, after - before
-        held = bool(counts) and (low, high) == (counts[0][0], counts[-1][0])
-        return held or not counts
-
-    def propose(self, grid: list[float] | None) -> None:
-        """Pick the two sketch values around the wanted relative rank."""
+                self.low, self.before = cut, up_to
+            elif self.high is None or cut < self.high:
+                self.high, after = cut, below
+        self.inside = after - self.before
+        return not counts or (self.low, self.high) == (counts[0][0], counts[-1][0])
+
+    def propose(self, grid: list[float] | None, share: float) -> None:
+        """Pick the sampled values around the wanted relative rank.
+
+        They lie ``DEVIATIONS`` standard errors of a sampled rank apart from it.
+        """
         self.cuts = ()
         if not grid or self.inside == 0:
             return
-        place = (self.rank - self.before) / self.inside * GRID_STEPS
-        margin = 2 * GRID_STEPS / SKETCH_ACCURACY
-        first = max(0, math.floor(place - margin))
-        last = min(GRID_STEPS, math.ceil(place + margin))
+        place = (self.rank - self.before) / self.inside
+        spread = max(place * (1 - place), 1e-4) * (1 - share)  # a full sample has no error
+        error = DEVIATIONS * math.sqrt(spread / (self.inside * share))
+        first = max(0, math.floor((place - error) * GRID_STEPS))
+        last = min(GRID_STEPS, math.ceil((place + error) * GRID_STEPS))
         self.cuts = tuple(sorted({grid[first], grid[last]}))
+        self.expected = self.inside * (last - first) / GRID_STEPS
 
 
 def exact_quantiles(
@@ -83,7 +93,7 @@ def exact_quantiles(
     columns: list[str],
     q: float,
     rows: int | None = None,
-    rankable: int = RANKABLE_VALUES,
+    rankable: int = RANKABLE_ROWS,
 ) -> dict[str, float | None]:
     """Exact ``q`` quantile of each column, interpolated linearly.
 
@@ -115,8 +125,8 @@ def exact_quantiles(
     neighbours = _rank_candidates(
         values, {name: search for name, search in searches.items() if search.found is None}
     )
-    for name, (lower, up_to) in neighbours.items():
-        searches[name].found, searches[name].up_to_found = lower, up_to
+    for name, (value, up_to) in neighbours.items():
+        searches[name].found, searches[name].up_to_found = value, up_to
     following = _next_values(
         values,
         {
@@ -135,7 +145,7 @@ def exact_quantiles(
 
 
 def approximate_quantiles(
-    df: DataFrame, columns: list[str], q: float, accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, columns: list[str], q: float, accuracy: int = 10_000
 ) -> dict[str, float | None]:
     """One-scan alternative with a relative rank error of ``1 / accuracy``."""
     row = df.agg(
@@ -148,30 +158,30 @@ def approximate_quantiles(
 
 
 def _narrow_by_scan(values: DataFrame, searches: dict[str, _Search]) -> None:
+    """One scan: count at the cut points and sample between them."""
     grid_points = F.expr(f"array({','.join(f'{i / GRID_STEPS}D' for i in range(GRID_STEPS + 1))})")
+    drawn = values.withColumn("_draw", F.rand(0))
+    shares = {name: search.sample_share() for name, search in searches.items()}
     aggregates = []
     for name, search in searches.items():
         value = F.col(name)
-        low, high = search.guess()
-        probe = _Search(rank=0, inside=0, low=low, high=high)
+        taken = search.between(value, guessed=True) & (F.col("_draw") < F.lit(shares[name]))
         aggregates.append(
-            F.percentile_approx(
-                F.when(probe.interval(value), value), grid_points, SKETCH_ACCURACY
-            ).alias(f"{name}.grid")
+            F.percentile(F.when(taken, value), grid_points).alias(f"{name}.grid")
         )
         for i, cut in enumerate(search.cuts):
             aggregates.append(F.count_if(value < F.lit(cut)).alias(f"{name}.below{i}"))
             aggregates.append(F.count_if(value <= F.lit(cut)).alias(f"{name}.upto{i}"))
-    row = values.agg(*aggregates).first()
+    row = drawn.agg(*aggregates).first()
     for name, search in searches.items():
         counts = [
             (cut, row[f"{name}.below{i}"], row[f"{name}.upto{i}"])
             for i, cut in enumerate(search.cuts)
         ]
         held = search.narrow(counts)
-        # A sketch of an interval that turned out wrong says nothing; the next
-        # scan then takes a new one over the interval now proven.
-        search.propose(row[f"{name}.grid"] if held else None)
+        # A sample of an interval that turned out wrong says nothing; the next
+        # scan then draws a new one over the interval now proven.
+        search.propose(row[f"{name}.grid"] if held else None, shares[name])
 
 
 def _rank_candidates(
@@ -186,7 +196,7 @@ def _rank_candidates(
         return {}
     candidates = [
         F.when(
-            search.interval(F.col(name)),
+            search.between(F.col(name)),
             F.struct(F.lit(name).alias("name"), F.col(name).alias("value")),
         )
         for name, search in searches.items()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from txsieve.operators.iforest import AnomalyModel, fit_isolation_forest
 from txsieve.operators.reports import model_metrics
 from txsieve.operators.scoring import score_report
-from txsieve.schemas import CONTAMINATION, MAX_SAMPLES, N_TREES, SEED
+from txsieve.schemas import CONTAMINATION, FEATURES, MAX_SAMPLES, N_TREES, SEED
 from txsieve.sources.exports import write_anomalies_csv
 from txsieve.sources.history import DEFAULT_FORMAT, read_history
 from txsieve.sources.registry import load_model, save_model
@@ -31,7 +31,7 @@ class TrainingRun:
 def train_on(
     rows: DataFrame,
     out: str,
-    keep: tuple[str, ...] = ("hash",),
+    keep: tuple[str, ...] = ("hash", *FEATURES),
     n_trees: int = N_TREES,
     max_samples: int = MAX_SAMPLES,
     contamination: float = CONTAMINATION,
@@ -40,7 +40,8 @@ def train_on(
 ) -> TrainingRun:
     """Fit, measure, log, register and export below ``out``.
 
-    ``rows`` carries a ``row_id`` column, see ``fit_isolation_forest``.
+    ``rows`` carries a ``row_id`` column, see ``fit_isolation_forest``. Metrics
+    and export use the ``keep`` columns, with features uncapped.
     """
     spark = rows.sparkSession
     run_id = uuid.uuid4().hex
