@@ -74,14 +74,15 @@ class _Search:
     def propose(self, grid: list[float] | None, share: float) -> None:
         """Pick the sampled values around the wanted relative rank.
 
-        They lie ``DEVIATIONS`` standard errors of a sampled rank apart from it.
+        They lie ``DEVIATIONS`` standard errors of a sampled rank, and one row,
+        apart from it.
         """
         self.cuts = ()
         if not grid or self.inside == 0:
             return
         place = (self.rank - self.before) / self.inside
         spread = max(place * (1 - place), 1e-4) * (1 - share)  # a full sample has no error
-        error = DEVIATIONS * math.sqrt(spread / (self.inside * share))
+        error = DEVIATIONS * math.sqrt(spread / (self.inside * share)) + 1 / self.inside
         first = max(0, math.floor((place - error) * GRID_STEPS))
         last = min(GRID_STEPS, math.ceil((place + error) * GRID_STEPS))
         self.cuts = tuple(sorted({grid[first], grid[last]}))
