@@ -89,7 +89,9 @@ def test_wrong_guess_still_ends_right(table, monkeypatch):
 
 
 def test_approximate_mode_is_close(table):
-    found = approximate_quantiles(table, ["smooth"], 0.99)["smooth"]
+    found = approximate_quantiles(table, ["smooth", "nothing", "gaps"], 0.99)
+    assert found["nothing"] is None and found["gaps"] is not None
+    found = found["smooth"]
     values = np.sort(table.toPandas()["smooth"])
     rank = np.searchsorted(values, found) / len(values)
     assert abs(rank - 0.99) < 0.001

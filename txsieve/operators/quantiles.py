@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 400_000
 RANKABLE_ROWS = 400_000
 GRID_STEPS = 1_000
+GRID_ACCURACY = 10_000
 DEVIATIONS = 5
+SKETCH_SIZE = 4_000
+SKETCH_GROUPS = 256
 
 
 @dataclass
@@ -74,15 +77,16 @@ class _Search:
     def propose(self, grid: list[float] | None, share: float) -> None:
         """Pick the sampled values around the wanted relative rank.
 
-        They lie ``DEVIATIONS`` standard errors of a sampled rank, and one row,
-        apart from it.
+        They lie ``DEVIATIONS`` standard errors of a sampled rank, one row and
+        the error of the grid apart from it.
         """
         self.cuts = ()
         if not grid or self.inside == 0:
             return
         place = (self.rank - self.before) / self.inside
         spread = max(place * (1 - place), 1e-4) * (1 - share)  # a full sample has no error
-        error = DEVIATIONS * math.sqrt(spread / (self.inside * share)) + 1 / self.inside
+        error = DEVIATIONS * math.sqrt(spread / (self.inside * share))
+        error += 1 / self.inside + 1 / GRID_ACCURACY
         first = max(0, math.floor((place - error) * GRID_STEPS))
         last = min(GRID_STEPS, math.ceil((place + error) * GRID_STEPS))
         self.cuts = tuple(sorted({grid[first], grid[last]}))
@@ -121,7 +125,7 @@ def exact_quantiles(
         for name, search in searches.items()
         if search.found is None and search.inside > rankable
     }:
-        _narrow_by_scan(values, wide)
+        _narrow_by_scan(values, wide, rankable)
 
     neighbours = _rank_candidates(
         values, {name: search for name, search in searches.items() if search.found is None}
@@ -146,30 +150,57 @@ def exact_quantiles(
 
 
 def approximate_quantiles(
-    df: DataFrame, columns: list[str], q: float, accuracy: int = 10_000
+    df: DataFrame, columns: list[str], q: float, k: int = SKETCH_SIZE
 ) -> dict[str, float | None]:
-    """One-scan alternative with a relative rank error of ``1 / accuracy``."""
-    row = df.agg(
+    """One-scan alternative: KLL sketches, a rank error below 0.1 % for the default size.
+
+    The sketches of all tasks are first merged into ``SKETCH_GROUPS`` and then
+    into one, so that no reducer receives one from every task.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    values = df.select(group, *[F.col(name).cast("double").alias(name) for name in columns])
+    partial = values.groupBy("_group").agg(
+        *[F.kll_sketch_agg_double(name, k).alias(name) for name in columns]
+    )
+    merged = partial.agg(*[F.kll_merge_agg_double(name).alias(name) for name in columns])
+    row = merged.select(
         *[
-            F.percentile_approx(F.col(name).cast("double"), q, accuracy).alias(name)
+            F.when(
+                F.kll_sketch_get_n_double(name) > 0,
+                F.kll_sketch_get_quantile_double(name, F.lit(float(q))),
+            ).alias(name)
             for name in columns
         ]
     ).first()
     return row.asDict()
 
 
-def _narrow_by_scan(values: DataFrame, searches: dict[str, _Search]) -> None:
-    """One scan: count at the cut points and sample between them."""
+def _narrow_by_scan(values: DataFrame, searches: dict[str, _Search], rankable: int) -> None:
+    """One scan: count at the cut points and, while many rows are left, sample between them.
+
+    The sampled values are computed in a projection of their own, which is
+    compiled, whereas expressions inside the sketch function would be interpreted.
+    """
     grid_points = F.expr(f"array({','.join(f'{i / GRID_STEPS}D' for i in range(GRID_STEPS + 1))})")
-    drawn = values.withColumn("_draw", F.rand(0))
-    shares = {name: search.sample_share() for name, search in searches.items()}
-    aggregates = []
+    sampled = {name: s for name, s in searches.items() if not s.cuts or s.expected > rankable}
+    shares = {name: search.sample_share() for name, search in sampled.items()}
+    drawn = values.withColumn("_draw", F.rand(0)).select(
+        *searches,
+        *[
+            F.when(
+                search.between(F.col(name), guessed=True) & (F.col("_draw") < F.lit(shares[name])),
+                F.col(name),
+            ).alias(f"_{name}")
+            for name, search in sampled.items()
+        ],
+    )
+    # Over a bounded sample the sketches are bounded in total, not only per task.
+    aggregates = [
+        F.percentile_approx(f"_{name}", grid_points, GRID_ACCURACY).alias(f"{name}.grid")
+        for name in sampled
+    ]
     for name, search in searches.items():
         value = F.col(name)
-        taken = search.between(value, guessed=True) & (F.col("_draw") < F.lit(shares[name]))
-        aggregates.append(
-            F.percentile(F.when(taken, value), grid_points).alias(f"{name}.grid")
-        )
         for i, cut in enumerate(search.cuts):
             aggregates.append(F.count_if(value < F.lit(cut)).alias(f"{name}.below{i}"))
             aggregates.append(F.count_if(value <= F.lit(cut)).alias(f"{name}.upto{i}"))
@@ -182,7 +213,10 @@ def _narrow_by_scan(values: DataFrame, searches: dict[str, _Search]) -> None:
         held = search.narrow(counts)
         # A sample of an interval that turned out wrong says nothing; the next
         # scan then draws a new one over the interval now proven.
-        search.propose(row[f"{name}.grid"] if held else None, shares[name])
+        if held and name in sampled:
+            search.propose(row[f"{name}.grid"], shares[name])
+        else:
+            search.cuts = ()
 
 
 def _rank_candidates(

@@ -792,6 +792,22 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.metrics.select("key", "value")
 
 
+@register(
+    "train_run_log",
+    f"""select 'contamination' as key, '0.01' as value union all
+        select 'n_estimators', '10' union all select 'random_state', '42' union all
+        select 'num_transactions', cast(count(*) as varchar)
+        from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}""",
+)
+def train_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run logs: its parameters and the rows it was trained on."""
+    path = scratch_path(spark, "train")
+    run = jobs.train_on(_stored_transactions(spark, sf_dir), path, n_trees=10)
+    rows = run.metrics.where("key = 'num_transactions'")
+    rows = rows.select("key", F.col("value").cast("bigint").cast("string").alias("value"))
+    return runlog.read_params(spark, f"{path}/runs").select("key", "value").unionByName(rows)
+
+
 @register("score_report")
 def score_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = _stored_transactions(spark, sf_dir)
