@@ -82,7 +82,7 @@ def winsorize(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
 
 def _stable(value: float) -> float:
     """Drop the digits that depend on the order in which partial sums were merged."""
-    return float(f"{value:.12g}")
+    return float(f"{value:.13g}")
 
 
 @dataclass(frozen=True)
