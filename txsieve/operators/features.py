@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +80,6 @@ def winsorize(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
     )
 
 
-def _stable(value: float) -> float:
-    """Drop the digits that depend on the order in which partial sums were merged."""
-    return float(f"{value:.13g}")
-
-
 @dataclass(frozen=True)
 class Preprocessor:
     """Fitted caps, means and deviations: 3 numbers per feature.
@@ -119,10 +114,21 @@ class Preprocessor:
         return cls(
             list(features),
             [caps[name] for name in features],
-            [_stable(moments[f"{name}_mean"]) for name in features],
-            [_stable(moments[f"{name}_sd"]) for name in features],
+            [moments[f"{name}_mean"] for name in features],
+            [moments[f"{name}_sd"] for name in features],
         )
 
+    def reproducible(self) -> Preprocessor:
+        """Drop the digits of means and deviations that depend on the merge order of sums.
+
+        The same rows then scale to the same doubles however they were split.
+        """
+
+        def shorten(values: list[float]) -> list[float]:
+            return [float(f"{value:.12g}") for value in values]
+
+        return replace(self, means=shorten(self.means), sds=shorten(self.sds))
+
     def scaled_columns(self) -> list:
         """One expression per feature: cast, cap, standardise."""
         return [

@@ -276,7 +276,7 @@ def fit_isolation_forest(
     """
     rows = complete_rows(df.select(*dict.fromkeys([*keep, row_id, *features])), features)
     total = rows.count()
-    preprocessor = Preprocessor.fit(rows, features, method=caps, rows=total)
+    preprocessor = Preprocessor.fit(rows, features, method=caps, rows=total).reproducible()
     scaled = preprocessor.transform(rows, row_id)
     nodes, psi = grow_forest(scaled, features, total, n_trees, max_samples, seed, row_id)
     model = AnomalyModel(
