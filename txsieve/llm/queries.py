@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txsieve.llm import mixing, quality
+from txsieve.llm import langid, mixing, quality, setsketch
 from txsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,35 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_near_duplicates",
+    r"""
+    with recursive w as (
+      select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w from documents),
+    s as (
+      select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ')
+        else array_to_string(w[i:i + 4], ' ') end as s
+      from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) as i from w where len(w) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    p as (select x.doc_id as a, y.doc_id as b, count(*) as k
+      from s x join s y on x.s = y.s and x.doc_id < y.doc_id group by 1, 2),
+    l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+      where 100 * k >= 75 * (x.n + y.n - k)),
+    e as (select a, b from l union all select b, a from l),
+    r as (select doc_id as d, doc_id as c from documents union select r.d, e.b from r join e on e.a = r.c)
+    select doc_id, coalesce(n, 0) as n_shingles, c as component_id, doc_id = c as kept
+    from documents left join n using (doc_id)
+    join (select d, min(c) as c from r group by d) on d = doc_id
+    """,
+)
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
