@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txsieve.llm import langid, mixing, quality, setsketch
+from txsieve.llm import langid, mixing, packing, quality, setsketch
 from txsieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digest(table(spark, sf_dir, "documents"))
