@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txsieve.llm import langid, mixing, packing, quality, setsketch
+from txsieve.llm import langid, mixing, packing, quality, rangecoder, setsketch
 from txsieve.llm.common import table
+from txsieve.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +152,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    rangecoder.write_ids(table(spark, sf_dir, "documents"), path)
+    ids = rangecoder.read_ids(spark, path)
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
