@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsieve.llm import chat, langid, mixing, packing, quality, rangecoder, setsketch
+from txsieve.llm import chat, langid, mixing, packing, quality, rangecoder, setsketch, winnow
 from txsieve.llm.common import table
 from txsieve.session import materialize, scratch_path
 
@@ -173,3 +173,8 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(hostile)
     return chat.digest(chat.read_windows(materialize(chat.format_windows(turns), "chat")))
+
+
+@query("op7_winnowing")
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_likeness(table(spark, sf_dir, "documents"))
