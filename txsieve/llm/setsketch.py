@@ -26,8 +26,11 @@ BASE = 1.001
 TOP = 65534
 #: Pairs are dropped unverified only if the threshold is this much less likely (log) than the best estimate.
 DOUBT = 12.5
-#: Buckets up to this size are compared pair by pair; larger ones by hub and by shared rest.
+#: Buckets up to this size are compared pair by pair; larger ones by hubs, then by the pairs that remain possible.
 SMALL = 16
+HUB_ROUNDS = 2
+#: Ratio of the sizes of a size class.
+SIZE_CLASS = 1.03
 
 _MULTIPLIERS = np.random.default_rng(12).integers(1, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STARTS = np.random.default_rng(13).integers(0, 2**32, REGISTERS, dtype=np.uint32)
@@ -165,49 +168,113 @@ def bands(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(keys).alias("key"), "node", F.col("n_shingles").alias("n"))
 
 
-def bucket_pairs(members: DataFrame) -> DataFrame | None:
-    """``a, b, wide``: pairs to compare within the buckets of ``members (key, node, n)``.
+def small_pairs(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``a, b``: every pair of the buckets of up to ``SMALL`` members."""
+    two = buckets.where("size = 2").select(F.col("first.node").alias("a"), F.col("last.node").alias("b"))
+    few = buckets.where(F.col("size").between(3, SMALL)).select("key")
+    pairs = (
+        members.join(few, "key")
+        .groupBy("key")
+        .agg(F.sort_array(F.collect_list("node")).alias("each"))
+        .select(F.posexplode("each").alias("i", "a"), "each")
+        .select("a", F.explode(F.slice("each", F.col("i") + 2, F.lit(SMALL))).alias("b"))
+    )
+    return two.union(pairs).distinct()
 
-    ``a`` has at most as many shingles as ``b``. Small buckets give every pair. In
-    a large one every member is compared with its smallest set only, and the pair
-    is ``wide``: what it doesn't settle is found by ``rest_members``.
-    """
-    me = F.struct("n", "node")
-    buckets = materialize(
-        members.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("hub"), F.max(me).alias("last"))
-        .where("size > 1"),
-        "buckets",
+
+def lonely_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, own``: how many shingles of each node no other node of ``nodes`` has."""
+    ship_package(nodes.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in batches:
+            for node, text in zip(batch.column(0), batch.column(1), strict=True):
+                hashes = hasher(text.as_buffer().to_pybytes()).view(np.int64)
+                names = pa.array([node.as_py()] * len(hashes), pa.binary())
+                yield pa.RecordBatch.from_arrays([names, pa.array(hashes)], names=["node", "shingle"])
+
+    found = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
+    return (
+        found.mapInArrow(run, "node binary, shingle long")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node"))
+        .where("times = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("own"))
     )
-    two = buckets.where("size = 2").select(
-        F.col("hub.node").alias("a"), F.col("last.node").alias("b"), F.lit(False).alias("wide")
+
+
+def possible(x: str, y: str) -> Column:
+    """True where two sets can be linked, by their sizes and by what others can share with them."""
+    least = 75 * (F.col(f"n_{x}") + F.col(f"n_{y}"))
+    return (175 * F.col(f"shared_{x}") >= least) & (175 * F.col(f"shared_{y}") >= least)
+
+
+def hub_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``a, b``: the hub of each bucket with every member that it can be linked with."""
+    return (
+        members.select(
+            "key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("shared_b"), "label"
+        )
+        .join(
+            hubs.select(
+                "key",
+                F.col("hub.node").alias("a"),
+                F.col("hub.n").alias("n_a"),
+                F.col("hub.shared").alias("shared_a"),
+                F.col("hub.label").alias("hub_label"),
+            ),
+            "key",
+        )
+        .where((F.col("label") != F.col("hub_label")) & possible("a", "b"))
+        .select("a", "b")
+        .distinct()
     )
-    many = buckets.where("size > 2").select("key", "size", F.col("hub.node").alias("hub"))
-    found = members.join(many, "key")
-    if not many.head(1):
-        return two.distinct()
-    found = materialize(found, "members")
-    each = F.sort_array("each")
-    small = (
-        found.where(F.col("size") <= SMALL)
-        .groupBy("key")
-        .agg(F.collect_list(me).alias("each"))
-        .select(each.alias("each"))
-        .select(F.posexplode("each").alias("i", "x"), "each")
+
+
+def rest_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``a, b``: all pairs of a bucket that may still connect components.
+
+    One side is outside the component of the bucket's first hub. Sizes are classed, and a
+    set meets only the classes that it can be linked with: most sets of a group of
+    near copies have shingles of their own, which rules out all of similar size.
+    """
+    outside = (
+        members.join(hubs.select("key", F.col("hub.label").alias("hub_label")), "key")
+        .where(F.col("label") != F.col("hub_label"))
         .select(
-            F.col("x.node").alias("a"),
-            F.explode(F.slice("each", F.col("i") + 2, F.lit(SMALL))).alias("y"),
+            "key",
+            F.col("node").alias("a"),
+            F.col("n").alias("n_a"),
+            F.col("shared").alias("shared_a"),
+            F.col("label").alias("label_a"),
         )
-        .select("a", F.col("y.node").alias("b"), F.lit(False).alias("wide"))
     )
-    large = found.where((F.col("size") > SMALL) & (F.col("node") != F.col("hub"))).select(
-        F.col("hub").alias("a"), F.col("node").alias("b"), F.lit(True).alias("wide")
+    classed = lambda n: F.floor(F.log(n) / F.lit(float(np.log(SIZE_CLASS)))).cast("int")
+    least = F.greatest(F.lit(1.0), F.col("n_a") * 0.75)
+    most = F.least(F.col("n_a") / 0.75, F.col("shared_a") * 175 / 75 - F.col("n_a"))
+    ranged = outside.where(most >= least).withColumn(
+        "class", F.explode(F.sequence(classed(least) - 1, classed(most) + 1))
+    )
+    others = members.select(
+        "key",
+        F.col("node").alias("b"),
+        F.col("n").alias("n_b"),
+        F.col("shared").alias("shared_b"),
+        F.col("label").alias("label_b"),
+        classed(F.col("n").cast("double")).alias("class"),
+    )
+    return (
+        ranged.join(others, ["key", "class"])
+        .where((F.col("label_a") != F.col("label_b")) & possible("a", "b"))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    return two.union(small).union(large).groupBy("a", "b").agg(F.max("wide").alias("wide"))
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that are wide or whose registers allow a link."""
+    """The pairs whose registers allow a link."""
     ship_package(pairs.sparkSession)
     side = nodes.select("node", F.col("n_shingles").alias("n"), "registers")
     both = pairs.join(
@@ -223,72 +290,96 @@ def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 np.frombuffer(b"".join(get(x).to_pylist()), "<u2").reshape(-1, REGISTERS) for x in ("r_a", "r_b")
             )
             ok = likely(first, second, get("n_a").to_numpy(), get("n_b").to_numpy())
-            ok |= get("wide").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([get("a"), get("b"), get("wide")], names=["a", "b", "wide"]).filter(
-                pa.array(ok)
-            )
+            yield pa.RecordBatch.from_arrays([get("a"), get("b")], names=["a", "b"]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "a binary, b binary, wide boolean")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, wide, linked, rest``: the exact verdict on whole texts.
-
-    For wide pairs ``rest`` holds hashes of shingles of ``b`` that ``a`` lacks. If
-    ``b`` and a third set y of the bucket are linked, but ``b`` and ``a`` are not, then
-    b and y share a shingle that the smaller a lacks. They share at least
-    t = 0.75 |b| - |a and b| of them, so all but the t - 1 largest hashes suffice.
-    """
+    """``a, b`` of the pairs that are similar enough by their whole texts."""
     ship_package(pairs.sparkSession)
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first = None, set()
+        last, sets = [None, None], [set(), set()]
         for batch in batches:
             get = lambda name: batch.column(batch.schema.get_field_index(name))
-            linked, rest = [], []
-            for a, x, y, wide in zip(get("a").to_pylist(), get("text_a"), get("text_b"), get("wide").to_pylist(), strict=True):
-                if a != last:
-                    last, first = a, shingles(x.as_buffer().to_pybytes())
-                second = shingles(y.as_buffer().to_pybytes())
-                shared = len(first & second)
-                linked.append(100 * shared >= PERCENT * (len(first) + len(second) - shared))
-                rest.append(_rest(first, second, shared) if wide else None)
-            yield pa.RecordBatch.from_arrays(
-                [get("a"), get("b"), get("wide"), pa.array(linked, pa.bool_()), pa.array(rest, pa.list_(pa.int64()))],
-                names=["a", "b", "wide", "linked", "rest"],
-            )
+            linked = []
+            for row in zip(get("a").to_pylist(), get("b").to_pylist(), get("text_a"), get("text_b"), strict=True):
+                for side in (0, 1):
+                    if row[side] != last[side]:
+                        last[side], sets[side] = row[side], shingles(row[2 + side].as_buffer().to_pybytes())
+                shared = len(sets[0] & sets[1])
+                linked.append(100 * shared >= PERCENT * (len(sets[0]) + len(sets[1]) - shared))
+            yield pa.RecordBatch.from_arrays([get("a"), get("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return both.mapInArrow(run, "a binary, b binary, wide boolean, linked boolean, rest array<long>")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
-def _rest(first: set, second: set, shared: int) -> list[int]:
-    extra = sorted(xxhash.xxh3_64_intdigest(b" ".join(x)) - 2**63 for x in second - first)
-    needed = -(-PERCENT * len(second) // 100) - shared
-    return extra[: len(extra) - max(1, needed) + 1]
+def find_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a, b``: links that connect what all links would connect.
 
-
-def rest_members(tested: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Buckets of what wide pairs left open: members of a bucket that share a shingle its hub lacks.
-
-    Only those with a member that the hub didn't link need a look.
+    Small buckets give every pair. A large bucket is first compared with hubs, the
+    members with the least shingles of their own, as a group of near copies
+    mostly hangs together through its original. What hubs leave apart is compared
+    pair by pair where sizes and shared shingles allow a link at all.
     """
-    rest = (
-        tested.where("wide")
-        .select(F.col("b").alias("node"), "a", "linked", F.explode("rest").alias("shingle"))
-        .select(F.xxhash64("a", "shingle").alias("key"), "node", "linked")
+    members = bands(nodes)
+    me = F.struct("node", "n")
+    buckets = materialize(
+        members.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("size"), F.min(me).alias("first"), F.max(me).alias("last"))
+        .where("size > 1"),
+        "buckets",
     )
-    open_keys = (
-        rest.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("all_linked"))
-        .where("size > 1 and not all_linked")
-        .select("key")
+    pairs = materialize(estimated(small_pairs(members, buckets), nodes), "pairs")
+    wide = materialize(
+        members.join(buckets.where(F.col("size") > SMALL).select("key"), "key"), "wide"
     )
-    return rest.join(open_keys, "key", "left_semi").join(
-        nodes.select("node", F.col("n_shingles").alias("n")), "node"
-    ).select("key", "node", "n")
+    in_wide = wide.select("node").distinct()
+    texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(in_wide), nodes, docs)
+    links = materialize(verified(pairs, texts), "links")
+    if not wide.head(1):
+        return links
+    own = lonely_shingles(in_wide, texts)
+    members = materialize(
+        wide.join(own, "node", "left")
+        .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
+        .where(4 * F.col("shared") >= 3 * F.col("n"))
+        .drop("own"),
+        "members",
+    )
+    first_hubs = None
+    for _ in range(HUB_ROUNDS):
+        labelled = materialize(with_labels(members, links), "labelled")
+        central = F.struct(
+            (F.lit(1.0) - F.col("shared") / F.col("n")).alias("alone"), "node", "n", "shared", "label"
+        )
+        if first_hubs is None:
+            candidates = labelled
+        else:
+            done = first_hubs.select("key", F.col("hub.node").alias("node")).join(
+                labelled.select("key", "node", F.col("label").alias("done")), ["key", "node"]
+            )
+            candidates = labelled.join(done.select("key", "done"), "key").where("label != done")
+        hubs = candidates.groupBy("key").agg(F.min(central).alias("hub"))
+        hubs = materialize(hubs, "hubs")
+        first_hubs = hubs if first_hubs is None else first_hubs
+        found = materialize(verified(hub_pairs(labelled, hubs), texts), "links")
+        links = links.union(found)
+    labelled = materialize(with_labels(members, links), "labelled")
+    hubs = first_hubs.select("key", F.col("hub.node").alias("node")).join(
+        labelled, ["key", "node"]
+    ).select("key", F.struct("label").alias("hub"))
+    rest = materialize(estimated(rest_pairs(labelled, hubs), nodes), "pairs")
+    return links.union(materialize(verified(rest, texts), "links"))
+
+
+def with_labels(members: DataFrame, links: DataFrame) -> DataFrame:
+    labels = connected_components(links)
+    return members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -313,21 +404,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "nodes",
     )
-    members, texts, links = bands(nodes), None, None
-    while True:
-        pairs = bucket_pairs(members)
-        pairs = materialize(estimated(pairs, nodes), "pairs")
-        if texts is None:
-            texts = texts_of(pairs, nodes, docs)
-        tested = materialize(verified(pairs, texts), "tested")
-        found = tested.where("linked").select("a", "b")
-        links = found if links is None else links.union(found)
-        if not tested.where("wide and not linked").head(1):
-            break
-        members = materialize(rest_members(tested, nodes), "members")
-        if not members.head(1):
-            break
-    labels = connected_components(links.distinct())
+    labels = connected_components(find_links(nodes, docs))
     of_node = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
@@ -341,12 +418,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def texts_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, text`` of the nodes in ``pairs``, each read from its document with the smallest id."""
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of the nodes in ``wanted``, each read from its document with the smallest id."""
     used = (
-        pairs.select(F.col("a").alias("node"))
-        .union(pairs.select("b"))
-        .distinct()
+        wanted.distinct()
         .join(nodes.select("node", "doc_id"), "node")
         .select(F.col("node").alias("wanted"), F.col("doc_id").alias("at"))
     )
