@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsieve.llm import chat, langid, mixing, packing, quality, rangecoder, setsketch, winnow
+from txsieve.llm import chat, html, langid, mixing, packing, quality, rangecoder, setsketch, sharding, winnow
 from txsieve.llm.common import table
 from txsieve.session import materialize, scratch_path
 
@@ -178,3 +178,40 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_winnowing")
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_shards",
+    f"""
+    with d as (
+      select doc_id, cast(coalesce(octet_length(encode(text)), 0) as bigint) as n_bytes,
+             ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as bits
+      from documents),
+    nodes as (
+      select cast(depth as int) as depth, bits >> (60 - depth)::int as prefix, sum(n_bytes) as n, count(distinct bits) as c
+      from d, generate_series(0, 59) as g(depth) group by 1, 2),
+    splits as (select depth, prefix from nodes where n > {sharding.LIMIT} and c > 1),
+    deep as (
+      select d.doc_id, d.n_bytes, d.bits, cast(coalesce(max(s.depth) + 1, 0) as int) as depth
+      from d left join splits s on s.prefix = d.bits >> (60 - s.depth)::int group by all),
+    placed as (select *, bits >> (60 - depth)::int as prefix from deep)
+    select doc_id, n_bytes, depth,
+           case when depth = 0 then '' else lpad(bin(prefix), depth, '0') end as shard,
+           cast(sum(n_bytes) over (partition by depth, prefix) as bigint) as shard_bytes
+    from placed
+    """,
+)
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = materialize(
+        sharding.shard_documents(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+            "row.doc_id", "n_bytes", "depth", "shard"
+        ),
+        "placed",
+    )
+    sizes = placed.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    return placed.join(sizes, "shard").select("doc_id", "n_bytes", "depth", "shard", "shard_bytes")
+
+
+@query("op3_html_text")
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
