@@ -93,15 +93,38 @@ def test_sample_is_uniform_over_copies(spark):
     copies = spark.range(0, 9000, 1, 8).select(
         F.col("id").alias("row_id"), F.when(F.col("id") < 3000, 1.0).otherwise(2.0).alias("v")
     )
-    for factor in (iforest.POOL_FACTOR, 1):
-        with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(iforest, "POOL_FACTOR", factor)
-            sample, _ = sample_trees(copies, ["v"], 9000, 20, 64, 42)
-            counts = sample.groupBy("tree_id").agg(F.count("*").alias("n"), F.count_if(F.col("v") == 1))
-            found = counts.collect()
-        assert len(found) == 20 and all(row[1] == 64 for row in found)
-        share = sum(row[2] for row in found) / (20 * 64)
-        assert abs(share - 1 / 3) < 0.06
+    sample, everything = sample_trees(copies, ["v"], 9000, 20, 64, 42)
+    counts = sample.groupBy("tree_id").agg(F.count("*").alias("n"), F.count_if(F.col("v") == 1))
+    found = counts.collect()
+    assert not everything
+    assert len(found) == 20 and all(row[1] == 64 for row in found)
+    share = sum(row[2] for row in found) / (20 * 64)
+    assert abs(share - 1 / 3) < 0.06
+
+
+def test_offers_follow_the_binomial_law(spark):
+    hashed = spark.range(0, 40000, 1, 8).select(F.xxhash64("id").alias("h"))
+    offers = hashed.select(iforest._binomial(F.col("h"), 100, 0.02).alias("k"))
+    row = offers.agg(F.avg("k"), F.var_pop("k"), F.min("k")).first()
+    assert abs(row[0] - 2) < 0.03 and abs(row[1] - 1.96) < 0.08 and row[2] == 0
+
+
+def test_rows_without_identity_are_an_error(spark, table):
+    nameless = table.withColumn("row_id", F.lit(None).cast("bigint"))
+    with pytest.raises(ValueError, match="row_id"):
+        fit_isolation_forest(nameless)
+
+
+def test_copied_and_compacted_history_gives_the_same_forest(spark, sf_dir, tmp_path):
+    tx = fixtures.identified_transactions(spark, sf_dir)
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    history.append_history(tx.repartition(5), first)
+    history.append_history(spark.read.parquet(first).coalesce(1), second)
+    models = [
+        fit_isolation_forest(history.read_history(spark, path, row_id=True), n_trees=5)[0]
+        for path in (first, second)
+    ]
+    assert models[0].nodes == models[1].nodes
 
 
 def test_sample_without_replacement(spark):

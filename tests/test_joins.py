@@ -17,8 +17,7 @@ def test_hot_key_with_many_copies(spark):
         (F.col("fee") / 3000).alias("anomaly_score"),
         (F.col("fee") > 2990).alias("is_anomaly"),
     )
-    assert "hot" in joins.hot_keys(left, "hash", 0.01)
-    joined = joins.attach_scores(left, scores, reducers=4)
+    joined = joins.attach_scores(left, scores, salts=4)
     assert joined.count() == 3000
     assert joined.columns == ["hash", "fee", "anomaly_score", "is_anomaly"]
     hot = joined.where("hash = 'hot'")
@@ -38,6 +37,22 @@ def test_inner_semantics_and_null_keys(spark):
     assert joins.attach_scores(left.where("false"), scores).count() == 0
 
 
+def test_no_job_and_a_spread_hot_key_after_a_shuffle(spark):
+    left = spark.range(1000).select(F.lit("hot").alias("hash"), F.col("id").alias("fee"))
+    left = left.repartition(4, "hash")  # all in one task
+    scores = spark.createDataFrame(
+        [("hot", 0.5, False)], "hash string, anomaly_score double, is_anomaly boolean"
+    )
+    spark.sparkContext.setJobGroup("attach", "")
+    joined = joins.attach_scores(left, scores, salts=4)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("attach")
+    spark.sparkContext.setJobGroup(None, None)
+    assert joined.count() == 1000
+    row = F.xxhash64("hash", "fee")
+    parts = left.groupBy(F.pmod(row, F.lit(4))).count().collect()
+    assert len(parts) == 4 and all(150 < part["count"] < 350 for part in parts)
+
+
 def test_no_cross_join(spark):
     left = spark.createDataFrame([("a", 1)], "hash string, fee int")
     scores = spark.createDataFrame(

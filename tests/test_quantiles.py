@@ -46,7 +46,7 @@ def test_equals_numpy_however_many_rounds(table, q, rankable, sample, monkeypatc
             assert found[name] == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-12)
 
 
-def test_few_rows_use_the_builtin(table):
+def test_few_rows(table):
     found = exact_quantiles(table, ["smooth", "nothing"], 0.9)
     assert found["smooth"] == pytest.approx(np.quantile(table.toPandas()["smooth"], 0.9))
     assert found["nothing"] is None

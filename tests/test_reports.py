@@ -65,7 +65,7 @@ def test_hourly(spark):
     given = view(spark, (0, 1, 1, 2.0), (59, 1, 1, 0.0), (60, 1, 1, 0.0))
     assert [row["count"] for row in reports.hourly_counts(given).collect()] == [1, 1, 1]
     stacked = [tuple(row)[1:] for row in reports.hourly_stacked(given).orderBy("hour").collect()]
-    assert stacked == [(1, 1, 2), (1, 0, 1)]
+    assert stacked == [(1, 1, 0, 2), (1, 0, 0, 1)]
 
 
 def test_histogram_covers_every_score(spark):
@@ -178,3 +178,7 @@ def test_table_bytes(spark, tmp_path):
     spark.range(1000).repartition(3).write.parquet(str(path))
     expected = sum(file.stat().st_size for file in path.glob("*.parquet"))
     assert tuple(monitoring.table_bytes(spark, str(path)).first()) == (expected, 3)
+    text = tmp_path / "text"
+    spark.range(100).coalesce(2).write.csv(str(text))
+    expected = sum(file.stat().st_size for file in text.glob("part-*"))
+    assert monitoring.table_bytes(spark, str(text)).first()["bytes"] == expected

@@ -3,10 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from txsieve.operators import records
+from txsieve.operators.filters import filter_time_range
 from txsieve.operators.windows import window_stats
 from txsieve.plans import jobs
 from txsieve.sources import messages
@@ -70,6 +71,37 @@ def test_unreadable_messages_stay_in_the_history(spark, tmp_path):
     assert spark.read.parquet(f"{out}/tables/history").count() == 2
 
 
+def test_impossible_times_and_overflows_do_not_end_the_stream(spark, tmp_path):
+    folder, out = tmp_path / "messages", str(tmp_path / "out")
+    folder.mkdir()
+    start, huge = int(EPOCH.timestamp()), 9_000_000_000_000_000_000
+    lines = [
+        f'{{"hash":"far","time":{huge},"fee":1,"size":1}}',
+        f'{{"hash":"a","time":{start},"input_value":{huge},"output_value":1}}',
+        f'{{"hash":"b","time":{start + 1},"input_value":{huge},"output_value":2}}',
+        f'{{"hash":"c","time":{start + 6000}}}',
+    ]
+    (folder / "a.txt").write_text("\n".join(lines))
+    run(spark, str(folder), out)
+    run(spark, str(folder), out)
+    history = spark.read.parquet(f"{out}/tables/history")
+    assert history.count() == 4
+    assert history.where("transaction_time is null").select("hash").collect() == [("far",)]
+    stats = spark.read.parquet(f"{out}/tables/window_stats")
+    found = stats.select("transaction_count", "total_input_value", "total_output_value").collect()
+    assert found == [(2, None, 3)]
+
+
+def test_pipeline_history_is_pruned_by_date(spark, tmp_path):
+    folder, out = str(tmp_path / "messages"), str(tmp_path / "out")
+    send(spark, folder, 0, 60 * 24, 60 * 24 + 30)
+    run(spark, folder, out)
+    history = spark.read.parquet(f"{out}/tables/history")
+    kept = filter_time_range(history, "1h", now="latest")
+    assert {row["hash"] for row in kept.collect()} == {"h1440", "h1470"}
+    assert "PartitionFilters: [isnotnull(event_date" in plan(kept)
+
+
 def test_history_partitioned_by_date(spark, tmp_path):
     folder, out = str(tmp_path / "messages"), str(tmp_path / "out")
     send(spark, folder, 0, 60 * 24)

@@ -8,8 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: First and last second of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
 def epoch_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """Time of a Unix second; NULL outside the calendar, where a cast would fail or saturate."""
+    return F.timestamp_seconds(F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds))
 
 
 def hour_floor(ts: Column) -> Column:

@@ -13,14 +13,12 @@ def array_length(items: Column) -> Column:
 
 
 def array_total(items: Column, pick: Callable[[Column], Column]) -> Column:
-    """Sum of ``pick(item)`` over the array as bigint.
+    """Sum of ``pick(item)`` over the array as bigint, NULL if it overflows.
 
-    ``coalesce`` on the whole fold covers a missing array; inside the fold it
-    covers a missing item, struct or field.
+    A missing array counts as zero, and so does a missing item, struct or field.
     """
+    zero = F.lit(0).cast("bigint")
     total = F.aggregate(
-        items,
-        F.lit(0).cast("bigint"),
-        lambda acc, item: acc + F.coalesce(pick(item), F.lit(0).cast("bigint")),
+        items, zero, lambda acc, item: F.try_add(acc, F.coalesce(pick(item), zero))
     )
-    return F.coalesce(total, F.lit(0).cast("bigint"))
+    return F.when(items.isNull(), zero).otherwise(total)

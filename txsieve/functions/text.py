@@ -26,6 +26,7 @@ RULE_ANOMALY_SCORE = 1.5
 RULE_NORMAL_SCORE = 0.2
 STATUS_ANOMALY = "Anomaly"
 STATUS_NORMAL = "Normal"
+STATUS_UNSCORED = "Unscored"
 HASH_PREFIX_LENGTH = 10
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ---------------------------------------------------------------------------
@@ -53,7 +54,7 @@ def display_time(value: Column) -> Column:
 
 
 def status_label(flag: Column) -> Column:
-    return F.when(flag, STATUS_ANOMALY).otherwise(STATUS_NORMAL)
+    return F.when(flag, STATUS_ANOMALY).when(~flag, STATUS_NORMAL).otherwise(STATUS_UNSCORED)
 
 
 def _sentence(template: str, value: Column) -> Column:

@@ -28,7 +28,7 @@ def filter_time_range(
     time in ``df``, for reports on stored data. The bound is one scalar (for
     "latest" a scalar subquery over a single column), so the comparison can be
     pushed into the scan, and on a table partitioned by event date it also
-    prunes partitions.
+    prunes partitions. The newest time is then looked for in the newest date only.
     """
     hours = range_hours(time_range)
     if hours is None:
@@ -36,7 +36,10 @@ def filter_time_range(
     if isinstance(now, str):
         if now != "latest":
             raise ValueError(f"now must be a time or 'latest', got {now!r}")
-        start = df.agg(hours_before(F.max(column), hours).alias("start")).scalar()
+        newest = df
+        if date_column in df.columns:
+            newest = df.where(F.col(date_column) == df.agg(F.max(date_column)).scalar())
+        start = newest.agg(hours_before(F.max(column), hours).alias("start")).scalar()
     elif now is None:
         start = hours_before(F.current_timestamp(), hours)
     elif isinstance(now, dt.datetime):

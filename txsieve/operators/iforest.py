@@ -29,7 +29,6 @@ from txsieve.schemas import (
 from txsieve.session import materialize, ship_package
 
 EULER_GAMMA = 0.5772156649015329
-POOL_FACTOR = 8
 OVERSAMPLE = 4
 
 
@@ -42,9 +41,18 @@ def average_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
-def _hash_below(value: Column, share: float) -> Column:
-    """True for about ``share`` of all 64-bit hash values."""
-    return value < F.lit(min(-(2**63) + int(share * 2**64), 2**63 - 1))
+def _binomial(value: Column, trials: int, share: float) -> Column:
+    """A binomial number of successes as the quantile that a 64-bit hash stands for."""
+    if share >= 1:
+        return F.lit(trials)
+    successes, mass, below = F.lit(0), (1 - share) ** trials, 0.0
+    for k in range(trials):
+        below += mass
+        if below >= 1 - 2**-53:
+            break
+        successes = successes + (value >= F.lit(int((below - 0.5) * 2**64))).cast("int")
+        mass *= (trials - k) / (k + 1) * share / (1 - share)
+    return successes
 
 
 def sample_trees(
@@ -59,31 +67,38 @@ def sample_trees(
 ) -> tuple[DataFrame, bool]:
     """``psi`` rows per tree, uniformly and without replacement.
 
-    Every row gets one hash per tree; a tree takes the rows with the smallest
-    hashes. A cut on the hash leaves about ``oversample * psi`` rows per tree
-    right after the explode, so that only those are shuffled, and on a large
-    table an earlier cut keeps a pool that all trees draw from. The hash covers the row's identity
+    Every tree is offered each row with the same small chance, which leaves about
+    ``oversample * psi`` rows per tree, and takes those with the smallest hashes. One
+    hash of a row decides by the binomial law how many trees it is offered to, so that
+    most rows of a large table are dropped in the scan; further hashes pick
+    the trees. Only the offers are shuffled. The hashes cover the row's identity
     and not its content: copies of a transaction are drawn independently, so a
     group of copies takes its share of a sample and never floods it.
 
     Rows whose 64-bit hashes collide are ordered by content, which keeps the
     choice reproducible.
 
-    The second value tells whether the cuts left every row in (then a short
-    sample cannot be extended).
+    The second value tells whether every tree was offered every row (then a
+    short sample cannot be extended).
     """
-    pool = POOL_FACTOR * n_trees * psi
-    drawn = rows.select(F.xxhash64(row_id).alias("row_hash"), *features)
-    if total > 2 * pool:
-        drawn = drawn.where(_hash_below(F.xxhash64("row_hash", F.lit(seed)), pool / total))
-        share = oversample * psi / pool
-    else:
-        share = oversample * psi / total
-    drawn = drawn.withColumn(
-        "tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
-    ).withColumn("draw", F.xxhash64("row_hash", "tree_id", F.lit(seed)))
-    if share < 1:
-        drawn = drawn.where(_hash_below(F.col("draw"), share))
+    share = min(1.0, oversample * psi / total)
+    row_hash = F.xxhash64(row_id)
+    drawn = (
+        rows.select(row_hash.alias("row_hash"), *features)
+        .withColumn("offers", _binomial(F.xxhash64("row_hash", F.lit(seed)), n_trees, share))
+        .where(F.col("offers") > 0)
+    )
+    order = F.transform(
+        F.sequence(F.lit(0), F.lit(n_trees - 1)),
+        lambda tree: F.struct(
+            F.xxhash64(F.col("row_hash"), tree, F.lit(seed)).alias("hash"), tree.alias("tree_id")
+        ),
+    )
+    drawn = (
+        drawn.withColumn("offer", F.explode(F.slice(F.sort_array(order), F.lit(1), F.col("offers"))))
+        .withColumn("tree_id", F.col("offer.tree_id"))
+        .withColumn("draw", F.xxhash64("tree_id", "row_hash", F.lit(~seed)))
+    )
     by_tree = Window.partitionBy("tree_id").orderBy("draw", *features)
     tasks = min(n_trees, rows.sparkSession.sparkContext.defaultParallelism)
     sample = (
@@ -93,7 +108,7 @@ def sample_trees(
         .where(F.col("place") <= psi)
         .select("tree_id", "place", *features)
     )
-    return sample, share >= 1 and total <= 2 * pool
+    return sample, share >= 1
 
 
 def _grow(values: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
@@ -246,9 +261,11 @@ def grow_forest(
         )
         nodes = [tuple(row) for row in grow_trees(sample, features, psi, seed).collect()]
         roots = [node for node in nodes if node[1] == 0]
-        if everything or (len(roots) == n_trees and all(node[6] == psi for node in roots)):
+        if len(roots) == n_trees and all(node[6] == psi for node in roots):
             return sorted(nodes, key=lambda node: node[:2]), psi
-        oversample *= 4  # a cut left some tree short; widen it
+        if everything:
+            raise ValueError(f"a tree got fewer than {psi} of {total} rows")
+        oversample *= 4  # some tree was offered too few rows
 
 
 def fit_isolation_forest(
@@ -275,7 +292,9 @@ def fit_isolation_forest(
     ``contamination`` share is computed.
     """
     rows = complete_rows(df.select(*dict.fromkeys([*keep, row_id, *features])), features)
-    total = rows.count()
+    total, named = rows.agg(F.count(F.lit(1)), F.count(row_id)).first()
+    if named < total:
+        raise ValueError(f"{total - named} rows have no {row_id}")
     preprocessor = Preprocessor.fit(rows, features, method=caps, rows=total).reproducible()
     scaled = preprocessor.transform(rows, row_id)
     nodes, psi = grow_forest(scaled, features, total, n_trees, max_samples, seed, row_id)

@@ -2,54 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_HOT_SHARES = 1000
-SAMPLE_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """Keys that probably hold more than ``share`` of all rows; fewer than ``2 / share``.
-
-    Estimated on a sample of about a million rows (all rows of a smaller
-    frame), with half the share as the limit so that a hot key is hardly ever
-    missed. The answer steers how rows are spread and changes no result.
-    """
-    keys = df.where(F.col(key).isNotNull()).select(key)
-    total = keys.count()
-    if total > SAMPLE_ROWS:
-        keys = keys.sample(SAMPLE_ROWS / total, seed=0)
-    limit = share / 2 * min(total, SAMPLE_ROWS)
-    return [row[0] for row in keys.groupBy(key).count().where(F.col("count") > limit).collect()]
+#: Parts into which the rows of a key are spread.
+SALTS = 4
 
 
 def attach_scores(
-    df: DataFrame, scores: DataFrame, key: str = "hash", reducers: int | None = None
+    df: DataFrame, scores: DataFrame, key: str = "hash", salts: int = SALTS
 ) -> DataFrame:
-    """Inner join of transactions to their predictions.
+    """Inner join of transactions to their predictions; ``df`` may be a stream.
 
     The score side is reduced to one row per key (the highest score, flagged if
-    any copy is), so copies of a transaction never pair up with each other. A
-    key with more rows than a reducer's fair share is spread over all
-    ``reducers`` (default: the shuffle partitions of the session) by input
-    task, with its one score row copied to each; there are fewer than
-    ``2 * MOST_HOT_SHARES`` such keys, which bounds the copies. Scores computed
+    any copy is), so copies of a transaction never pair up with each other. Rows
+    of a key are spread over ``salts`` parts by a hash of the whole row, with the one
+    score row copied to each part; what is still too much for a reducer is split by
+    adaptive execution. Nothing is counted before. Exact copies of a row hash
+    alike and stay together for the adaptive split. Scores computed
     in place by ``AnomalyModel.score`` need no join at all; this is for
     predictions that live in a table of their own.
     """
-    if reducers is None:
-        reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_key = scores.groupBy(key).agg(
         F.max("anomaly_score").alias("anomaly_score"), F.bool_or("is_anomaly").alias("is_anomaly")
     )
-    hot = hot_keys(df, key, 1 / min(reducers, MOST_HOT_SHARES))
-    if not hot:
-        return df.join(per_key, key, "inner")
-    is_hot: Column = F.col(key).isin(hot)
-    # The input task is the same when a task is retried, unlike a random number.
-    spread = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(reducers))).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(reducers - 1))).otherwise(F.array(F.lit(0)))
-    left = df.withColumn("_salt", spread.cast("int"))
-    right = per_key.withColumn("_salt", F.explode(copies))
+    row = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    left = df.withColumn("_salt", F.pmod(row, F.lit(salts)).cast("int"))
+    right = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "_salt"], "inner").drop("_salt")

@@ -17,9 +17,10 @@ STATUS_ANOMALOUS = "anomalous"
 
 
 def processed_counter(df: DataFrame) -> DataFrame:
-    """Transactions processed by status."""
+    """Transactions processed by status; unscored ones are errors and not processed."""
     status = F.when(F.col("is_anomaly"), STATUS_ANOMALOUS).otherwise(STATUS_NORMAL)
-    return df.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("value"))
+    scored = df.where(F.col("is_anomaly").isNotNull())
+    return scored.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("value"))
 
 
 def latest_score(df: DataFrame) -> DataFrame:
@@ -66,17 +67,12 @@ def consumer_lag(offsets: DataFrame, processed: object) -> DataFrame:
 
 
 def table_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Stored bytes and file count of a table.
+    """Stored bytes and data files of a table in any format.
 
     The file listing is the input, so the cost follows the number of files and
-    no data is read.
+    no data is read. Spark's listing leaves out names that start with ``_`` or ``.``.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.agg(
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("files")
     )

@@ -8,7 +8,7 @@ all rows decide between which cut points the wanted rank lies; and the rows
 left there are ranked once they are few. Each round is one scan that sends a
 few counts and the sample to the reducer, and each round divides the candidates
 by a few hundred. An unlucky sample costs another round and never changes the
-result. Columns with few rows skip the rounds and go straight to ``percentile``.
+result. Columns whose rows are few to begin with need no round.
 """
 
 from __future__ import annotations
@@ -112,8 +112,6 @@ def exact_quantiles(
         sizes = {name: counted[name] for name in columns}
     else:
         sizes = dict.fromkeys(columns, rows)
-    if max(sizes.values()) <= rankable:
-        return values.agg(*[F.percentile(name, q).alias(name) for name in columns]).first().asDict()
     searches = {
         name: _Search(rank=math.floor(q * (size - 1)), inside=size)
         for name, size in sizes.items()

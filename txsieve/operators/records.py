@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txsieve.functions.clock import epoch_to_timestamp
@@ -21,6 +21,7 @@ INPUT_DEFAULTS = {
     "input_value": 1000000,
     "output_value": 995000,
 }
+CORRUPT = "_corrupt_record"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
@@ -34,6 +35,13 @@ def explode_feed(documents: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select(F.explode("doc.txs").alias("tx")).select("tx.*")
 
 
+def rejected_documents(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Raw text of the documents that are no JSON of the feed's shape; batch or streaming."""
+    schema = f"{FEED_SCHEMA}, {CORRUPT} string"
+    parsed = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return documents.where(parsed[CORRUPT].isNotNull()).select(column)
+
+
 def flatten_transactions(nested: DataFrame) -> DataFrame:
     """Nine flat message fields per nested transaction."""
     return nested.select(
@@ -59,14 +67,26 @@ def to_messages(flat: DataFrame) -> DataFrame:
     return flat.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def decode_messages(messages: DataFrame) -> DataFrame:
-    """Binary or text ``value`` → nine typed columns.
+def message_id(messages: DataFrame) -> Column:
+    """Identity of a message: its place in its topic, a ``row_id`` it came with, or else its text.
+
+    Only the first two tell exact copies apart.
+    """
+    if {"topic", "partition", "offset"} <= set(messages.columns):
+        return F.xxhash64("topic", "partition", "offset")
+    return F.col("row_id") if "row_id" in messages.columns else F.xxhash64("value")
+
+
+def decode_messages(messages: DataFrame, identify: bool = False) -> DataFrame:
+    """Binary or text ``value`` → nine typed columns, and ``row_id`` if asked for.
 
     Parsing is permissive: an unreadable message becomes an all-NULL row and an
     unreadable field a NULL, so nothing is lost on the way to the history table.
     """
-    parsed = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA)
-    return messages.select(parsed.alias("data")).select("data.*")
+    parsed = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).alias("data")
+    if identify:
+        return messages.select(parsed, message_id(messages).alias("row_id")).select("data.*", "row_id")
+    return messages.select(parsed).select("data.*")
 
 
 def with_event_time(flat: DataFrame) -> DataFrame:

@@ -41,15 +41,19 @@ def hourly_counts(df: DataFrame, only_anomalies: bool = False) -> DataFrame:
 
 
 def hourly_stacked(df: DataFrame, only_anomalies: bool = False) -> DataFrame:
-    """Both series side by side, with the top edge of the stacked area."""
+    """The series side by side, with the top edge of the stacked area.
+
+    Rows without a score are a series of their own, so ``total`` counts every row.
+    """
     return (
         anomalies_only(df, only_anomalies)
         .groupBy(hour_floor(F.col("transaction_time")).alias("hour"))
         .agg(
             F.count_if(~F.col("is_anomaly")).alias("normal"),
             F.count_if("is_anomaly").alias("anomalous"),
+            F.count_if(F.col("is_anomaly").isNull()).alias("unscored"),
+            F.count(F.lit(1)).alias("total"),
         )
-        .withColumn("total", F.col("normal") + F.col("anomalous"))
     )
 
 

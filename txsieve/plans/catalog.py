@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsieve.operators import enrich, features, filters, joins, monitoring, records, reports
-from txsieve.operators.iforest import fit_isolation_forest
+from txsieve.operators.iforest import AnomalyModel, average_path, fit_isolation_forest
+from txsieve.operators.quantiles import exact_quantiles
 from txsieve.operators.scoring import score_report
 from txsieve.operators.windows import window_stats
 from txsieve.plans import fixtures as fx
@@ -99,6 +101,16 @@ def raw_feed_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "raw_feed_rejected",
+    f"select 'not json ' || hash as value from ({fx.TXE_SQL}) where label = 'error'",
+)
+def raw_feed_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "feed")
+    fx.feed_documents(spark, sf_dir).write.text(path)
+    return feed.read_rejected(spark, path)
+
+
 @register(
     "flatten_tx",
     f"""select hash, time, size, weight, fee,
@@ -425,12 +437,46 @@ def hourly_counts_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     "hourly_stacked",
     f"""select date_trunc('hour', transaction_time) as hour,
         count(*) filter (where not is_anomaly) as normal, count(*) filter (where is_anomaly) as anomalous,
+        count(*) filter (where is_anomaly is null) as unscored,
         count(*) as total from ({fx.SCORED_SQL}) group by 1""",
 )
 def hourly_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.hourly_stacked(fx.scored_transactions(spark, sf_dir))
 
 
+@register(
+    "hourly_stacked_unscored",
+    f"""select date_trunc('hour', transaction_time) as hour,
+        count(*) filter (where not is_anomaly) as normal, count(*) filter (where is_anomaly) as anomalous,
+        count(*) filter (where is_anomaly is null) as unscored,
+        count(*) as total from ({fx.PARTLY_SCORED_SQL}) group by 1""",
+)
+def hourly_stacked_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.hourly_stacked(fx.partly_scored_transactions(spark, sf_dir))
+
+
+@register("kpi_cards_unscored", _kpi_sql(fx.PARTLY_SCORED_SQL))
+def kpi_cards_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cards = reports.kpi_cards(fx.partly_scored_transactions(spark, sf_dir))
+    return rounded(cards, "avg_fee_rate", "avg_tx_size")
+
+
+@register(
+    "recent_table_unscored",
+    f"""select strftime(transaction_time, '%Y-%m-%d %H:%M:%S') as time,
+        substring(hash, 1, 10) || '...' as hash, format('{{:,}}', size) as size,
+        format('{{:,}}', fee) as fee, printf('%.2f', fee_rate) as fee_rate,
+        printf('%.2f', anomaly_score) as anomaly_score,
+        case when is_anomaly then 'Anomaly' when not is_anomaly then 'Normal' else 'Unscored' end as status
+        from (select * from ({fx.PARTLY_SCORED_SQL}) where is_anomaly is null or fee % 2 = 0
+              order by transaction_time desc, hash limit 400)""",
+)
+def recent_table_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enough of the newest rows that some have no score."""
+    tx = fx.partly_scored_transactions(spark, sf_dir).where("is_anomaly is null or fee % 2 = 0")
+    return reports.recent_table(tx, rows=400)
+
+
 @register(
     "score_histogram",
     f"""select bin, round(low + bin * width, 6) as bin_start,
@@ -632,6 +678,15 @@ def metric_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.processed_counter(fx.scored_transactions(spark, sf_dir))
 
 
+@register(
+    "metric_counter_unscored",
+    f"""select case when is_anomaly then 'anomalous' else 'normal' end as status, count(*) as value
+        from ({fx.PARTLY_SCORED_SQL}) where is_anomaly is not null group by 1""",
+)
+def metric_counter_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.processed_counter(fx.partly_scored_transactions(spark, sf_dir))
+
+
 @register(
     "metric_latest_score",
     f"""select anomaly_score as value from ({fx.SCORED_SQL})
@@ -732,7 +787,7 @@ def stream_raw_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = pipelines.enriched(_message_stream(spark, sf_dir))
     query = pipelines.start_history(tx, f"{path}/table", f"{path}/checkpoint", trigger=None)
     query.awaitTermination()
-    return history.read_history(spark, f"{path}/table").drop("processing_time")
+    return history.read_history(spark, f"{path}/table").drop("processing_time", "row_id")
 
 
 @register(
@@ -766,27 +821,144 @@ def iforest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(model.nodes, NODE_SCHEMA)
 
 
+@register(
+    "iforest_shape",
+    f"""select cast(tree as int) as tree_id, rows, rows as leaf_rows, true as shallow
+        from (select least(256, count(*)) as rows from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}), range(100) r(tree)""",
+)
+def iforest_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every tree: its root holds the sample, its leaves share it, none lies too deep."""
+    model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
+    nodes = spark.createDataFrame(model.nodes, NODE_SCHEMA)
+    return nodes.groupBy("tree_id").agg(
+        F.max(F.when(F.col("node_id") == 0, F.col("n"))).cast("bigint").alias("rows"),
+        F.sum(F.when(F.col("feature").isNull(), F.col("n"))).alias("leaf_rows"),
+        (F.max("depth") <= 8).alias("shallow"),
+    )
+
+
 @register("iforest_score")
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all rows; each is scored once, and incomplete ones have none."""
     tx = _stored_transactions(spark, sf_dir)
-    model, _ = fit_isolation_forest(tx)
-    return model.score(tx).select("hash", "anomaly_score", "is_anomaly")
+    _, scored = fit_isolation_forest(tx, keep=("hash",))
+    missing = F.lit(False)
+    for name in FEATURES:
+        missing = missing | F.col(name).isNull()
+    unscored = tx.where(missing).select(
+        "hash", F.lit(None).cast("double").alias("anomaly_score"), F.lit(None).cast("boolean").alias("is_anomaly")
+    )
+    return scored.unionByName(unscored)
 
 
-@register("model_latest_version")
+@register(
+    "model_latest_version",
+    f"""select cast(2 as int) as version, cast(100 as int) as n_trees, cast(least(256, count(*)) as int) as psi,
+        cast(42 as bigint) as seed, cast(0.01 as double) as contamination, count(*) as trained_rows
+        from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}""",
+)
 def model_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "models")
     model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
     registry.save_model(spark, path, model)
     registry.save_model(spark, path, model)
-    return registry.latest_params(spark, path).drop("created_at")
+    return registry.latest_params(spark, path).select(
+        "version", "n_trees", "psi", "seed", "contamination", "trained_rows"
+    )
+
+
+def _known_forest(spark: SparkSession, sf_dir: str, path: str) -> AnomalyModel:
+    """A forest whose splits are exact quantiles, fitted to an offset, saved and loaded.
+
+    Tree i splits feature i at its median, then that feature at its lower quartile on the
+    left and the next feature at its upper quartile on the right.
+    """
+    rows = features.complete_rows(
+        materialize(fx.enriched_transactions(spark, sf_dir).select(*FEATURES), "features")
+    )
+    low, middle, high = (exact_quantiles(rows, FEATURES, q) for q in (0.25, 0.5, 0.75))
+    nodes = []
+    for tree, name in enumerate(FEATURES):
+        after = (tree + 1) % len(FEATURES)
+        nodes += [
+            (tree, 0, tree, float(middle[name]), 1, 2, 120, 0),
+            (tree, 1, tree, float(low[name]), 3, 4, 96, 1),
+            (tree, 2, after, float(high[FEATURES[after]]), 5, 6, 24, 1),
+            *[(tree, 3 + k, None, None, None, None, n, 2) for k, n in enumerate(_LEAF_ROWS)],
+        ]
+    width = len(FEATURES)
+    plain = features.Preprocessor(FEATURES, [None] * width, [0.0] * width, [1.0] * width)
+    model = AnomalyModel(plain, nodes, width, 256, 0, 0.01)
+    raw = rows.select(model.raw_score(spark).alias("raw"))
+    offset = exact_quantiles(raw, ["raw"], 0.99)["raw"]
+    registry.save_model(spark, path, dataclasses.replace(model, offset=offset))
+    return registry.load_model(spark, path)
+
+
+_LEAF_ROWS = (64, 32, 16, 8)
+
+
+def _known_raw_sql() -> str:
+    paths = [f"{2 + average_path(n)!r}" for n in _LEAF_ROWS]
+    trees = []
+    for tree, name in enumerate(FEATURES):
+        after = FEATURES[(tree + 1) % len(FEATURES)]
+        trees.append(
+            f"case when {name} <= m_{name} then case when {name} <= l_{name} then {paths[0]} else {paths[1]} end "
+            f"else case when {after} <= h_{after} then {paths[2]} else {paths[3]} end end"
+        )
+    return f"pow(2, -({' + '.join(trees)}) / ({len(FEATURES)} * {average_path(256)!r}))"
+
+
+_CUTS_SQL = ", ".join(
+    f"quantile_cont({name}, {q}) as {letter}_{name}"
+    for name in FEATURES
+    for letter, q in (("l", 0.25), ("m", 0.5), ("h", 0.75))
+)
+_KNOWN_FOREST_SQL = f"""
+with present as materialized (select hash, {FEATURE_DOUBLES} from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}),
+cuts as (select {_CUTS_SQL} from present),
+bound as (select quantile_cont(raw, 0.99) as offset_ from (select {_known_raw_sql()} as raw from present, cuts)),
+guarded as (
+  select * replace (cast(fee as double) / greatest(size, 1) as fee_rate,
+                    cast(fee as double) / greatest(weight, 1) as fee_per_weight) from ({fx.ENRICHED_SQL})),
+scored as (select guarded.*, {_known_raw_sql()} - offset_ as score from guarded, cuts, bound)
+select hash as transaction_hash, round(score, 6) as anomaly_score, score > 1e-12 as is_anomaly from scored"""
+
+
+@register("known_forest_report", _KNOWN_FOREST_SQL)
+def known_forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score, offset and flag of a registered forest, for all transactions."""
+    model = _known_forest(spark, sf_dir, scratch_path(spark, "models"))
+    report = score_report(fx.event_transactions(spark, sf_dir), model)
+    return _clear_flags(report)
+
+
+@register("known_forest_stream", _KNOWN_FOREST_SQL)
+def known_forest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the message stream."""
+    path = scratch_path(spark, "stream-scores")
+    model = _known_forest(spark, sf_dir, f"{path}/models")
+    tx = pipelines.enriched(_message_stream(spark, sf_dir))
+    query = pipelines.start_scores(tx, model, f"{path}/table", f"{path}/checkpoint", trigger=None)
+    query.awaitTermination()
+    return _clear_flags(history.read_history(spark, f"{path}/table"))
+
+
+def _clear_flags(report: DataFrame) -> DataFrame:
+    """Scores at the offset differ from it by rounding only, which mustn't decide the flag."""
+    return report.select(
+        "transaction_hash",
+        F.round("anomaly_score", DIGITS).alias("anomaly_score"),
+        (F.col("anomaly_score") > 1e-12).alias("is_anomaly"),
+    )
 
 
 @register("train_report")
 def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History table → model, metrics, registry and export; returns the metrics."""
     path = scratch_path(spark, "train")
-    tx = fx.enriched_transactions(spark, sf_dir).drop("time", "label")
+    tx = fx.identified_transactions(spark, sf_dir).drop("time", "label")
     history.append_history(tx, f"{path}/history")
     run = jobs.train(spark, f"{path}/history", path)
     return run.metrics.select("key", "value")
@@ -795,14 +967,14 @@ def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "train_run_log",
     f"""select 'contamination' as key, '0.01' as value union all
-        select 'n_estimators', '10' union all select 'random_state', '42' union all
+        select 'n_estimators', '100' union all select 'random_state', '42' union all
         select 'num_transactions', cast(count(*) as varchar)
         from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}""",
 )
 def train_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a training run logs: its parameters and the rows it was trained on."""
     path = scratch_path(spark, "train")
-    run = jobs.train_on(_stored_transactions(spark, sf_dir), path, n_trees=10)
+    run = jobs.train_on(_stored_transactions(spark, sf_dir), path)
     rows = run.metrics.where("key = 'num_transactions'")
     rows = rows.select("key", F.col("value").cast("bigint").cast("string").alias("value"))
     return runlog.read_params(spark, f"{path}/runs").select("key", "value").unionByName(rows)

@@ -99,6 +99,20 @@ from ({ENRICHED_SQL}) e,
             from ({TXE_SQL})))"""
 
 
+def partly_scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored transactions, where those with a missing feature have no score."""
+    scored = F.col("fee_rate").isNotNull()
+    return scored_transactions(spark, sf_dir).withColumns(
+        {name: F.when(scored, F.col(name)) for name in ("anomaly_score", "is_anomaly")}
+    )
+
+
+PARTLY_SCORED_SQL = f"""
+select * replace (case when fee_rate is not null then anomaly_score end as anomaly_score,
+                  case when fee_rate is not null then is_anomaly end as is_anomaly)
+from ({SCORED_SQL})"""
+
+
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order; orders without line items have NULL features.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txsieve.operators.records import explode_feed
+from txsieve.operators.records import explode_feed, rejected_documents
 
 
 def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
@@ -13,6 +13,11 @@ def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> Data
     return explode_feed(documents)
 
 
+def read_rejected(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Raw text of the documents below ``path`` that do not parse; its count is the error metric."""
+    return rejected_documents(spark.read.text(path, wholetext=whole_files))
+
+
 def stream_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """The same for documents that keep landing."""
     documents = spark.readStream.text(path, wholetext=whole_files)

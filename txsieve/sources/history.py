@@ -35,11 +35,17 @@ def file_position() -> Column:
 def read_history(
     spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, row_id: bool = False
 ) -> DataFrame:
-    """The stored table; ``ValueError`` if there is none at ``path``."""
+    """The stored table; ``ValueError`` if there is none at ``path``.
+
+    With ``row_id`` it has the identity that was written with each row. Only a table
+    without one gets the file positions, which copying or compacting changes.
+    """
     if not table_exists(spark, path, fmt):
         raise ValueError(f"no {fmt} table at {path}")
     table = spark.read.format(fmt).load(path)
-    return table.select("*", file_position().alias("row_id")) if row_id else table
+    if row_id and "row_id" not in table.columns:
+        return table.select("*", file_position().alias("row_id"))
+    return table
 
 
 def with_event_date(df: DataFrame) -> DataFrame:

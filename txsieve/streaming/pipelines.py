@@ -16,8 +16,8 @@ from txsieve.sources.history import DATE_COLUMN, DEFAULT_FORMAT, with_event_date
 
 
 def enriched(messages: DataFrame) -> DataFrame:
-    """Decoded messages with event time, processing time and ratios; batch or streaming."""
-    return with_ratios(with_event_time(decode_messages(messages)))
+    """Decoded messages with event time, processing time, ratios and identity; batch or streaming."""
+    return with_ratios(with_event_time(decode_messages(messages, identify=True)))
 
 
 def table_writer(
@@ -94,15 +94,18 @@ def start_pipeline(
     checkpoint: str,
     fmt: str = DEFAULT_FORMAT,
     trigger: str | None = TRIGGER_INTERVAL,
+    by_date: bool = True,
 ) -> list[StreamingQuery]:
-    """History and window statistics from one message stream.
+    """History, by event date unless told otherwise, and window statistics from one message stream.
 
     They are two queries with two checkpoints on purpose: the stateless one
     keeps writing when the stateful one has to be restarted.
     """
     transactions = enriched(messages)
     return [
-        start_history(transactions, f"{path}/history", f"{checkpoint}/history", fmt, trigger),
+        start_history(
+            transactions, f"{path}/history", f"{checkpoint}/history", fmt, trigger, by_date
+        ),
         start_window_stats(
             transactions, f"{path}/window_stats", f"{checkpoint}/window_stats", fmt, trigger
         ),
