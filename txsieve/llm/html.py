@@ -15,7 +15,7 @@ from txsieve.session import materialize, ship_package
 #: A container is left for a child that holds at least this share of its text.
 DESCEND = 0.75
 #: The text found by the winning path must have this share of what the page itself suggests.
-ENOUGH = 0.5
+ENOUGH = 0.25
 #: A list is a menu if links hold at least this share of its text, in so many items or more.
 MENU_SHARE, MENU_ITEMS = 0.8, 3
 
