@@ -31,6 +31,8 @@ SMALL = 16
 HUB_ROUNDS = 2
 #: Ratio of the sizes of a size class.
 SIZE_CLASS = 1.03
+#: Bits of the bitmap of a set in a large bucket.
+BITMAP = 2048
 
 _MULTIPLIERS = np.random.default_rng(12).integers(1, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STARTS = np.random.default_rng(13).integers(0, 2**32, REGISTERS, dtype=np.uint32)
@@ -205,6 +207,40 @@ def lonely_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def bitmaps(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, bits``: one bit per hash value of its shingles modulo ``BITMAP``, as an array of longs."""
+    ship_package(nodes.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                bits = np.zeros(BITMAP, np.uint8)
+                bits[hasher(text.as_buffer().to_pybytes()) % np.uint64(BITMAP)] = 1
+                rows.append(np.packbits(bits).view("<i8").tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["node", "bits"]
+            )
+
+    found = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
+    return found.mapInArrow(run, "node binary, bits array<long>")
+
+
+def close_bitmaps(x: str, y: str) -> Column:
+    """True unless the bitmaps prove that the sets differ too much.
+
+    Each bit that is set in one of them stands for a shingle that the other set lacks, and
+    linked sets of n and m shingles differ in (n + m) / 7 of them at most.
+    """
+    apart = F.aggregate(
+        F.zip_with(f"bits_{x}", f"bits_{y}", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    return 7 * apart <= F.col(f"n_{x}") + F.col(f"n_{y}")
+
+
 def possible(x: str, y: str) -> Column:
     """True where two sets can be linked, by their sizes and by what others can share with them."""
     least = 75 * (F.col(f"n_{x}") + F.col(f"n_{y}"))
@@ -238,7 +274,8 @@ def rest_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
 
     One side is outside the component of the bucket's first hub. Sizes are classed, and a
     set meets only the classes that it can be linked with: most sets of a group of
-    near copies have shingles of their own, which rules out all of similar size.
+    near copies have shingles of their own, which rules out all of similar size. Bitmaps
+    of the shingles rule out nearly all of the other pairs.
     """
     outside = (
         members.join(hubs.select("key", F.col("hub.label").alias("hub_label")), "key")
@@ -249,6 +286,7 @@ def rest_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
             F.col("n").alias("n_a"),
             F.col("shared").alias("shared_a"),
             F.col("label").alias("label_a"),
+            F.col("bits").alias("bits_a"),
         )
     )
     classed = lambda n: F.floor(F.log(n) / F.lit(float(np.log(SIZE_CLASS)))).cast("int")
@@ -263,11 +301,13 @@ def rest_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
         F.col("n").alias("n_b"),
         F.col("shared").alias("shared_b"),
         F.col("label").alias("label_b"),
+        F.col("bits").alias("bits_b"),
         classed(F.col("n").cast("double")).alias("class"),
     )
+    # All conditions are part of the join, which so puts out only pairs that pass.
     return (
         ranged.join(others, ["key", "class"])
-        .where((F.col("label_a") != F.col("label_b")) & possible("a", "b"))
+        .where((F.col("label_a") != F.col("label_b")) & possible("a", "b") & close_bitmaps("a", "b"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
@@ -345,7 +385,8 @@ def find_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return links
     own = lonely_shingles(in_wide, texts)
     members = materialize(
-        wide.join(own, "node", "left")
+        wide.join(bitmaps(in_wide, texts), "node")
+        .join(own, "node", "left")
         .withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
         .where(4 * F.col("shared") >= 3 * F.col("n"))
         .drop("own"),
