@@ -36,7 +36,7 @@ class TextEncoder(dict):
         self.model = self.tokenizer.model
         # the tokenizer with a normalizer lowers letters and drops white space
         self.lower = self.tokenizer.normalizer is not None
-        self.limit = limit
+        self.limit, self.words = limit, {}
         self.letters = self._letters()
 
     @staticmethod
@@ -46,11 +46,18 @@ class TextEncoder(dict):
         others = iter(range(256, 512))
         return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
-    def _word(self, word: str) -> list[int]:
-        letters = self.letters
-        return [t.id for t in self.model.tokenize("".join([letters[b] for b in word.encode()]))]
-
-    def _encode(self, piece: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
+        """Ids of one word; it may come with other marks behind it, so it has a cache of its own."""
+        ids = self.words.get(word)
+        if ids is None:
+            letters = self.letters
+            if len(self.words) >= self.limit:
+                self.words.clear()
+            spelled = "".join([letters[b] for b in word.encode()])
+            ids = self.words[word] = tuple([t.id for t in self.model.tokenize(spelled)])
+        return ids
+
+    def _encode(self, piece: str) -> tuple[int, ...] | list[int]:
         space = piece[:1] == " "
         body = piece[1:] if space else piece
         if self.lower:
@@ -58,7 +65,7 @@ class TextEncoder(dict):
         mark = body[-1:] if body[-1:] in _PUNCTUATION else ""
         word = body[:-1] if mark else body
         if word.isalpha() and max(word) < "\u0250":
-            return self._word(" " + word if space else word) + (self._word(mark) if mark else [])
+            return self._word(" " + word if space else word) + (self._word(mark) if mark else ())
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def __missing__(self, piece: str) -> bytes:
