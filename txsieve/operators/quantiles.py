@@ -128,21 +128,24 @@ def exact_quantiles(
     neighbours = _rank_candidates(
         values, {name: search for name, search in searches.items() if search.found is None}
     )
-    for name, (value, up_to) in neighbours.items():
+    following = {}
+    for name, (value, up_to, above) in neighbours.items():
         searches[name].found, searches[name].up_to_found = value, up_to
-    following = _next_values(
-        values,
-        {
-            name: search
-            for name, search in searches.items()
-            if search.up_to_found <= search.rank + 1 < sizes[name]
-        },
-    )
+        # Candidates end below ``high``, which is a value of the column.
+        following[name] = searches[name].high if above is None else above
+    ends = {
+        name: search
+        for name, search in searches.items()
+        if search.up_to_found <= search.rank + 1 < sizes[name]
+    }
+    # A scan of its own is needed only after a cut point hit the rank.
+    unknown = {name: search for name, search in ends.items() if following.get(name) is None}
+    following |= _next_values(values, unknown)
 
     result: dict[str, float | None] = dict.fromkeys(columns)
     for name, search in searches.items():
         share = q * (sizes[name] - 1) - search.rank
-        upper = following.get(name, search.found)
+        upper = following[name] if name in ends else search.found
         result[name] = search.found + (upper - search.found) * share
     return result
 
@@ -219,8 +222,8 @@ def _narrow_by_scan(values: DataFrame, searches: dict[str, _Search], rankable: i
 
 def _rank_candidates(
     values: DataFrame, searches: dict[str, _Search]
-) -> dict[str, tuple[float, int]]:
-    """Value at each rank and the number of rows up to it.
+) -> dict[str, tuple[float, int, float | None]]:
+    """Value at each rank, the number of rows up to it, and the next candidate above.
 
     Equal values are counted before the shuffle, and no column has more than
     ``rankable`` candidates, which bounds the per-column ranking window.
@@ -243,11 +246,12 @@ def _rank_candidates(
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("upto", F.sum("copies").over(running))
+        .withColumn("above", F.lead("value").over(running))
         .withColumn("goal", goals[F.col("name")])
         .where((F.col("upto") > F.col("goal")) & (F.col("upto") - F.col("copies") <= F.col("goal")))
     )
     return {
-        row["name"]: (row["value"], row["upto"] + searches[row["name"]].before)
+        row["name"]: (row["value"], row["upto"] + searches[row["name"]].before, row["above"])
         for row in ranked.collect()
     }
 
