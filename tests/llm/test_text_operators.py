@@ -72,6 +72,10 @@ def test_common_lines_deplete_documents_but_copies_do_not(spark):
     stayed = quality.keep_good(spark.createDataFrame(rows, SCHEMA))
     assert stayed.columns == ["doc_id", "text", "source"]
     assert {r["doc_id"] for r in stayed.collect()} == {i for i in kept if kept[i]}
+    cleaned = {r["doc_id"]: r["text"] for r in quality.without_common_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert cleaned.keys() == {i for i in kept if kept[i]}
+    assert cleaned[100] == own(100 - 100, 80) and cleaned[200] == own("copy", 60)
+    assert notice in cleaned[300]
 
 
 def water_fill(sizes):

@@ -93,17 +93,18 @@ def word_metrics(docs: DataFrame) -> DataFrame:
     )
 
 
+def normal_line(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
+
+
 def depleted_texts(docs: DataFrame) -> DataFrame:
-    """``(host, text_key, common_words)``: words in common lines of each text that has some.
+    """``host, text_key, common_words, common_lines``: words and hashes of the common lines of each text that has some.
 
     Exact copies of a text count as one document of their host. The line counts
     are pre-aggregated in every task, so a hot line or host is a few rows per task.
     """
     whole = F.struct(F.lit(None).cast("bigint").alias("line"), F.lit(1).alias("words"))
-    lines = F.transform(
-        F.split(F.coalesce(F.col("text"), F.lit("")), "\n"),
-        lambda line: F.trim(F.regexp_replace(F.lower(line), SPACE, " ")),
-    )
+    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), normal_line)
     each = F.transform(
         F.filter(lines, lambda line: line != ""),
         lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(F.split(line, " ")).alias("words")),
@@ -128,9 +129,12 @@ def depleted_texts(docs: DataFrame) -> DataFrame:
         .agg(
             F.sum(F.when(F.col("line").isNull(), F.col("words"))).alias("copies"),
             F.sum(F.when(F.col("common"), F.col("words"))).alias("common_words"),
+            F.collect_set(F.when(F.col("common"), F.col("line"))).alias("common_lines"),
         )
         .where("common_words > 0")
-        .select("host", "text_key", F.expr("common_words div copies").alias("common_words"))
+        .select(
+            "host", "text_key", F.expr("common_words div copies").alias("common_words"), "common_lines"
+        )
     )
 
 
@@ -201,3 +205,29 @@ def keep_good(docs: DataFrame) -> DataFrame:
         .where(~is_depleted())
         .select("row.*")
     )
+
+
+def without_common_lines(docs: DataFrame) -> DataFrame:
+    """The rows that ``keep_good`` keeps, with the common lines of their host taken out of ``text``.
+
+    Other columns stay as they are. Texts without common lines are unchanged.
+    """
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("text"),
+        nullable_key(F.col("source")).alias("host"),
+        text_key().alias("text_key"),
+    )
+    left = F.filter(
+        F.split("text", "\n"),
+        lambda line: ~F.array_contains("common_lines", F.xxhash64(normal_line(line))),
+    )
+    text = F.when(F.col("common_lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return (
+        word_metrics(named)
+        .where(~base_failed())
+        .join(depleted_texts(named), ["host", "text_key"], "left")
+        .where(~is_depleted())
+        .withColumn("row", F.col("row").withField("text", text))
+        .select("row.*")
+    )

@@ -147,15 +147,22 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     neighbours = next_documents(docs)
+    # Plain keys in place of a NULL: all three steps then need the same partitioning.
+    kind = docs.schema["doc_id"].dataType
+    missing = lambda name: F.col(name).isNull().alias("no_id")
+    present = lambda name: F.coalesce(F.col(name), F.lit(0).cast(kind)).alias("an_id")
+    keyed = docs.select(missing("doc_id"), present("doc_id"), "doc_id", "text")
     sent = (
-        docs.join(neighbours, F.col("doc_id").eqNullSafe(F.col("id")))
-        .where(F.xxhash64("text") == F.col("text_hash"))
+        keyed.join(neighbours.select(missing("id"), present("id"), "needed_by", "need", "text_hash"), ["no_id", "an_id"])
+        # not written as an equality, which would make it a join key and cost a shuffle of its own
+        .where(F.xxhash64("text").bitwiseXOR(F.col("text_hash")) == 0)
         .select(
-            F.col("needed_by"),
+            missing("needed_by"),
+            present("needed_by"),
             F.substring(F.col("text"), F.lit(1), F.col("need").cast("int")).alias("part"),
             hashes(selected(F.col("text"))).alias("next_hashes"),
         )
-        .groupBy("needed_by")
+        .groupBy("no_id", "an_id")
         .agg(F.first("part").alias("part"), F.first("next_hashes").alias("next_hashes"))
     )
     length = F.length("text")
@@ -164,7 +171,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         F.substring(F.col("text"), F.lit(1), length - third), F.substring(F.col("part"), F.lit(1), third)
     )
     return (
-        docs.join(sent, F.col("doc_id").eqNullSafe(F.col("needed_by")))
+        keyed.join(sent, ["no_id", "an_id"])
         .select("doc_id", "text", edited.alias("edited"), "next_hashes")
         .withColumn("own", selected(F.col("text")))
         .withColumn("other", selected(F.col("edited")))
