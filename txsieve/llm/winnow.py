@@ -147,11 +147,12 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     neighbours = next_documents(docs)
-    # Plain keys in place of a NULL: all three steps then need the same partitioning.
+    # Plain keys in place of a NULL: all steps then need the same partitioning, and both
+    # joins the same columns, so the texts are shuffled once.
     kind = docs.schema["doc_id"].dataType
     missing = lambda name: F.col(name).isNull().alias("no_id")
     present = lambda name: F.coalesce(F.col(name), F.lit(0).cast(kind)).alias("an_id")
-    keyed = docs.select(missing("doc_id"), present("doc_id"), "doc_id", "text")
+    keyed = docs.select(missing("doc_id"), present("doc_id"), "text")
     sent = (
         keyed.join(neighbours.select(missing("id"), present("id"), "needed_by", "need", "text_hash"), ["no_id", "an_id"])
         # not written as an equality, which would make it a join key and cost a shuffle of its own
@@ -172,7 +173,9 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     )
     return (
         keyed.join(sent, ["no_id", "an_id"])
-        .select("doc_id", "text", edited.alias("edited"), "next_hashes")
+        .select(
+            F.when(~F.col("no_id"), F.col("an_id")).alias("doc_id"), "text", edited.alias("edited"), "next_hashes"
+        )
         .withColumn("own", selected(F.col("text")))
         .withColumn("other", selected(F.col("edited")))
         .withColumn("own_hashes", hashes(F.col("own")))
