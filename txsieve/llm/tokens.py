@@ -9,8 +9,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Pieces that a worker remembers, and the longest piece worth it.
-CACHE = 600_000
+#: Pieces and words that a worker remembers, about 200 bytes each, and the longest piece worth it.
+CACHE = 250_000
 LONGEST = 64
 _PUNCTUATION = frozenset(".,;:!?")
 #: White space other than space and line end, and the mark that cuts pieces. A text with one takes the long way.
@@ -18,6 +18,10 @@ _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not
 _DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
 
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TextEncoder(dict):
     """Ids of a text as the tokenizer file gives them, without added special tokens.
 
@@ -45,18 +49,18 @@ class TextEncoder(dict):
         others = iter(range(256, 512))
         return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         """Ids of one word; it may come with other marks behind it, so it has a cache of its own."""
-        ids = self.words.get(word)
-        if ids is None:
+        packed = self.words.get(word)
+        if packed is None:
             letters = self.letters
             if len(self.words) >= self.limit:
                 self.words.clear()
             spelled = "".join([letters[b] for b in word.encode()])
-            ids = self.words[word] = tuple([t.id for t in self.model.tokenize(spelled)])
-        return ids
+            packed = self.words[word] = _pack([t.id for t in self.model.tokenize(spelled)])
+        return packed
 
-    def _encode(self, piece: str) -> tuple[int, ...] | list[int]:
+    def _encode(self, piece: str) -> bytes:
         space = piece[:1] == " "
         body = piece[1:] if space else piece
         if self.lower:
@@ -64,12 +68,11 @@ class TextEncoder(dict):
         mark = body[-1:] if body[-1:] in _PUNCTUATION else ""
         word = body[:-1] if mark else body
         if word.isalpha() and max(word) < "\u0250":
-            return self._word(" " + word if space else word) + (self._word(mark) if mark else ())
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+            return self._word(" " + word if space else word) + (self._word(mark) if mark else b"")
+        return _pack(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._encode(piece)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self._encode(piece)
         if len(piece) <= LONGEST:
             if len(self) >= self.limit:
                 self.clear()
