@@ -284,3 +284,34 @@ def test_hosts_agree_on_a_path(spark):
     found = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found[0] == long.strip()
     assert found[9] == ("word " * 12).strip()
+
+
+def read_pages(spark, *pages):
+    rows = [(i, "http://h.example/", page) for i, page in enumerate(pages)]
+    found = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+def test_html_templates_of_a_host(spark):
+    """Pages of a second template, and articles in two containers, keep all of their text."""
+    first = "<body><div class='entry'><p>" + "word " * 60 + "</p></div><div class='box'><p>note</p></div></body>"
+    second = "<body><div class='entry'><p>" + "teaser " * 9 + "</p></div><div class='story'><p>" + "story " * 15 + "</p></div></body>"
+    swapped = "<body><div class='entry'><p>" + "teaser " * 12 + "</p></div><div class='box'><p>" + "story " * 80 + "</p></div></body>"
+    found = read_pages(spark, *[first] * 6, second, swapped)
+    assert found[:6] == [("word " * 60).strip()] * 6
+    assert found[6].split("\n\n") == [("teaser " * 9).strip(), ("story " * 15).strip()]
+    assert ("story " * 80).strip() in found[7]
+
+
+def test_html_keeps_what_is_beside_the_body(spark):
+    body = "<div class='body'><p>" + "text " * 90 + "</p><p>end</p></div>"
+    text = [("text " * 90).strip(), "end"]
+    for before, lead in (
+        ("<article><h1>Title</h1><p>lead</p>{}</article>", ["Title", "lead"]),
+        ("<article><div class='head'>Title</div><div class='lead'><p>lead</p></div>{}</article>", ["Title", "lead"]),
+        ("<div class='post'><div class='top'><h1>Title</h1></div>{}</div>", ["Title"]),
+        ("<div class='post'>loose lead {}</div>", ["loose lead"]),
+        ("<main><div class='lead'>lead</div>{}</main>", ["lead"]),
+    ):
+        page = "<html><body>" + before.replace("{}", body) + "</body></html>"
+        assert read_pages(spark, page, page)[0].split("\n\n") == lead + text

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -14,8 +15,8 @@ from txsieve.session import materialize, ship_package
 
 #: A container is left for a child that holds at least this share of its text.
 DESCEND = 0.75
-#: The text found by the winning path must have this share of what the page itself suggests.
-ENOUGH = 0.25
+#: A path is left out by a host if so many pages that suggest the winner, and more than keep it, leave it out.
+LEFT_OUT = 2
 #: A list is a menu if links hold at least this share of its text, in so many items or more.
 MENU_SHARE, MENU_ITEMS = 0.8, 3
 
@@ -51,6 +52,8 @@ CLOSES = {
     "option": frozenset(["option"]),
 }
 LISTS = frozenset("ul ol dl table tbody thead menu".split())
+# elements that are text themselves, no containers
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd td pre blockquote table figure figcaption hgroup header details address".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|(?<!\S)(hidden)(?!\S)", re.S)
@@ -224,51 +227,90 @@ class Page:
         first = (found.get("class") or found.get("id") or "").split()
         return noise, _GENERAL.sub("#", first[0]) if first else ""
 
-    def best(self) -> Element:
-        """The container to which the text leads: from the root down, as long as one child holds most of it."""
+    def best(self) -> tuple[Element, set[str]]:
+        """The container to which the text leads, and the paths of other containers left out on the way.
+
+        From the root down, as long as one child holds most of the text and what is beside it is
+        another container: neither loose text, nor a heading or paragraph, nor the title of the page.
+        Inside of an article nothing is left out, inside of a main element only for an article.
+        """
         children: dict[int, list[Element]] = {}
         for e in self.elements:
             if e.text:
                 children.setdefault(id(e.parent), []).append(e)
-        at = self.root
+        loose, titles = {id(b[0]) for b in self.blocks}, set()
+        for element, _, _ in self.blocks:
+            e: Element | None = element if element.tag == "h1" else None
+            while e is not None and id(e) not in titles:
+                titles.add(id(e))
+                e = e.parent
+        at, left_out, inside = self.root, set(), frozenset()
         while True:
             below = max(children.get(id(at), []), key=lambda e: e.text, default=None)
             if below is None or below.text < DESCEND * at.text or below.tag in ("p", "li", "td", "ul", "ol", "pre") or _is_heading_tag(below.tag):
-                return at
+                return at, left_out
+            beside = [e for e in children[id(at)] if e.path != below.path]
+            inside = inside | ({at.tag} & {"article", "main"})
+            if (
+                id(at) in loose
+                or any(e.tag in FLOW or id(e) in titles for e in beside)
+                or (beside and ("article" in inside or ("main" in inside and below.tag != "article")))
+            ):
+                return at, left_out
+            left_out.update(e.path for e in beside)
             at = below
 
-    def text_below(self, path: str) -> str:
-        """Text of the elements with this path, in the order of the page."""
+    def paths_below(self, container: Element) -> set[str]:
+        """Paths of the elements with text inside of ``container``."""
+        inside, found = {id(container)}, set()
+        for e in self.elements:  # parents come first
+            if id(e.parent) in inside:
+                inside.add(id(e))
+                if e.text:
+                    found.add(e.path)
+        return found
+
+    def text_below(self, path: str, also: str | None = None, without: frozenset[str] = frozenset()) -> str:
+        """Text of the elements with this path, in the order of the page; and of those with the
+        path ``also``, but for what lies in one of ``without``."""
         chosen = []
         for element, text, _ in self.blocks:
             e: Element | None = element
-            while e is not None:
-                if e.path == path:
-                    chosen.append(text)
-                    break
+            dropped = found = False
+            while e is not None and e.path != path:
+                dropped = dropped or e.path in without
+                found = found or e.path == also
                 e = e.parent
+            if e is not None or (found and not dropped):
+                chosen.append(text)
         return "\n\n".join(chosen)
 
+    def has(self, path: str) -> bool:
+        return any(e.text and e.path == path for e in self.elements) or path == ""
+
 
 def _is_heading_tag(tag: str) -> bool:
     return len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
 
 
-def vote(html: str) -> tuple[str, int] | None:
-    """Path and score of the container that a page suggests; none without text."""
-    best = Page(html).best()
-    return (best.path, best.text) if best.text > 0 else None
+def vote(html: str) -> tuple[str, int, set[str], set[str]] | None:
+    """Path and score of the container that a page suggests, the paths it leaves out and those it keeps; none without text."""
+    page = Page(html)
+    best, left_out = page.best()
+    return (best.path, best.text, left_out, page.paths_below(best)) if best.text > 0 else None
+
 
+def extract(html: str, winner: str | None, left_out: Iterable[str] = ()) -> str:
+    """Main text of a page: what the winning path of its host finds, and what the page itself suggests.
 
-def extract(html: str, winner: str | None) -> str:
-    """Main text of a page, by the winning path of its host, or by its own if that finds too little."""
+    If the page's own container holds the winner, what the host leaves out is no part of the text. A page without the
+    winner, or with most of its text elsewhere, is of another template: nothing of its container is lost.
+    """
     page = Page(html)
-    best = page.best()
-    own = page.text_below(best.path)
-    if winner is None or winner == best.path:
-        return own
-    text = page.text_below(winner)
-    return text if len(text) >= ENOUGH * len(own) else own
+    own = page.best()[0].path
+    if winner is None or winner == own or not page.has(winner):
+        return page.text_below(own)
+    return page.text_below(winner, own, frozenset(left_out) if winner.startswith(f"{own}>") else frozenset())
 
 
 def host_of(url: Column) -> Column:
@@ -279,35 +321,60 @@ def host_of(url: Column) -> Column:
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """``host, path``: the container path that most pages of a host suggest.
+    """``host, path, left_out``: the container path that most pages of a host suggest, and what it leaves out.
 
     Votes are summed in every task first, so a hot host is a few rows per task. Ties
-    go to the path with more text, then to the later name.
+    go to the path with more text, then to the later name. ``left_out`` are the paths beside the
+    winner that the pages suggesting it leave out, if fewer pages keep them.
     """
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes = [vote(x.as_py()) if x.is_valid else None for x in batch.column(1)]
+            # votes have a path, what they leave out a path and another, what pages keep another only
+            votes: Counter[tuple] = Counter()
+            scores: Counter[tuple] = Counter()
+            for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = vote(html.as_py()) if html.is_valid else None
+                if found is None:
+                    continue
+                path, score, left_out, kept = found
+                votes[host, path, None] += 1
+                scores[host, path, None] += score
+                votes.update((host, path, other) for other in left_out)
+                votes.update((host, None, other) for other in kept)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array([v and v[0] for v in votes], pa.string()),
-                    pa.array([v and v[1] for v in votes], pa.int64()),
+                    *(pa.array([k[i] for k in votes], pa.string()) for i in range(3)),
+                    pa.array(votes.values(), pa.int64()),
+                    pa.array([scores[k] for k in votes], pa.int64()),
                 ],
-                names=["host", "path", "score"],
+                names=["host", "path", "other", "votes", "score"],
             )
 
-    return (
+    votes = materialize(
         pages.select("host", "html")
-        .mapInArrow(run, "host string, path string, score long")
-        .where("path is not null")
-        .groupBy("host", "path")
-        .agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+        .mapInArrow(run, "host string, path string, other string, votes long, score long")
+        .groupBy("host", "path", "other")
+        .agg(F.sum("votes").alias("votes"), F.sum("score").alias("score")),
+        "votes",
+    )
+    winners = (
+        votes.where("path is not null and other is null")
         .groupBy("host")
         .agg(F.max(F.struct("votes", "score", "path")).alias("best"))
         .select("host", F.col("best.path").alias("path"))
     )
+    kept = votes.where("path is null").select("host", "other", F.col("votes").alias("kept"))
+    left_out = (
+        votes.where("other is not null")
+        .join(winners, ["host", "path"])
+        .join(kept, ["host", "other"], "left")
+        .where((F.col("votes") >= LEFT_OUT) & (F.col("votes") > F.coalesce("kept", F.lit(0))))
+        .groupBy("host")
+        .agg(F.collect_set("other").alias("left_out"))
+    )
+    return winners.join(left_out, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -315,7 +382,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Each page suggests the container that holds most of its text outside of menus, adverts,
     forms and the like, as a path of tags and classes without numbers. The
-    pages of a host vote, and every page is read again by the winning path. NULL html has
+    pages of a host vote, and every page is read again by the winning path; what a page itself suggests
+    beyond it stays, unless the host leaves it out. NULL html has
     no text; pages without a host name are one host; repeated rows are extracted (and vote) as often as they
     come. An empty table gives an empty result. Other columns are ignored. The table of
     winners is written first, so Spark knows its size and broadcasts it only if it is small.
@@ -327,8 +395,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                extract(html.as_py(), path.as_py()) if html.is_valid else ""
-                for html, path in zip(batch.column(2), batch.column(3), strict=True)
+                extract(html.as_py(), path.as_py(), left_out.as_py() or ()) if html.is_valid else ""
+                for html, path, left_out in zip(batch.column(2), batch.column(3), batch.column(4), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
@@ -337,7 +405,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     return (
         hosted.join(winners, "host", "left")
-        .select("page_id", "url", "html", "path")
+        .select("page_id", "url", "html", "path", "left_out")
         .mapInArrow(run, f"page_id {kind}, url string, text string")
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )
