@@ -315,3 +315,30 @@ def test_html_keeps_what_is_beside_the_body(spark):
     ):
         page = "<html><body>" + before.replace("{}", body) + "</body></html>"
         assert read_pages(spark, page, page)[0].split("\n\n") == lead + text
+
+
+def test_html_names_of_layouts(spark):
+    """A class of the whole layout takes no text with it; the same words on minor elements do."""
+    text = ["Title", *(("text " * n).strip() for n in (30, 40, 50))]
+    paragraphs = "".join(f"<p>{x}</p>" for x in text[1:])
+    article = f"<h1>Title</h1>{paragraphs}"
+    side = "<div class='sidebar'><p>side text</p></div>"
+    for wrapper in (
+        f"<div class='content has-sidebar'>{article}</div>{side}",
+        f"<div id='page' class='site no-sidebar'><div class='post'>{article}</div></div>",
+        f"<div class='elementor-widget-wrap'>{article}</div>",
+        f"<section class='with-navigation'>{article}</section>",
+        f"<div class='post no-comments'>{article}</div>",
+        f"<div class='comments-open'>{article}</div>",
+        f"<div class='page-sidebar-right'><div class='text'>{article}</div>{side}</div>",
+        f"<div class='header-layout'>{article}</div>",
+        f"<main><div class='with-header'>{article}</div></main>",
+        "<h1 class='widget'>Title</h1>" + "".join(f"<div class='elementor-widget'><p>{x}</p></div>" for x in text[1:]),
+    ):
+        page = f"<html><body>{wrapper}</body></html>"
+        assert read_pages(spark, page, page)[0].split("\n\n") == text, wrapper
+    # nothing but what is named noise
+    assert read_pages(spark, "<div class='comment-list'><p>all there is</p></div>") == ["all there is"]
+    # replies longer than the article are none of it
+    replies = "<div class='comments'><p>" + "reply " * 200 + "</p></div>"
+    assert read_pages(spark, f"<body><div class='post'>{article}</div>{replies}</body>")[0].split("\n\n") == text

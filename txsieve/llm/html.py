@@ -20,6 +20,11 @@ LEFT_OUT = 2
 #: A list is a menu if links hold at least this share of its text, in so many items or more.
 MENU_SHARE, MENU_ITEMS = 0.8, 3
 
+#: An element that holds at least this share of a page's text is no noise because of its name.
+MAJOR = 0.5
+#: ... or this share, if the name is one of replies and the title isn't inside.
+NEARLY_ALL = 0.9
+
 # fixed values: elements of HTML
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +46,11 @@ NOISE_NAMES = frozenset(
     "signup login comment comments commentlist discussion disqus respond reply replies share sharing social related "
     "recommended recommendations widget widgets pagination pager copyright legal disclaimer skip hidden form search".split()
 )
+# ... of these, what may be longer than the article
+REPLIES = frozenset("comment comments commentlist discussion disqus respond reply replies".split())
+# words that turn a name behind them into a layout: has-sidebar, no-comments
+LAYOUT = frozenset("has no non not with without".split())
+HEADER = frozenset(["header"])
 # elements that an opening tag closes
 CLOSES = {
     "li": frozenset(["li"]),
@@ -63,21 +73,35 @@ _GENERAL = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("parent", "tag", "path", "noise", "heading", "text", "links", "items")
+    __slots__ = ("parent", "tag", "path", "noise", "heading", "names", "main", "text", "links", "items")
 
-    def __init__(self, parent: Element | None, tag: str, path: str, noise: bool, heading: bool) -> None:
+    def __init__(
+        self, parent: Element | None, tag: str, path: str, noise: bool, heading: bool, names: frozenset[str] = frozenset()
+    ) -> None:
         self.parent, self.tag, self.path, self.noise, self.heading = parent, tag, path, noise, heading
+        self.names, self.main = names, False  # own names of noise; whether a title or main element is inside
         self.text = self.links = self.items = 0
 
 
 class Page:
-    """Blocks of text of a page with the elements around them. One pass, memory in proportion to the page."""
+    """Blocks of text of a page with the elements around them. One pass, memory in proportion to the page.
+
+    Names of noise count for elements with a minor share of the text. If nothing is
+    left, the page is parsed once more without them.
+    """
 
     def __init__(self, html: str) -> None:
         self.root = Element(None, "", "", False, False)
         self.elements: list[Element] = []
         self.blocks: list[tuple[Element, str, int]] = []  # element, text, characters in links
+        self.named: set[str] = set()  # paths of elements that are noise by name
+        self.by_name = True
         self._parse(html)
+        self._drop_named()
+        if not self.blocks:
+            self.elements, self.by_name = [], False
+            self.named.clear()
+            self._parse(html)
         for element, text, links in self.blocks:
             at: Element | None = element
             while at is not None:
@@ -93,6 +117,67 @@ class Page:
                 element.text += len(text) - links
                 element = element.parent
 
+    def _drop_named(self) -> None:
+        """Takes out the blocks of elements that are noise by name, replies first.
+
+        A name is no noise where it is the name of a layout: on an element with a major share of the text, or on
+        elements that together have one. Replies may be longer than the article, so they need the title inside or
+        nearly all of the text for that.
+        """
+        if not any(e.names for e in self.elements):
+            return
+        for element in self.elements:
+            e = element if element.tag in ("h1", "main") else None
+            while e is not None and not e.main:
+                e.main = True
+                e = e.parent
+        self._measure()
+        enough = MAJOR * self.root.text
+        replies = {
+            id(e): e.names & REPLIES
+            for e in self.elements
+            if e.names & REPLIES and e.text < (enough if e.main else NEARLY_ALL * self.root.text)
+        }
+        self._drop_blocks(replies)
+        self._measure()
+        enough = MAJOR * self.root.text
+        named = {id(e): e.names - REPLIES for e in self.elements if e.names - REPLIES and e.text < enough}
+        shares: Counter[str] = Counter()
+        for element, text, _ in self.blocks:
+            names, e = set(), element
+            while e is not None:
+                names |= named.get(id(e), frozenset())
+                e = e.parent
+            shares.update(dict.fromkeys(names, len(text)))
+        layout = {name for name, n in shares.items() if n >= enough}
+        self._drop_blocks({e: names - layout for e, names in named.items()})
+        for e in (self.root, *self.elements):
+            e.text = 0
+
+    def _measure(self) -> None:
+        for e in (self.root, *self.elements):
+            e.text = 0
+        for element, text, _ in self.blocks:
+            while element is not None:
+                element.text += len(text)
+                element = element.parent
+
+    def _drop_blocks(self, noise: dict[int, frozenset[str]]) -> None:
+        """Takes out the blocks inside of these elements; headings stay in the header of an article."""
+        kept = []
+        for block in self.blocks:
+            outermost, e = None, block[0]
+            while e is not None:
+                names = noise.get(id(e))
+                if names and not (e.heading and names == HEADER and self._is_heading(block[0])):
+                    outermost = e
+                e = e.parent
+            if outermost is None:
+                kept.append(block)
+            else:
+                self.named.add(outermost.path)
+        self.blocks = kept
+
     @staticmethod
     def _in_menu(element: Element | None) -> bool:
         while element is not None:
@@ -110,12 +195,19 @@ class Page:
         def flush() -> None:
             if pieces:
                 text = " ".join(unescape("".join(pieces)).split())
-                if text and not current.noise and not (current.heading and not self._is_heading(current)):
+                if text and not current.noise and not (in_header(current) and not self._is_heading(current)):
                     links = len(" ".join(unescape("".join(linked)).split()))
                     self.blocks.append((current, text, links))
                 pieces.clear()
                 linked.clear()
 
+        def in_header(e: Element | None) -> bool:
+            while e is not None and e.heading:
+                if e.tag == "header":
+                    return True
+                e = e.parent
+            return False
+
         def say(text: str) -> None:
             pieces.append(text)
             if in_link:
@@ -168,11 +260,12 @@ class Page:
             attributes = match[3]
             if tag not in BLOCKS and tag not in NOISE_TAGS and not attributes.strip():
                 continue
-            noise, name = self._judge(tag, attributes)
-            header = tag == "header" or (tag == "div" and "header" in _NAME.findall(name))
-            if tag not in BLOCKS and not noise:
+            noise, name, names = self._judge(tag, attributes)
+            if not self.by_name:
+                names = frozenset()
+            if tag not in BLOCKS and not noise and not names:
                 continue
-            if tag not in BLOCKS and noise and tag not in NOISE_TAGS:
+            if tag not in BLOCKS and tag not in NOISE_TAGS:
                 # an inline element that names itself noise: its text goes, up to its end
                 if not match[0].endswith("/>"):
                     end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
@@ -187,8 +280,12 @@ class Page:
                 continue
             path = f"{current.path}>{tag}.{name}" if name else f"{current.path}>{tag}"
             # the header of an article holds its headings, any other none of its text
+            header = tag == "header" or (tag == "div" and self.by_name and _names_header(name))
             heading = current.heading or (header and self._within_article(current))
-            current = Element(current, tag, path, current.noise or noise or (header and not heading), heading)
+            if header and tag == "div":
+                names = names | HEADER
+            noise = current.noise or noise or (tag == "header" and not heading)
+            current = Element(current, tag, path, noise, heading, names)
             self.elements.append(current)
         flush()
 
@@ -205,27 +302,28 @@ class Page:
         return False
 
     @staticmethod
-    def _judge(tag: str, attributes: str) -> tuple[bool, str]:
-        """Whether an element is noise by itself, and its generalised class or id."""
+    def _judge(tag: str, attributes: str) -> tuple[bool, str, frozenset[str]]:
+        """Whether an element is noise by itself, its generalised class or id, and its names of noise."""
         if tag in NOISE_TAGS:
-            return True, ""
+            return True, "", frozenset()
         if not attributes.strip():
-            return False, ""
+            return False, "", frozenset()
         found = {}
         for m in _ATTRIBUTE.finditer(attributes):
             key = (m[1] or m[5]).lower()
             found[key] = next((x for x in m.groups()[1:4] if x is not None), "").lower()
-        names = f"{found.get('class', '')} {found.get('id', '')}"
         noise = (
             "hidden" in found
             or found.get("aria-hidden") == "true"
             or found.get("role") in ROLES
             or "display:none" in found.get("style", "").replace(" ", "")
         )
+        names: set[str] = set()
         if tag not in ("html", "body", "main", "article") and not _is_heading_tag(tag):
-            noise = noise or any(w in NOISE_NAMES for w in _NAME.findall(names))
+            for each in f"{found.get('class', '')} {found.get('id', '')}".split():
+                names.update(_own_words(each) & NOISE_NAMES)
         first = (found.get("class") or found.get("id") or "").split()
-        return noise, _GENERAL.sub("#", first[0]) if first else ""
+        return noise, _GENERAL.sub("#", first[0]) if first else "", frozenset(names)
 
     def best(self) -> tuple[Element, set[str]]:
         """The container to which the text leads, and the paths of other containers left out on the way.
@@ -289,6 +387,16 @@ class Page:
         return any(e.text and e.path == path for e in self.elements) or path == ""
 
 
+def _own_words(name: str) -> set[str]:
+    """Words of a class or id, without those of what it has or has not."""
+    words = _NAME.findall(name)
+    return set(words[: next((i for i, w in enumerate(words) if w in LAYOUT), len(words))])
+
+
+def _names_header(name: str) -> bool:
+    return "header" in _own_words(name)
+
+
 def _is_heading_tag(tag: str) -> bool:
     return len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
 
@@ -297,7 +405,7 @@ def vote(html: str) -> tuple[str, int, set[str], set[str]] | None:
     """Path and score of the container that a page suggests, the paths it leaves out and those it keeps; none without text."""
     page = Page(html)
     best, left_out = page.best()
-    return (best.path, best.text, left_out, page.paths_below(best)) if best.text > 0 else None
+    return (best.path, best.text, left_out | page.named, page.paths_below(best)) if best.text > 0 else None
 
 
 def extract(html: str, winner: str | None, left_out: Iterable[str] = ()) -> str:
