@@ -9,8 +9,8 @@ from txsieve.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.keep_good(docs)
+    """Documents that the quality rules keep, without the common lines of their source."""
+    return quality.without_common_lines(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

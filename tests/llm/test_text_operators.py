@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from txsieve.llm import chat, mixing, quality, sharding, winnow
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -231,3 +232,13 @@ def test_empty_tables(edge):
     assert quality.keep_good(none).count() == 0
     assert mixing.mix_plan(none).count() == 0
     assert winnow.edited_likeness(none).count() == 0
+
+
+def test_the_pipeline_takes_common_lines_out(spark):
+    notice = " ".join(f"notice{j}" for j in range(40))
+    own = [" ".join(f"d{i}x{j}" for j in range(80)) for i in range(30)]
+    docs = spark.createDataFrame([(i, f"{x}\n{notice}", "a") for i, x in enumerate(own)], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["quality_rules"]
+    after = stage(spark, docs, "")
+    assert after.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == dict(enumerate(own))
