@@ -342,3 +342,18 @@ def test_html_names_of_layouts(spark):
     # replies longer than the article are none of it
     replies = "<div class='comments'><p>" + "reply " * 200 + "</p></div>"
     assert read_pages(spark, f"<body><div class='post'>{article}</div>{replies}</body>")[0].split("\n\n") == text
+
+
+def test_one_row_of_each_text_group(spark):
+    """Which texts stay, with ids that are NULL or shared by different texts."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "tu")
+    rows = [(1, one), (None, one + " more"), (None, "alone with no id at all"), (None, two), (None, two)]
+    rows += [(5, "first text of five"), (5, "second text of five"), (5, one + " x"), (7, None), (None, None), (None, ""), (None, " "), (8, ""), (8, "")]
+    docs = documents(spark, *rows)
+    kept = setsketch.keep_one(docs.repartition(4))
+    assert kept.columns == docs.columns
+    expected = [
+        (1, one), (None, "alone with no id at all"), (None, two), (5, "first text of five"), (5, "second text of five"),
+        (7, None), (None, None), (None, ""), (None, " "), (8, ""), (8, ""),
+    ]
+    assert sorted(map(repr, expected)) == sorted(repr((r["doc_id"], r["text"])) for r in kept.collect())

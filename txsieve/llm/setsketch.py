@@ -14,6 +14,8 @@ from txsieve.llm.components import connected_components
 from txsieve.session import materialize, ship_package
 
 SHINGLE = 5
+#: A character of a word: any but the ASCII white space.
+WORD = r"[^\x20\x09-\x0D]"
 #: Documents are linked from this similarity on: 100 * intersection >= 75 * union.
 PERCENT = 75
 #: Registers that make a band, and bands. A pair at the threshold shares no band
@@ -433,6 +435,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the component of their text, whose id is the smallest that isn't NULL; they are
     kept only if there is none. Repeated rows get equal rows. Other columns are ignored.
     """
+    sketched, of_node = grouped(docs)
+    smallest = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    components = of_node.join(smallest, "label").select("node", "component_id")
+    return (
+        sketched.select("doc_id", "node", "n_shingles")
+        .join(components, "node", "left")
+        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    )
+
+
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and ``node, doc_id, label`` of the texts with words.
+
+    ``doc_id`` is the smallest of the text; ``label`` tells components apart even if they share an id or have none.
+    """
     docs = docs.select("doc_id", "text")
     sketched = materialize(sketch(docs), "sketches")
     nodes = materialize(
@@ -449,14 +467,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of_node = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    smallest = of_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    components = of_node.join(smallest, "label").select("node", "component_id")
-    return (
-        sketched.select("doc_id", "node", "n_shingles")
-        .join(components, "node", "left")
-        .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
-    )
+    return sketched, of_node
 
 
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -473,13 +484,24 @@ def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies: that with the smallest id. Rows without words all stay."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """One row of each group of near copies: that with the smallest id, then the smallest text node.
+
+    NULL comes after all ids. Groups are told apart by their texts, so rows that share an id, or have none,
+    each stand for their own group. Rows without words all stay.
+    """
+    of_node = grouped(docs)[1]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    kept = of_node.groupBy("label").agg(first.alias("first")).select(
+        F.col("first.node").alias("kept_node"), F.col("first.doc_id").alias("kept_id")
+    )
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return (
-        docs.select(row, "doc_id")
-        .join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-        .groupBy("doc_id")
+    with_words = (
+        docs.where(has_words)
+        .select(row, "doc_id", node_of(F.col("text")).alias("node"))
+        .join(kept, (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
+        .groupBy("node")
         .agg(F.first("row").alias("row"))
         .select("row.*")
     )
+    return with_words.union(docs.where(~has_words))
