@@ -101,14 +101,16 @@ def test_components_of_a_path(spark):
     assert {found[f"{i:03d}"] for i in range(31)} == {"000"} and {found[f"{i:03d}"] for i in range(31, 61)} == {"031"}
 
 
+@pytest.mark.parametrize("special", [True, False])
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_encoder_equals_the_library(name):
+def test_encoder_equals_the_library(name, special):
     reference = Tokenizer.from_file(public_tokenizers.path(name))
-    reference.encode_special_tokens = True
+    reference.encode_special_tokens = not special
     rng = random.Random(1)
     parts = ["a", "B", "é", " ", " ", "\n", "\t", ".", "'s", "1", "日", "́", " ###", "ß", "İ", "\x1c", "　", "😀", "the"]
     texts = ODD + ["".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(1500)]
-    encode = TextEncoder(name, limit=50)
+    texts += [t.replace("a", x) for t in texts[:200] for x in ("<|endoftext|>", " <|STARTOFTEXT|> ")]
+    encode = TextEncoder(name, limit=50, special=special)
     assert all(encode.ids(t).tolist() == reference.encode(t, add_special_tokens=False).ids for t in texts)
 
 
@@ -123,7 +125,6 @@ def mixed_rows():
 
 def all_ids(name, rows, end):
     reference = Tokenizer.from_file(public_tokenizers.path(name))
-    reference.encode_special_tokens = True
     return [(i, [*reference.encode(t or "", add_special_tokens=False).ids, end]) for i, t in rows]
 
 

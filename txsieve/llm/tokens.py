@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import functools
 import struct
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Pieces and words that a worker remembers, about 200 bytes each, and the longest piece worth it.
-CACHE = 250_000
+#: Pieces in each of the two generations that a worker remembers, as many words, about 200 bytes each, and the longest piece worth it.
+CACHE = 125_000
 LONGEST = 64
 _PUNCTUATION = frozenset(".,;:!?")
 #: White space other than space and line end, and the mark that cuts pieces. A text with one takes the long way.
@@ -22,24 +23,48 @@ def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class TextEncoder(dict):
+class Remembered(dict):
+    """Values of ``make`` by key. A full generation becomes the old one and the old one goes;
+    a hit in the old one moves up, so what is frequent stays."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int) -> None:
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class TextEncoder:
     """Ids of a text as the tokenizer file gives them, without added special tokens.
 
+    Special tokens inside a text are what the library makes of them: with ``special``
+    their own ids, as by default, else ordinary text.
+
     A text is cut in front of spaces and line ends that stand alone between two
     characters that aren't white space. No token of these tokenizers crosses such
     a cut: they split texts into words first, and a word starts at the space
-    or after it. So a piece is encoded once and then looked up; the dictionary
+    or after it. So a piece is encoded once and then looked up; ``pieces``
     maps pieces to their ids as bytes. A piece of Latin letters, with one mark at the
     end perhaps, is one word and goes straight to the model of the tokenizer.
     """
 
-    def __init__(self, name: str, limit: int = CACHE) -> None:
+    def __init__(self, name: str, limit: int = CACHE, special: bool = True) -> None:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.lower() for t in added] if special else []
         self.model = self.tokenizer.model
         # the tokenizer with a normalizer lowers letters and drops white space
         self.lower = self.tokenizer.normalizer is not None
-        self.limit, self.words = limit, {}
+        self.pieces, self.words = Remembered(self._encode, limit), Remembered(self._word, limit)
         self.letters = self._letters()
 
     @staticmethod
@@ -50,15 +75,9 @@ class TextEncoder(dict):
         return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
     def _word(self, word: str) -> bytes:
-        """Ids of one word; it may come with other marks behind it, so it has a cache of its own."""
-        packed = self.words.get(word)
-        if packed is None:
-            letters = self.letters
-            if len(self.words) >= self.limit:
-                self.words.clear()
-            spelled = "".join([letters[b] for b in word.encode()])
-            packed = self.words[word] = _pack([t.id for t in self.model.tokenize(spelled)])
-        return packed
+        """Ids of one word; it may come with other marks behind it, so words are remembered by themselves."""
+        spelled = "".join([self.letters[b] for b in word.encode()])
+        return _pack([t.id for t in self.model.tokenize(spelled)])
 
     def _encode(self, piece: str) -> bytes:
         space = piece[:1] == " "
@@ -68,21 +87,15 @@ class TextEncoder(dict):
         mark = body[-1:] if body[-1:] in _PUNCTUATION else ""
         word = body[:-1] if mark else body
         if word.isalpha() and max(word) < "\u0250":
-            return self._word(" " + word if space else word) + (self._word(mark) if mark else b"")
+            return self.words[" " + word if space else word] + (self.words[mark] if mark else b"")
         return _pack(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    def __missing__(self, piece: str) -> bytes:
-        packed = self._encode(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = packed
-        return packed
-
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if "<" in text and any(s in text.lower() for s in self.special):
+            return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if not (
             text[0] in " \n"
             or text[-1] in " \n"
@@ -90,7 +103,7 @@ class TextEncoder(dict):
             or any(x in text for x in _OTHER_SPACE)
         ):
             cut = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-            return b"".join(map(self.__getitem__, cut))
+            return b"".join(map(self.pieces.__getitem__, cut))
         # cut at the plain places only
         parts, held, previous = [], "", ""
         for k, part in enumerate(text.split(" ")):
@@ -102,13 +115,13 @@ class TextEncoder(dict):
                 held += whole
             previous = part
         parts.append(held)
-        return b"".join([self[x] for x in parts if x])
+        return b"".join([self.pieces[x] for x in parts if x])
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u4")
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(name: str) -> TextEncoder:
+def encoder(name: str, special: bool = True) -> TextEncoder:
     """The encoder of this worker process, kept from task to task."""
-    return TextEncoder(name)
+    return TextEncoder(name, special=special)
