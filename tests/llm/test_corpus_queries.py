@@ -31,7 +31,7 @@ def test_oracle(name, spark, duck, sf_dir):
 
 
 def test_one_query_per_operator():
-    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 11))
+    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir, tmp_path):

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsieve.llm import chat, html, langid, mixing, packing, quality, rangecoder, setsketch, sharding, winnow
+from txsieve.llm import (
+    alignment, chat, html, langid, mixing, packing, productquant, quality, rangecoder, setsketch, sharding, vectorcodes, winnow,
+)
 from txsieve.llm.common import table
 from txsieve.session import materialize, scratch_path
 
@@ -260,3 +262,18 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_text")
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op11_vector_codes", vectorcodes.oracle())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.encode(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query("op13_near_vectors")
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return productquant.near_vectors(table(spark, sf_dir, "embeddings"))
