@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,12 +13,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txsieve.llm.tokens import TextEncoder, encoder
+from txsieve.llm.tokens import CACHE, LONGEST, TextEncoder, encoder, pack_ids, plain_pieces
 from txsieve.session import materialize, ship_package
 
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
-#: Bytes of text that are aligned at once, and of a segment that a longer text is cut into.
+#: Characters that are aligned at once, and of a segment that a longer text is cut into.
 BATCH = 1 << 20
 SEGMENT = 1 << 18
 #: Documents that leave a task together, and links they hold together.
@@ -45,16 +46,59 @@ class Vocabularies:
         entries = [self.a.tokenizer.id_to_token(i) for i in range(size)]
         self.a_bytes = [bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode() for e in entries]
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.a_lengths = np.array([len(x) for x in self.a_bytes])
-        self.b_lengths = np.array([len(x) for x in self.b_bytes])
+        self.a_lengths, self.a_text, self.a_starts = self._flat(self.a_bytes)
+        self.b_lengths, self.b_text, self.b_starts = self._flat(self.b_bytes)
         numbers = max(len(self.a_bytes), len(self.b_bytes))
         #: Each id with each mark that may follow it: the next token, the other side, the next group.
         self.written = [b"%d%c" % (i, mark) for i in range(numbers) for mark in b",|;"]
+        self.new: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(_SPACE, " ").encode()
 
+    @staticmethod
+    def _flat(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.array([len(x) for x in entries])
+        return lengths, np.frombuffer(b"".join(entries), np.uint8), np.cumsum(lengths) - lengths
+
+    def spells(self, ids: np.ndarray, side: str, raw: np.ndarray) -> np.ndarray:
+        """Which bytes of ``raw`` the tokens, as long as ``raw`` together, spell."""
+        lengths, text, starts = (getattr(self, f"{side}_{x}") for x in ("lengths", "text", "starts"))
+        n = lengths[ids]
+        return text[np.repeat(starts[ids] - np.cumsum(n) + n, n) + np.arange(len(raw))] == raw
+
+    def encode(self, segments: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of a space and each segment, of A and of B, which adds the space itself.
+
+        A token of B holds a space at its front only, and a line end is a token of its own, so pieces are
+        cut as for A. What isn't remembered of a batch is encoded at once.
+        """
+        cuts = [plain_pieces(" " + s) for s in segments]
+        known = {"": (b"", b"")}
+        missing = []
+        for piece in set(itertools.chain.from_iterable(c for c in cuts if c)) - {""}:
+            found = self.new.get(piece) or self.old.get(piece)
+            if found:
+                known[piece] = found
+            else:
+                missing.append(piece)
+        # B adds a space to what begins with a line end, too
+        for piece, b in zip(missing, self.b.encode([p.removeprefix(" ") for p in missing]) if missing else [], strict=True):
+            known[piece] = self.a.encode_piece(piece), pack_ids(b if piece[0] == " " else b[1:])
+        self.new.update((p, found) for p, found in known.items() if len(p) <= LONGEST)
+        if len(self.new) > CACHE:
+            self.old, self.new = self.new, {}
+        result = []
+        for segment, cut in zip(segments, cuts, strict=True):
+            if cut:
+                found = [known[p] for p in cut]
+                result.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+            else:
+                result.append((self.a.packed(" " + segment), pack_ids(self.b.encode(segment))))
+        return result
+
 
 _vocabularies: list[Vocabularies] = []
 
@@ -133,34 +177,38 @@ class Aligner:
 
     def __init__(self) -> None:
         self.v = vocabularies()
-        self.held: list[tuple[Document, bytes, str]] = []
+        self.held: list[tuple[Document, str]] = []
         self.size = 0
 
     def add(self, document: Document, text: str) -> None:
         for segment in segments(text):
-            raw = b" " + segment.encode()
-            self.held.append((document, raw, segment))
-            self.size += len(raw)
+            self.held.append((document, segment))
+            self.size += len(segment)
             if self.size >= BATCH:
                 self.align()
 
     def align(self) -> None:
         """All that is held. The documents' bytes follow each other, so their ends are ends of groups too."""
-        v, fitting, a_parts, b_parts = self.v, [], [], []
-        for (document, raw, segment), b_ids in zip(
-            self.held, v.b.encode([s for _, _, s in self.held], num_threads=1) if self.held else [], strict=True
-        ):
-            a_ids = v.a.ids(" " + segment)
-            joined = b"".join([v.a_bytes[i] for i in a_ids.tolist()]), b"".join([v.b_bytes[i] for i in b_ids])
-            if joined != (raw, raw):
-                document.fits = False
-            if document.fits:
-                fitting.append(document)
-                a_parts.append(a_ids.astype(np.int64))
-                b_parts.append(np.array(b_ids, np.int64))
+        if not self.held:
+            return
+        v, raws = self.v, [b" " + s.encode() for _, s in self.held]
+        sizes = np.array([len(r) for r in raws])
+        ids = [[np.frombuffer(x, "<u4").astype(np.int64) for x in pair] for pair in v.encode([s for _, s in self.held])]
+        spelled = [v.a_lengths[a].sum() == n and v.b_lengths[b].sum() == n for (a, b), n in zip(ids, sizes, strict=True)]
+        chosen = np.flatnonzero(spelled)
+        if len(chosen):
+            raw = np.frombuffer(b"".join([raws[k] for k in chosen]), np.uint8)
+            a, b = (np.concatenate([ids[k][side] for k in chosen]) for side in (0, 1))
+            same = v.spells(a, "a", raw) & v.spells(b, "b", raw)
+            starts = np.cumsum(sizes[chosen]) - sizes[chosen]
+            chosen = chosen[np.logical_and.reduceat(same, starts)]
+        chosen = set(chosen.tolist())
+        for k, (document, _) in enumerate(self.held):
+            document.fits &= k in chosen
+        parts = [(self.held[k][0], *ids[k]) for k in sorted(chosen) if self.held[k][0].fits]
         self.held, self.size = [], 0
-        if fitting:
-            self._count(fitting, a_parts, b_parts)
+        if parts:
+            self._count(*map(list, zip(*parts, strict=True)))
 
     def _count(self, documents: list[Document], a_parts: list[np.ndarray], b_parts: list[np.ndarray]) -> None:
         a_ids, b_ids = np.concatenate(a_parts), np.concatenate(b_parts)

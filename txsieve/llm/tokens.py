@@ -19,10 +19,17 @@ _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not
 _DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
 
-def _pack(ids: list[int]) -> bytes:
+def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def plain_pieces(text: str) -> list[str] | None:
+    """``text`` cut in front of its spaces and line ends; None if white space of another kind or place is in it."""
+    if text[0] == "\n" or text[-1] in " \n" or any(x in text for x in _DOUBLE) or any(x in text for x in _OTHER_SPACE):
+        return None
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
 class Remembered(dict):
     """Values of ``make`` by key. A full generation becomes the old one and the old one goes;
     a hit in the old one moves up, so what is frequent stays."""
@@ -31,9 +38,7 @@ class Remembered(dict):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.old[key] if key in self.old else self.make(key)
         if len(key) <= LONGEST:
             if len(self) >= self.limit:
                 self.old = dict(self)
@@ -64,7 +69,7 @@ class TextEncoder:
         self.model = self.tokenizer.model
         # the tokenizer with a normalizer lowers letters and drops white space
         self.lower = self.tokenizer.normalizer is not None
-        self.pieces, self.words = Remembered(self._encode, limit), Remembered(self._word, limit)
+        self.pieces, self.words = Remembered(self.encode_piece, limit), Remembered(self._word, limit)
         self.letters = self._letters()
 
     @staticmethod
@@ -77,9 +82,9 @@ class TextEncoder:
     def _word(self, word: str) -> bytes:
         """Ids of one word; it may come with other marks behind it, so words are remembered by themselves."""
         spelled = "".join([self.letters[b] for b in word.encode()])
-        return _pack([t.id for t in self.model.tokenize(spelled)])
+        return pack_ids([t.id for t in self.model.tokenize(spelled)])
 
-    def _encode(self, piece: str) -> bytes:
+    def encode_piece(self, piece: str) -> bytes:
         space = piece[:1] == " "
         body = piece[1:] if space else piece
         if self.lower:
@@ -88,21 +93,16 @@ class TextEncoder:
         word = body[:-1] if mark else body
         if word.isalpha() and max(word) < "\u0250":
             return self.words[" " + word if space else word] + (self.words[mark] if mark else b"")
-        return _pack(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        return pack_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if "<" in text and any(s in text.lower() for s in self.special):
-            return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if not (
-            text[0] in " \n"
-            or text[-1] in " \n"
-            or any(x in text for x in _DOUBLE)
-            or any(x in text for x in _OTHER_SPACE)
-        ):
-            cut = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        cut = plain_pieces(text)
+        if cut:
             return b"".join(map(self.pieces.__getitem__, cut))
         # cut at the plain places only
         parts, held, previous = [], "", ""

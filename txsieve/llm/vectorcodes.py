@@ -22,7 +22,9 @@ SCALE = 1024
 #: Coefficients added before entries are eliminated anew.
 STEP = 4
 #: Rows compared with a codebook at once.
-BLOCK = 2048
+BLOCK = 512
+#: Entries are compared one by one once less than this share of them is left, and as a block before.
+FEW = 0.1
 #: Bits of a limb of a sum of numbers that 64 bits don't hold.
 LIMB = 30
 #: Rows of a label are spread over so many groups when its total comes back to them.
@@ -63,22 +65,29 @@ def transformed(rows: np.ndarray) -> np.ndarray:
 def nearest(rows: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest of transformed ``entries`` for transformed ``rows`` (ties to the lower), and the squared distance.
 
-    Squared differences are added up a few coefficients at a time. The entry that
-    leads after the first gives a bound; whatever exceeds it is out for good.
+    Squared differences are added up a few coefficients at a time. The whole distance of the
+    entry that leads by then is a bound; what exceeds the least bound is out for good.
     """
     size = rows.shape[1]
     found, errors = [], []
     for start in range(0, len(rows), BLOCK):
         block = rows[start : start + BLOCK]
-        sums = np.zeros((len(block), len(entries)), rows.dtype)
-        for k in range(min(STEP, size)):
-            difference = block[:, k, None] - entries[None, :, k]
-            sums += difference * difference
-        lead = entries[sums.argmin(1)] - block
-        bound = (lead * lead).sum(1)
-        row, entry = np.nonzero(sums <= bound[:, None])
+        sums, bound, done = np.zeros((len(block), len(entries)), rows.dtype), None, 0
+        while True:
+            for k in range(done, min(done + STEP, size)):
+                difference = block[:, k, None] - entries[None, :, k]
+                difference *= difference
+                sums += difference
+            done += STEP
+            lead = entries[sums.argmin(1)] - block
+            whole = (lead * lead).sum(1)
+            bound = whole if bound is None else np.minimum(bound, whole)
+            left = sums <= bound[:, None]
+            if done >= size or left.sum() < FEW * left.size:
+                break
+        row, entry = np.nonzero(left)
         sums = sums[row, entry]
-        for k in range(STEP, size, STEP):
+        for k in range(done, size, STEP):
             difference = block[row, k : k + STEP] - entries[entry, k : k + STEP]
             sums = sums + (difference * difference).sum(1)
             left = sums <= bound[row]
