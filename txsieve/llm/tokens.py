@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 #: Pieces in each of the two generations that a worker remembers, as many words, about 200 bytes each, and the longest piece worth it.
 CACHE = 125_000
 LONGEST = 64
-_PUNCTUATION = frozenset(".,;:!?")
+#: Marks that make a token of their own behind a word, alone or in a row; an apostrophe may belong to the word.
+_MARKS = '.,;:!?%&#*$|<>()[]{}"/+=@^~-'
 #: White space other than space and line end, and the mark that cuts pieces. A text with one takes the long way.
 _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["\0"]
 _DOUBLE = ("  ", " \n", "\n ", "\n\n")
@@ -57,7 +58,7 @@ class TextEncoder:
     characters that aren't white space. No token of these tokenizers crosses such
     a cut: they split texts into words first, and a word starts at the space
     or after it. So a piece is encoded once and then looked up; ``pieces``
-    maps pieces to their ids as bytes. A piece of Latin letters, with one mark at the
+    maps pieces to their ids as bytes. A piece of Latin letters, with marks at the
     end perhaps, is one word and goes straight to the model of the tokenizer.
     """
 
@@ -89,10 +90,10 @@ class TextEncoder:
         body = piece[1:] if space else piece
         if self.lower:
             space, body = False, body.lower()
-        mark = body[-1:] if body[-1:] in _PUNCTUATION else ""
-        word = body[:-1] if mark else body
+        word = body.rstrip(_MARKS)
         if word.isalpha() and max(word) < "\u0250":
-            return self.words[" " + word if space else word] + (self.words[mark] if mark else b"")
+            found = self.words[" " + word if space else word]
+            return found + self.words[body[len(word) :]] if len(word) < len(body) else found
         return pack_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def packed(self, text: str) -> bytes:
