@@ -103,12 +103,21 @@ def test_sample_is_uniform_over_copies(spark):
 
 
 def test_offers_follow_the_binomial_law(spark):
-    hashed = spark.range(0, 40000, 1, 8).select(F.xxhash64("id").alias("h"))
-    offers = hashed.select(iforest._binomial(F.col("h"), 100, 0.02).alias("k"))
+    drawn = spark.range(0, 40000, 1, 8).select(iforest._uniform(F.md5(F.col("id").cast("string"))).alias("u"))
+    offers = drawn.select(iforest._binomial(F.col("u"), 100, 0.02).alias("k"))
     row = offers.agg(F.avg("k"), F.var_pop("k"), F.min("k")).first()
     assert abs(row[0] - 2) < 0.03 and abs(row[1] - 1.96) < 0.08 and row[2] == 0
 
 
+def test_offered_trees_are_uniform_sets(spark):
+    ids = spark.range(0, 20000, 1, 8).select(F.col("id").cast("string").alias("row"))
+    trees = iforest._distinct_trees(F.lit(2), F.col("row"), 5, 42)
+    sets = ids.select(F.array_sort(trees).alias("t")).groupBy("t").count().collect()
+    assert len(sets) == 10 and all(abs(r["count"] / 2000 - 1) < 0.1 for r in sets)
+    everything = ids.limit(50).select(F.array_sort(iforest._distinct_trees(F.lit(5), F.col("row"), 5, 42)))
+    assert {tuple(r[0]) for r in everything.collect()} == {(0, 1, 2, 3, 4)}
+
+
 def test_rows_without_identity_are_an_error(spark, table):
     nameless = table.withColumn("row_id", F.lit(None).cast("bigint"))
     with pytest.raises(ValueError, match="row_id"):

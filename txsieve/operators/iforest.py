@@ -7,6 +7,7 @@ the number of trees and the sample size, never on the data.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -30,6 +31,8 @@ from txsieve.session import materialize, ship_package
 
 EULER_GAMMA = 0.5772156649015329
 OVERSAMPLE = 4
+#: Scores that differ by less are equal.
+ROUNDING = 1e-12
 
 
 def average_path(n: int) -> float:
@@ -41,8 +44,14 @@ def average_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
-def _binomial(value: Column, trials: int, share: float) -> Column:
-    """A binomial number of successes as the quantile that a 64-bit hash stands for."""
+def _uniform(digest: Column, place: int = 0) -> Column:
+    """A number in [0, 1) from the ``place``-th 13 digits of an md5."""
+    digits = F.substring(digest, 13 * place + 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def _binomial(uniform: Column, trials: int, share: float) -> Column:
+    """A binomial number of successes as the quantile that ``uniform`` stands for."""
     if share >= 1:
         return F.lit(trials)
     successes, mass, below = F.lit(0), (1 - share) ** trials, 0.0
@@ -50,11 +59,31 @@ def _binomial(value: Column, trials: int, share: float) -> Column:
         below += mass
         if below >= 1 - 2**-53:
             break
-        successes = successes + (value >= F.lit(int((below - 0.5) * 2**64))).cast("int")
+        successes = successes + (uniform >= F.lit(below)).cast("int")
         mass *= (trials - k) / (k + 1) * share / (1 - share)
     return successes
 
 
+def _distinct_trees(offers: Column, row: Column, n_trees: int, seed: int) -> Column:
+    """``offers`` different trees, every such set being equally likely (Floyd's method: one hash a tree)."""
+    steps = F.transform(
+        F.sequence(F.lit(n_trees) - offers, F.lit(n_trees - 1)),
+        lambda last: F.struct(
+            last.alias("last"),
+            F.floor(
+                _uniform(F.md5(F.concat_ws(":", F.lit(f"tree:{seed}"), row, last.cast("string")))) * (last + 1)
+            ).cast("int").alias("drawn"),
+        ),
+    )
+    return F.aggregate(
+        steps,
+        F.array().cast("array<int>"),
+        lambda taken, step: F.array_append(
+            taken, F.when(F.array_contains(taken, step["drawn"]), step["last"]).otherwise(step["drawn"])
+        ),
+    )
+
+
 def sample_trees(
     rows: DataFrame,
     features: list[str],
@@ -70,34 +99,25 @@ def sample_trees(
     Every tree is offered each row with the same small chance, which leaves about
     ``oversample * psi`` rows per tree, and takes those with the smallest hashes. One
     hash of a row decides by the binomial law how many trees it is offered to, so that
-    most rows of a large table are dropped in the scan; further hashes pick
-    the trees. Only the offers are shuffled. The hashes cover the row's identity
+    most rows of a large table are dropped in the scan; one further hash for each
+    offer picks a tree. Only the offers are shuffled. The hashes cover the row's identity
     and not its content: copies of a transaction are drawn independently, so a
     group of copies takes its share of a sample and never floods it.
 
-    Rows whose 64-bit hashes collide are ordered by content, which keeps the
-    choice reproducible.
+    All hashes are md5 of the seed, the identity and, for an offer, the tree, so that any
+    engine draws the same sample. Rows of equal identity are ordered by content.
 
     The second value tells whether every tree was offered every row (then a
     short sample cannot be extended).
     """
     share = min(1.0, oversample * psi / total)
-    row_hash = F.xxhash64(row_id)
+    row = F.col(row_id).cast("string")
     drawn = (
-        rows.select(row_hash.alias("row_hash"), *features)
-        .withColumn("offers", _binomial(F.xxhash64("row_hash", F.lit(seed)), n_trees, share))
+        rows.select(row.alias("row"), *features)
+        .withColumn("offers", _binomial(_uniform(F.md5(F.concat(F.lit(f"offer:{seed}:"), "row"))), n_trees, share))
         .where(F.col("offers") > 0)
-    )
-    order = F.transform(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda tree: F.struct(
-            F.xxhash64(F.col("row_hash"), tree, F.lit(seed)).alias("hash"), tree.alias("tree_id")
-        ),
-    )
-    drawn = (
-        drawn.withColumn("offer", F.explode(F.slice(F.sort_array(order), F.lit(1), F.col("offers"))))
-        .withColumn("tree_id", F.col("offer.tree_id"))
-        .withColumn("draw", F.xxhash64("tree_id", "row_hash", F.lit(~seed)))
+        .withColumn("tree_id", F.explode(_distinct_trees(F.col("offers"), F.col("row"), n_trees, seed)))
+        .withColumn("draw", F.md5(F.concat_ws(":", F.lit(f"draw:{seed}"), F.col("tree_id").cast("string"), "row")))
     )
     by_tree = Window.partitionBy("tree_id").orderBy("draw", *features)
     tasks = min(n_trees, rows.sparkSession.sparkContext.defaultParallelism)
@@ -111,7 +131,13 @@ def sample_trees(
     return sample, share >= 1
 
 
-def _grow(values: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
+def _draws(seed: int, tree: int, node: int) -> tuple[float, float]:
+    """The two numbers in [0, 1) that split a node."""
+    digest = hashlib.md5(f"split:{seed}:{tree}:{node}".encode()).hexdigest()
+    return int(digest[:13], 16) / 2**52, int(digest[13:26], 16) / 2**52
+
+
+def _grow(values: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]:
     """Nodes of one tree in heap numbering."""
     nodes, open_nodes = [], [(0, np.arange(len(values)), 0)]
     while open_nodes:
@@ -122,12 +148,12 @@ def _grow(values: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
         if depth == max_depth or usable.size == 0:
             nodes.append((node, None, None, None, None, len(members), depth))
             continue
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        right = inside[:, feature] > threshold
-        if not right.any():  # rounding put the threshold on the maximum
+        which, where = _draws(seed, tree, node)
+        feature = int(usable[int(which * len(usable))])
+        threshold = float(low[feature] + where * (high[feature] - low[feature]))
+        if threshold >= high[feature]:  # rounding put it on the maximum
             threshold = float(low[feature])
-            right = inside[:, feature] > threshold
+        right = inside[:, feature] > threshold
         left_id, right_id = 2 * node + 1, 2 * node + 2
         nodes.append((node, feature, threshold, left_id, right_id, len(members), depth))
         open_nodes += [
@@ -138,15 +164,17 @@ def _grow(values: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 
 def grow_trees(sample: DataFrame, features: list[str], psi: int, seed: int) -> DataFrame:
-    """Node table of the forest; a group holds the ``psi`` rows of one tree."""
+    """Node table of the forest; a group holds the ``psi`` rows of one tree.
+
+    Splits are drawn from md5 of (seed, tree, node), so a tree depends on its rows only, in no order.
+    """
     ship_package(sample.sparkSession)
     max_depth = max(1, math.ceil(math.log2(psi)))
     names = ["node_id", "feature", "threshold", "left_id", "right_id", "n", "depth"]
 
     def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
-        values = rows.sort_values("place")[features].to_numpy(dtype=float)
-        nodes = _grow(values, np.random.default_rng([seed, tree]), max_depth)
+        nodes = _grow(rows[features].to_numpy(dtype=float), seed, tree, max_depth)
         table = pd.DataFrame(nodes, columns=names)
         for name in ("feature", "left_id", "right_id"):
             table[name] = table[name].astype("Int32")
@@ -199,6 +227,11 @@ class Forest:
         return np.exp2(-total / (len(self.path) * self.norm))
 
 
+def is_above_offset(shifted: Column) -> Column:
+    """Whether a score lies above the offset; a difference by rounding does not count."""
+    return shifted > F.lit(ROUNDING)
+
+
 @dataclass(frozen=True)
 class AnomalyModel:
     """Fitted preprocessing, forest nodes and score offset."""
@@ -237,7 +270,7 @@ class AnomalyModel:
         """Add ``anomaly_score`` and ``is_anomaly`` in place; batch or streaming."""
         shifted = self.raw_score(df.sparkSession) - F.lit(self.offset)
         return df.withColumn("anomaly_score", shifted).withColumn(
-            "is_anomaly", F.col("anomaly_score") > 0
+            "is_anomaly", is_above_offset(F.col("anomaly_score"))
         )
 
 
@@ -308,6 +341,6 @@ def fit_isolation_forest(
     model = replace(model, offset=offset)
     flagged = scored.select(
         *keep, (F.col("raw_score") - F.lit(offset)).alias("anomaly_score")
-    ).withColumn("is_anomaly", F.col("anomaly_score") > 0)
+    ).withColumn("is_anomaly", is_above_offset(F.col("anomaly_score")))
     return model, flagged
 

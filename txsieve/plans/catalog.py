@@ -15,7 +15,7 @@ from txsieve.operators.quantiles import exact_quantiles
 from txsieve.operators.scoring import score_report
 from txsieve.operators.windows import window_stats
 from txsieve.plans import fixtures as fx
-from txsieve.plans import jobs
+from txsieve.plans import forest_sql, jobs
 from txsieve.schemas import FEATURES, MESSAGE_FIELDS, NODE_SCHEMA
 from txsieve.session import materialize, scratch_path
 from txsieve.sources import exports, feed, history, messages, registry, runlog
@@ -810,15 +810,16 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identified transactions as a table, which is what training expects to read."""
-    return materialize(fx.identified_transactions(spark, sf_dir), "transactions")
+    """Transactions identified by their hash, as a table, which is what training expects to read."""
+    tx = fx.enriched_transactions(spark, sf_dir).withColumn("row_id", F.col("hash"))
+    return materialize(tx, "transactions")
 
 
-@register("iforest_fit")
+@register("iforest_fit", forest_sql.nodes_sql(fx.ENRICHED_SQL))
 def iforest_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node table of the fitted forest."""
     model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
-    return spark.createDataFrame(model.nodes, NODE_SCHEMA)
+    return rounded(spark.createDataFrame(model.nodes, NODE_SCHEMA), "threshold")
 
 
 @register(
@@ -837,7 +838,7 @@ def iforest_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("iforest_score")
+@register("iforest_score", forest_sql.scores_sql(fx.ENRICHED_SQL))
 def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all rows; each is scored once, and incomplete ones have none."""
     tx = _stored_transactions(spark, sf_dir)
@@ -848,7 +849,7 @@ def iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     unscored = tx.where(missing).select(
         "hash", F.lit(None).cast("double").alias("anomaly_score"), F.lit(None).cast("boolean").alias("is_anomaly")
     )
-    return scored.unionByName(unscored)
+    return rounded(scored.unionByName(unscored), "anomaly_score")
 
 
 @register(
@@ -954,14 +955,27 @@ def _clear_flags(report: DataFrame) -> DataFrame:
     )
 
 
-@register("train_report")
+_TRAIN_SQL = f"""{forest_sql.trained(fx.ENRICHED_SQL)}
+select key, round(value, 6) as value
+from (unpivot (
+  select count(*)::double as num_transactions, (count(*) filter (where is_anomaly))::double as num_anomalies,
+         count(*) filter (where is_anomaly) / count(*) * 100 as anomaly_percentage,
+         {", ".join(
+             f"avg({name}) filter (where {condition}) as avg_{label}_{name}"
+             for name in ("fee", "size", "fee_rate")
+             for label, condition in (("normal", "not is_anomaly"), ("anomaly", "is_anomaly"))
+         )}
+  from flagged) on columns(*) into name key value value)"""
+
+
+@register("train_report", _TRAIN_SQL)
 def train_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History table → model, metrics, registry and export; returns the metrics."""
     path = scratch_path(spark, "train")
-    tx = fx.identified_transactions(spark, sf_dir).drop("time", "label")
-    history.append_history(tx, f"{path}/history")
+    tx = fx.enriched_transactions(spark, sf_dir).drop("time", "label")
+    history.append_history(tx.withColumn("row_id", F.col("hash")), f"{path}/history")
     run = jobs.train(spark, f"{path}/history", path)
-    return run.metrics.select("key", "value")
+    return rounded(run.metrics.select("key", "value"), "value")
 
 
 @register(
@@ -980,14 +994,24 @@ def train_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.read_params(spark, f"{path}/runs").select("key", "value").unionByName(rows)
 
 
-@register("score_report")
+_GUARDED_SQL = f"""select * replace (cast(fee as double) / greatest(size, 1) as fee_rate,
+                        cast(fee as double) / greatest(weight, 1) as fee_per_weight) from ({fx.ENRICHED_SQL})"""
+# ``_explanation_sql`` selects from a subquery, so the verdicts come as a table of their own.
+_VERDICT_SQL = f"""{forest_sql.verdicts(fx.ENRICHED_SQL, _GUARDED_SQL)},
+told as ({_explanation_sql("select * replace (fee / nullif(size, 0) as fee_rate) from verdict", 10000, 50, 50)})
+select hash as transaction_hash, round(anomaly_score, 6) as anomaly_score, is_anomaly,
+       case when anomaly_score is not null then explanation end as explanation
+from verdict join (select hash, explanation from told) using (hash)"""
+
+
+@register("score_report", _VERDICT_SQL)
 def score_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = _stored_transactions(spark, sf_dir)
     model, _ = fit_isolation_forest(tx)
-    return score_report(tx, model)
+    return rounded(score_report(tx, model), "anomaly_score")
 
 
-@register("stream_score")
+@register("stream_score", _VERDICT_SQL)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-scores")
     model, _ = fit_isolation_forest(_stored_transactions(spark, sf_dir))
@@ -996,4 +1020,4 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         tx, model, f"{path}/table", f"{path}/checkpoint", trigger=None
     )
     query.awaitTermination()
-    return history.read_history(spark, f"{path}/table")
+    return rounded(history.read_history(spark, f"{path}/table"), "anomaly_score")
