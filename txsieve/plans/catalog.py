@@ -6,6 +6,7 @@ import dataclasses
 import functools
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,10 @@ from txsieve.operators.scoring import score_report
 from txsieve.operators.windows import window_stats
 from txsieve.plans import fixtures as fx
 from txsieve.plans import forest_sql, jobs
-from txsieve.schemas import FEATURES, MESSAGE_FIELDS, NODE_SCHEMA
+from txsieve.schemas import CAP_QUANTILE, FEATURES, MESSAGE_FIELDS, NODE_SCHEMA
 from txsieve.session import materialize, scratch_path
-from txsieve.sources import exports, feed, history, messages, registry, runlog
-from txsieve.streaming import pipelines
+from txsieve.sources import commits, exports, feed, history, messages, registry, runlog
+from txsieve.streaming import live, pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -468,13 +469,11 @@ def kpi_cards_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
         format('{{:,}}', fee) as fee, printf('%.2f', fee_rate) as fee_rate,
         printf('%.2f', anomaly_score) as anomaly_score,
         case when is_anomaly then 'Anomaly' when not is_anomaly then 'Normal' else 'Unscored' end as status
-        from (select * from ({fx.PARTLY_SCORED_SQL}) where is_anomaly is null or fee % 2 = 0
-              order by transaction_time desc, hash limit 400)""",
+        from (select * from ({fx.GAPS_SQL}) order by transaction_time desc, hash limit 60)""",
 )
 def recent_table_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enough of the newest rows that some have no score."""
-    tx = fx.partly_scored_transactions(spark, sf_dir).where("is_anomaly is null or fee % 2 = 0")
-    return reports.recent_table(tx, rows=400)
+    """The newest rows, some of which have no score."""
+    return reports.recent_table(fx.gaps_in_scores(spark, sf_dir), rows=60)
 
 
 @register(
@@ -612,6 +611,14 @@ def feature_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features.caps_frame(rows, features.feature_caps(rows)), "cap")
 
 
+@register("feature_caps_rounds", _caps_sql(fx.ENRICHED_SQL))
+def feature_caps_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The caps of a table too large to rank: rounds of sampled cut points and exact counts come first."""
+    rows = _feature_rows(fx.enriched_transactions(spark, sf_dir))
+    caps = exact_quantiles(rows, FEATURES, CAP_QUANTILE, rankable=50)
+    return rounded(features.caps_frame(rows, caps), "cap")
+
+
 @register("feature_caps_orders", _caps_sql(fx.TX_ENRICHED_SQL))
 def feature_caps_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _feature_rows(enrich.with_ratios(fx.order_transactions(spark, sf_dir)))
@@ -806,6 +813,100 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(history.read_history(spark, f"{path}/table"), *_WINDOW_AVERAGES)
 
 
+_SLICES = 6
+
+
+def _sliced(spark: SparkSession, sf_dir: str, displaced: bool = False) -> DataFrame:
+    return materialize(fx.slices(fx.table(spark, sf_dir, "events"), _SLICES, displaced), "slices")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Events of a folder, one file a batch."""
+    schema = fx.table(spark, sf_dir, "events").schema
+    return messages.file_stream(spark, folder, "parquet", schema, maxFilesPerTrigger="1")
+
+
+def _enriched_events(events: DataFrame) -> DataFrame:
+    return pipelines.enriched(records.to_messages(fx.as_transactions(events)))
+
+
+@register(
+    "history_mixed_writes",
+    f"""select {columns_sql(TX_COLUMNS)}, fee_rate, fee_per_weight,
+        strftime(transaction_time, '%Y-%m-%d') as event_date from ({_STREAM_SQL})""",
+)
+def history_mixed_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table from a stream, appends by date and without, and a compaction in between."""
+    path = scratch_path(spark, "mixed")
+    events = _sliced(spark, sf_dir)
+
+    def stream(wanted: range) -> None:
+        fx.land_slices(events, f"{path}/landed", wanted)
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        pipelines.start_history(
+            tx, f"{path}/table", f"{path}/checkpoint", trigger=None, by_date=True
+        ).awaitTermination()
+
+    def append(k: int, by_date: bool) -> None:
+        rows = _enriched_events(events.where(F.col("slice") == k).drop("slice"))
+        history.append_history(rows, f"{path}/table", by_date=by_date)
+
+    stream(range(2))
+    append(2, by_date=True)
+    append(3, by_date=False)
+    commits.compact(spark, f"{path}/table", by_date=True)
+    stream(range(4, 5))
+    append(5, by_date=False)
+    stored = history.read_history(spark, f"{path}/table").drop("processing_time", "row_id")
+    return stored.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
+
+
+@register(
+    "stream_late_rows",
+    f"""with m as (
+          select hash, {SECONDS} as transaction_time, {fx.slice_sql(_SLICES, True)} as batch from ({fx.TXE_SQL})),
+        b as (select batch, max(transaction_time) as latest from m group by batch),
+        w as (select k.batch, (select max(latest) from b where b.batch <= k.batch - 2) - interval 10 minutes as watermark
+              from b k),
+        e as (select *, time_bucket(interval 10 minutes, transaction_time) + interval 10 minutes as window_end from m)
+        select hash, transaction_time, window_end, cast(batch as bigint) as batch
+        from e join w using (batch) where window_end <= watermark""",
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows below the watermark of their batch, over several batches of which each tenth row comes late."""
+    path = scratch_path(spark, "stream-late")
+    fx.land_slices(_sliced(spark, sf_dir, True), f"{path}/landed", range(_SLICES))
+    tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+    live.start_late_rows(tx, f"{path}/late", f"{path}/checkpoint", trigger=None).awaitTermination()
+    return live.read_late_rows(spark, f"{path}/late").select("hash", "transaction_time", "window_end", "batch")
+
+
+@register("stream_restart", ORACLES["stream_window_stats"])
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window statistics of a stream that is stopped after two batches, breaks off in the fourth and is resumed."""
+    path = scratch_path(spark, "stream-restart")
+    events = _sliced(spark, sf_dir)
+
+    def run(broken: bool = False) -> None:
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        if broken:
+            last = events.where(F.col("slice") == 3).agg(F.max("event_id")).first()[0]
+            failure = F.raise_error(F.lit("broken off")).cast("bigint")
+            tx = tx.withColumn("fee", F.when(F.col("hash") == f"tx_{last}", failure).otherwise(F.col("fee")))
+        pipelines.start_window_stats(tx, f"{path}/table", f"{path}/checkpoint", trigger=None).awaitTermination()
+
+    fx.land_slices(events, f"{path}/landed", range(2))
+    run()
+    fx.land_slices(events, f"{path}/landed", range(2, _SLICES))
+    try:
+        run(broken=True)
+    except StreamingQueryException:
+        run()
+    else:
+        raise AssertionError("the broken run has not ended with an error")
+    return rounded(history.read_history(spark, f"{path}/table"), *_WINDOW_AVERAGES)
+
+
 # --- anomaly model --------------------------------------------------------
 
 
@@ -946,12 +1047,119 @@ def known_forest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clear_flags(history.read_history(spark, f"{path}/table"))
 
 
-def _clear_flags(report: DataFrame) -> DataFrame:
+#: Raw scores of the known forest for all events, with two offsets: of version 1 and of version 2.
+_KNOWN_CTES = f"""
+with present as materialized (select hash, {FEATURE_DOUBLES} from ({fx.ENRICHED_SQL}) where {ALL_PRESENT}),
+cuts as (select {_CUTS_SQL} from present),
+bound as (select quantile_cont(raw, 0.99) as first_, quantile_cont(raw, 0.95) as second_
+          from (select {_known_raw_sql()} as raw from present, cuts)),
+guarded as (
+  select * replace (cast(fee as double) / greatest(size, 1) as fee_rate,
+                    cast(fee as double) / greatest(weight, 1) as fee_per_weight) from ({fx.ENRICHED_SQL})),
+known as materialized (
+  select guarded.*, value / 10 as seconds, case when {ALL_PRESENT} then {_known_raw_sql()} end as raw, first_, second_
+  from guarded join (select event_id, value from events) using (event_id), cuts, bound)"""
+
+
+@register(
+    "stream_score_reload",
+    f"""{_KNOWN_CTES},
+    versioned as (
+      select *, case when {fx.slice_sql(_SLICES)} < 3 then 1 else 2 end as model_version from known),
+    scored as (select *, raw - case when model_version = 1 then first_ else second_ end as score from versioned)
+    select hash as transaction_hash, round(score, 6) as anomaly_score, score > 1e-12 as is_anomaly, model_version from scored""",
+)
+def stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of a stream during which a second version of the model is registered."""
+    path = scratch_path(spark, "stream-reload")
+    events = _sliced(spark, sf_dir)
+    first = _known_forest(spark, sf_dir, f"{path}/models")
+
+    def run(wanted: range) -> None:
+        fx.land_slices(events, f"{path}/landed", wanted)
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        live.start_newest_scores(
+            tx, f"{path}/models", f"{path}/table", f"{path}/checkpoint", trigger=None
+        ).awaitTermination()
+
+    run(range(3))
+    rows = features.complete_rows(
+        materialize(fx.enriched_transactions(spark, sf_dir).select(*FEATURES), "features")
+    )
+    offset = exact_quantiles(rows.select(first.raw_score(spark).alias("raw")), ["raw"], 0.95)["raw"]
+    registry.save_model(spark, f"{path}/models", dataclasses.replace(first, offset=offset))
+    run(range(3, _SLICES))
+    stored = history.read_history(spark, f"{path}/table")
+    return _clear_flags(stored, "model_version")
+
+
+def _scored_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """All events as a stream of several batches, scored by the known forest, with observed durations."""
+    model = _known_forest(spark, sf_dir, f"{path}/models")
+    fx.land_slices(_sliced(spark, sf_dir, True), f"{path}/landed", range(_SLICES))
+    events = _event_stream(spark, sf_dir, f"{path}/landed")
+    tx = fx.as_transactions(events, (F.col("value") / 10).alias("seconds"))
+    return model.score(enrich.with_guarded_ratios(tx))
+
+
+_OBSERVED_COUNTS = {
+    "normal": "count(*) filter (where raw - first_ <= 1e-12)",
+    "anomalous": "count(*) filter (where raw - first_ > 1e-12)",
+    "errors": "count(*) filter (where raw is null)",
+    **{f"le_{b}": f"count(*) filter (where seconds <= {b})" for b in monitoring.LATENCY_BUCKETS},
+    "seconds_count": "count(seconds)",
+    "seconds_sum": "sum(seconds)",
+}
+
+
+@register(
+    "stream_observed_metrics",
+    f"{_KNOWN_CTES} "
+    + " union all ".join(
+        f"select '{name}' as metric, round(({value})::double, 6) as value from known"
+        for name, value in _OBSERVED_COUNTS.items()
+    ),
+)
+def stream_observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters, error count and latency buckets that a listener stored batch by batch, added up."""
+    path = scratch_path(spark, "stream-observed")
+    scored = _scored_stream(spark, sf_dir, path)
+    listener = live.BatchMetrics(spark, f"{path}/metrics", "observed")
+    spark.streams.addListener(listener)
+    try:
+        observed = scored.observe("transactions", *live.observed_columns(F.col("seconds")))
+        pipelines.start_commits(
+            observed.select("hash", "anomaly_score", "is_anomaly"), f"{path}/table", f"{path}/checkpoint", None, False, "observed"
+        ).awaitTermination()
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    stored = live.read_batch_metrics(spark, f"{path}/metrics")
+    each = stored.select(F.explode("observed").alias("metric", "value"))
+    return rounded(each.groupBy("metric").agg(F.sum("value").alias("value")), "value")
+
+
+@register(
+    "stream_latest_score",
+    f"""{_KNOWN_CTES}
+    select label, round(raw - first_, 6) as value from known
+    qualify row_number() over (partition by label order by transaction_time desc, hash desc) = 1""",
+)
+def stream_latest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest score by label from a stream whose rows come out of order."""
+    path = scratch_path(spark, "stream-latest")
+    scored = _scored_stream(spark, sf_dir, path)
+    live.start_latest_scores(scored, f"{path}/table", f"{path}/checkpoint", trigger=None).awaitTermination()
+    return rounded(live.read_latest_scores(spark, f"{path}/table"), "value")
+
+
+def _clear_flags(report: DataFrame, *more: str) -> DataFrame:
     """Scores at the offset differ from it by rounding only, which mustn't decide the flag."""
     return report.select(
         "transaction_hash",
         F.round("anomaly_score", DIGITS).alias("anomaly_score"),
         (F.col("anomaly_score") > 1e-12).alias("is_anomaly"),
+        *more,
     )
 
 

@@ -99,6 +99,43 @@ from ({ENRICHED_SQL}) e,
             from ({TXE_SQL})))"""
 
 
+def slices(events: DataFrame, n: int, displaced: bool = False) -> DataFrame:
+    """Events with the slice of time, of ``n`` equal ones, in which they arrive: ``slice``.
+
+    Displaced, every tenth event comes two slices late.
+    """
+    total = events.agg(F.count(F.lit(1))).scalar()
+    own = F.floor(F.col("event_id") * n / total).cast("int")
+    if displaced:
+        own = F.least(own + F.when(F.col("event_id") % 10 == 3, 2).otherwise(0), F.lit(n - 1))
+    return events.withColumn("slice", own)
+
+
+def slice_sql(n: int, displaced: bool = False) -> str:
+    own = f"cast(floor(event_id * {n} / (select count(*) from events)) as int)"
+    return f"least({own} + case when event_id % 10 = 3 then 2 else 0 end, {n - 1})" if displaced else own
+
+
+def land_slices(events: DataFrame, folder: str, wanted: range) -> None:
+    """One Parquet file for each slice, in order, for a stream that takes file by file."""
+    for k in wanted:
+        events.where(F.col("slice") == k).drop("slice").coalesce(1).write.mode("append").parquet(folder)
+
+
+def gaps_in_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored transactions, where those with three inputs or a missing feature have no score, the newest too."""
+    scored = F.col("fee_rate").isNotNull() & (F.col("inputs_count") != 3)
+    return scored_transactions(spark, sf_dir).withColumns(
+        {name: F.when(scored, F.col(name)) for name in ("anomaly_score", "is_anomaly")}
+    )
+
+
+GAPS_SQL = f"""
+select * replace (case when fee_rate is not null and inputs_count <> 3 then anomaly_score end as anomaly_score,
+                  case when fee_rate is not null and inputs_count <> 3 then is_anomaly end as is_anomaly)
+from ({SCORED_SQL})"""
+
+
 def partly_scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored transactions, where those with a missing feature have no score."""
     scored = F.col("fee_rate").isNotNull()

@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_FORMAT = "parquet"
-DATE_COLUMN = "event_date"
-_NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
-
+from txsieve.sources import commits
+from txsieve.sources.commits import DATE_COLUMN, table_exists, with_event_date
 
-def table_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """Whether ``path`` holds a readable table of that format."""
-    try:
-        spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        condition = (error.getCondition() or "").split(".")[0]
-        if condition in _NO_TABLE:
-            return False
-        raise
-    return True
+DEFAULT_FORMAT = "parquet"
 
 
 def file_position() -> Column:
@@ -37,31 +25,37 @@ def read_history(
 ) -> DataFrame:
     """The stored table; ``ValueError`` if there is none at ``path``.
 
+    A table with commit records has the rows of its live commits, whether a stream, an append or a
+    compaction wrote them; any other folder is read as it is.
+
     With ``row_id`` it has the identity that was written with each row. Only a table
     without one gets the file positions, which copying or compacting changes.
     """
-    if not table_exists(spark, path, fmt):
+    if fmt == DEFAULT_FORMAT and commits.has_commits(spark, path):
+        table = commits.read_commits(spark, path)
+    elif table_exists(spark, path, fmt):
+        table = spark.read.format(fmt).load(path)
+    else:
         raise ValueError(f"no {fmt} table at {path}")
-    table = spark.read.format(fmt).load(path)
     if row_id and "row_id" not in table.columns:
         return table.select("*", file_position().alias("row_id"))
     return table
 
 
-def with_event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn(DATE_COLUMN, F.to_date("transaction_time"))
-
-
 def append_history(
     df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, by_date: bool = False
 ) -> None:
     """Append a batch, optionally partitioned by event date.
 
     The rebalance hint gathers a date into few files and lets adaptive
-    execution split a date that holds much more than the others.
+    execution split a date that holds much more than the others. A Parquet table
+    gets a commit record, see ``commits``; other formats keep their own log.
     """
     if by_date:
-        dated = with_event_date(df).hint("rebalance", DATE_COLUMN)
-        dated.write.format(fmt).mode("append").partitionBy(DATE_COLUMN).save(path)
+        df = with_event_date(df).hint("rebalance", DATE_COLUMN)
+    if fmt == DEFAULT_FORMAT:
+        commits.commit_rows(df, path, by_date=by_date)
+    elif by_date:
+        df.write.format(fmt).mode("append").partitionBy(DATE_COLUMN).save(path)
     else:
         df.write.format(fmt).mode("append").save(path)

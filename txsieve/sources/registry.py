@@ -2,8 +2,9 @@
 
 A version is a pair of partitions ``nodes/version=N`` and ``params/version=N``.
 The parameter row is written last and marks the version as complete, so readers
-never see half a model. A version is never overwritten: a writer that finds its
-partition taken fails.
+never see half a model. A writer first claims its number by creating a file that
+must not exist, so of two trainers that finish at once each gets its own version; a
+claimed number is never used again.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from txsieve.operators.features import Preprocessor
 from txsieve.operators.iforest import AnomalyModel
 from txsieve.schemas import MODEL_SCHEMA, NODE_SCHEMA
-from txsieve.sources.history import table_exists
+from txsieve.sources.commits import claim, table_exists
 
 
 def model_versions(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +45,10 @@ def _next_version(spark: SparkSession, path: str) -> int:
 
 
 def save_model(spark: SparkSession, path: str, model: AnomalyModel) -> int:
-    """Register a model under the next version number."""
+    """Register a model under the next version number that nobody else has claimed."""
     version = _next_version(spark, path)
+    while not claim(spark, f"{path}/claims/version={version}"):
+        version += 1
     nodes = spark.createDataFrame(model.nodes, NODE_SCHEMA)
     nodes.coalesce(1).write.mode("errorifexists").parquet(f"{path}/nodes/version={version}")
     fitted = model.preprocessor

@@ -12,6 +12,7 @@ from txsieve.operators.records import decode_messages, with_event_time
 from txsieve.operators.scoring import score_report
 from txsieve.operators.windows import watermarked_window_stats
 from txsieve.schemas import TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH
+from txsieve.sources import commits
 from txsieve.sources.history import DATE_COLUMN, DEFAULT_FORMAT, with_event_date
 
 
@@ -33,12 +34,25 @@ def table_writer(
     and stops, which suits backfills and tests.
     """
     writer = stream.writeStream.format(fmt).outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    if trigger is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=trigger)
+    return triggered(writer, checkpoint, trigger)
+
+
+def triggered(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> DataStreamWriter:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+
+
+def start_commits(
+    rows: DataFrame, path: str, checkpoint: str, trigger: str | None, by_date: bool, name: str
+) -> StreamingQuery:
+    """Write each batch as one commit, once, also if it is run again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        commits.commit_rows(batch, path, commits.stream_commit(batch, batch_id), by_date)
+
+    return triggered(rows.writeStream.foreachBatch(write), checkpoint, trigger).queryName(name).start()
 
 
 def start_history(
@@ -49,9 +63,15 @@ def start_history(
     trigger: str | None = TRIGGER_INTERVAL,
     by_date: bool = False,
 ) -> StreamingQuery:
-    """Keep every decoded transaction, late and unreadable ones included."""
+    """Keep every decoded transaction, late and unreadable ones included.
+
+    A Parquet table is written batch by batch with commit records, so that appended and compacted
+    rows belong to the same table; other formats keep their own log.
+    """
     if by_date:
         transactions = with_event_date(transactions)
+    if fmt == DEFAULT_FORMAT:
+        return start_commits(transactions, path, checkpoint, trigger, by_date, "history")
     writer = table_writer(
         transactions, checkpoint, fmt, trigger, DATE_COLUMN if by_date else None
     )
