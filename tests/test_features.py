@@ -6,8 +6,9 @@ import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
-from txsieve.operators import features
+from txsieve.operators import features, states
 from txsieve.schemas import FEATURES
+from txsieve.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +76,25 @@ def test_maxabs(spark):
     frame = spark.createDataFrame([(-4.0, 0.0), (2.0, 0.0)], "a double, z double")
     found = [tuple(row) for row in features.maxabs_scale(frame, ["a", "z"]).collect()]
     assert found == [(-1.0, None), (0.5, None)]
+
+
+def test_merged_states_equal_the_whole_table(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 6).select(
+        (F.col("id") % 7).cast("string").alias("event_date"),
+        *[(F.rand(k) * 1000 * (k + 1) + 1e6 * (F.col("id") % 7)).alias(name) for k, name in enumerate(FEATURES)],
+    )
+    rows = materialize(rows.withColumn("size", F.when(F.col("size") > 10, F.col("size"))), "states")
+    path = str(tmp_path / "states")
+    for k in (0, 3):
+        part = F.col("event_date") <= "2"
+        states.store_states(rows.where(part if k else ~part), path, commit=f"batch-{k}")
+        states.store_states(rows.where(part if k else ~part), path, commit=f"batch-{k}")  # counts once
+    merged = {r["feature"]: r for r in states.merged_states(states.read_states(spark, path)).collect()}
+    clean = features.complete_rows(rows, FEATURES)
+    for name in FEATURES:
+        want = clean.agg(F.count(name), F.avg(name), F.stddev_pop(name), F.max(F.abs(name))).first()
+        found = merged[name]
+        assert found["n"] == want[0] and found["max_abs"] == want[3]
+        assert found["mean"] == pytest.approx(want[1], rel=1e-12) and found["sd"] == pytest.approx(want[2], rel=1e-9)
+        rank = clean.where(F.col(name) <= found["cap"]).count() / want[0]
+        assert abs(rank - 0.99) < 0.002

@@ -10,7 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsieve.operators import enrich, features, filters, joins, monitoring, records, reports
+from txsieve.operators import enrich, features, filters, joins, monitoring, records, reports, states
 from txsieve.operators.iforest import AnomalyModel, average_path, fit_isolation_forest
 from txsieve.operators.quantiles import exact_quantiles
 from txsieve.operators.scoring import score_report
@@ -639,6 +639,26 @@ def feature_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features.moments_long(features.feature_moments(rows)), "mean", "sd")
 
 
+@register(
+    "feature_moments_merged",
+    f"with present as ({_present_sql(fx.ENRICHED_SQL)}) "
+    + " union all ".join(
+        f"select '{name}' as feature, count(*) as n, round(avg({name}), 6) as mean, "
+        f"round(stddev_pop({name}), 6) as sd, max(abs({name})) as max_abs from present"
+        for name in FEATURES
+    ),
+)
+def feature_moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments from the states of two appends, one state for each event date of an append."""
+    path = scratch_path(spark, "states")
+    events = fx.slices(fx.table(spark, sf_dir, "events"), 2, displaced=True)
+    for k in range(2):
+        tx = enrich.with_ratios(fx.as_transactions(events.where(F.col("slice") == k)))
+        states.store_states(commits.with_event_date(tx), path)
+    merged = states.merged_states(states.read_states(spark, path)).drop("cap")
+    return rounded(merged, "mean", "sd")
+
+
 @register(
     "winsorize_p99", f"select hash, {rounded_sql(FEATURES)} from ({_capped_sql(fx.ENRICHED_SQL)})"
 )
