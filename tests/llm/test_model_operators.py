@@ -231,6 +231,18 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in langid.identify(renamed).collect()} <= {"aa", "bb", "cc", "und"}
 
 
+def test_language_id_without_usable_ids(spark):
+    rows = language_rows(random.Random(2), 900)
+    for ids in (lambda i: None, lambda i: i % 3):
+        docs = spark.createDataFrame([(ids(r[0]), *r[1:]) for r in rows], SCHEMA)
+        found = langid.identify(docs).withColumn("place", F.lit(1)).collect()
+        assert len(found) == 900 and {r["lang_pred"] for r in found} == {"aa", "bb", "cc"}
+    copies = spark.createDataFrame([(None, "only one text", "dd", "s")] * 3000 + rows[:300], SCHEMA)
+    assert "dd" in {name for name, _ in langid.training_sample(copies)}
+    many = [(i, f"text number {i} of its kind", f"l{i % 250}", "s") for i in range(2000)]
+    assert len({name for name, _ in langid.training_sample(spark.createDataFrame(many, SCHEMA))}) == 250
+
+
 def test_language_id_without_labels(spark):
     docs = spark.createDataFrame([(1, "abc", None, "s")], SCHEMA)
     assert langid.identify(docs).first()["lang_pred"] == "und"

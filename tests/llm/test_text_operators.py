@@ -95,6 +95,14 @@ def water_fill(sizes):
         open_names -= stopped
 
 
+def test_mix_of_rows_without_usable_ids(spark):
+    for ids in (lambda i: None, lambda i: i % 12):
+        rows = [(ids(i), f"{i} " + "w " * 49, "abc"[i % 3]) for i in range(6000)]
+        plan = mixing.mix_plan(spark.createDataFrame(rows, SCHEMA))
+        for target, taken in plan.groupBy("source_size", "target").agg(F.sum("taken")).select("target", "sum(taken)").collect():
+            assert abs(taken / target - 1) < 0.03
+
+
 def test_mix(spark, edge):
     rows = [(i, "w " * (1 + i * i % 90), f"s{min(i % 7, 4)}" if i % 11 else None) for i in range(3000)]
     docs = spark.createDataFrame(rows, SCHEMA)

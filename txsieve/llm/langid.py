@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txsieve.session import ship_package
+from txsieve.session import materialize, ship_package
 
 #: Bytes of a window, the network's input; shorter texts are padded with zeros.
 WINDOW = 256
@@ -20,8 +20,8 @@ FILTERS = 16
 #: Bound of the training sample: labelled rows per language, and windows of each row.
 TRAIN_ROWS = 400
 TRAIN_WINDOWS = 4
-#: Languages that may be learned at most; the most frequent ones are taken.
-MAX_LANGUAGES = 200
+#: With more languages each gets as much less, one row at least; every one is learned.
+FULL_LANGUAGES = 200
 EPOCHS = 10
 BATCH = 64
 SEED = 7
@@ -182,39 +182,39 @@ def held_out() -> Column:
 
 
 def training_sample(docs: DataFrame) -> list[tuple[str, bytes]]:
-    """At most ``TRAIN_ROWS`` rows of each of the ``MAX_LANGUAGES`` languages, a few windows of each.
+    """At most ``TRAIN_ROWS`` rows of each language, fewer where there are more than ``FULL_LANGUAGES``,
+    and a few windows of each row.
 
-    Rows are chosen by a hash of the id below a share that follows from exact
-    counts, windows spread over the whole text, so no order or size matters.
+    Rows are chosen by a hash of id and text below a share that follows from exact
+    counts, then the smallest hashes of each language, windows spread over the whole text, so no
+    order or size matters, nor whether ids are NULL or repeated.
     """
-    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = (
-        labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    )
-    if not counts:
-        return []
-    bits = 2**31
-    share = F.coalesce(
-        *[
-            F.when(F.col("lang") == row["lang"], F.lit(min(bits, int(bits * 0.9 * TRAIN_ROWS / row["count"]) + 1)))
-            for row in counts
-        ],
-        F.lit(0),
-    )
-    chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(bits))
+    chosen = F.xxhash64(F.lit(SEED), "doc_id", "text").alias("order")
     step = F.floor(F.octet_length("text") / TRAIN_WINDOWS).cast("int")
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(TRAIN_WINDOWS - 1)),
         lambda i: F.substring(F.col("text").cast("binary"), i * step + 1, F.lit(WINDOW)),
     )
-    rows = (
-        labelled.where(chance < share)
-        .select("lang", F.xxhash64(F.lit(SEED), "doc_id").alias("order"), pieces.alias("pieces"))
-        .orderBy("order", "lang")
-        .limit(TRAIN_ROWS * len(counts))
+    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counted = labelled.select("lang", chosen).groupBy("lang")
+    counts = materialize(counted.agg(F.count(F.lit(1)).alias("rows"), F.min("order").alias("least")), "languages")
+    languages = counts.count()
+    if not languages:
+        return []
+    rows = max(1, min(TRAIN_ROWS, TRAIN_ROWS * FULL_LANGUAGES // languages))
+    # about a tenth more than needed and some to spare, of which the smallest hashes are taken
+    share = F.least(F.lit(1.0), (1.1 * rows + 20) / F.col("rows")).alias("share")
+    found = (
+        labelled.select("lang", chosen, pieces.alias("pieces"))
+        .join(counts.select("lang", "least", share), "lang")
+        .where((F.pmod("order", F.lit(2**31)) < F.col("share") * 2**31) | (F.col("order") == F.col("least")))
+        .groupBy("lang", "order")  # equal rows are one
+        .agg(F.min("pieces").alias("pieces"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
+        .where(F.col("place") <= rows)
         .collect()
     )
-    return sorted({(row["lang"], bytes(piece)) for row in rows for piece in row["pieces"] if piece})
+    return sorted({(row["lang"], bytes(piece)) for row in found for piece in row["pieces"] if piece})
 
 
 def fit(docs: DataFrame) -> ByteNetwork | None:
@@ -278,7 +278,7 @@ def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs`` (``doc_id, text, lang``).
 
     Learns from labelled rows that are not held out. Repeated rows are judged
-    alike; rows with NULL id count as one id. An empty table gives an empty
+    alike; a NULL id counts as '' where rows are held out. An empty table gives an empty
     result. Other columns are ignored.
     """
     used = docs.select("doc_id", "text", "lang")
@@ -291,7 +291,8 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose language is identified with a score of ``MIN_SCORE`` or more.
 
-    If nothing could be learned, there is no verdict and every row stays.
+    If nothing could be learned, there is no verdict and every row stays. Rows with NULL text, or without a letter,
+    are not identified; repeated rows and rows with NULL ids are each judged by their text. An empty table gives an empty result.
     """
     network = fit(docs.select("doc_id", "text", "lang"))
     if network is None:

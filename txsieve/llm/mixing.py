@@ -60,9 +60,10 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def draw(doc_id: Column) -> Column:
-    """A number from 0 to 1 that depends on the id alone, with 52 random bits."""
-    digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def draw(doc_id: Column, text: Column) -> Column:
+    """A number from 0 to 1 that depends on the id and the text alone, with 52 random bits."""
+    of_text = F.md5(F.coalesce(text, F.lit("")))
+    digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), of_text))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))
 
 
@@ -71,10 +72,11 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 
     A document of a source with repetition rate r (target by size) is taken
     floor(r) times, and once more with probability r - floor(r), decided by a
-    hash of its id. The table of sources is written first, so Spark knows its size
+    hash of its id and text. The table of sources is written first, so Spark knows its size
     and broadcasts it only if it is small. NULL source is a source of its own, last in the order; NULL
     text has size 0. A source without words has the target 0 and its documents
-    are not taken. Repeated rows draw alike. Other columns do not matter.
+    are not taken. Rows of equal id and text draw alike; rows whose ids are NULL or repeated
+    draw by their texts. An empty table gives an empty result. Other columns do not matter.
     """
     size = F.size(words_of(F.col("text"))).cast("bigint")
     sized = docs.select(
@@ -85,7 +87,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    more = F.when(draw(F.col("doc_id")) < rate - whole, F.lit(1)).otherwise(F.lit(0))
+    more = F.when(draw(F.col("doc_id"), F.col("row.text")) < rate - whole, F.lit(1)).otherwise(F.lit(0))
     return (
         sized.join(materialize(source_targets(sized), "sources"), "key")
         .withColumn("copies", (whole + more).cast("bigint"))
@@ -95,7 +97,11 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, each as often as the mix takes it."""
+    """Rows of ``docs`` with all their columns, each as often as the mix takes it, see ``mix_plan``.
+
+    Rows with NULL text or source are mixed like others, with size 0 or as a source of their own; repeated rows are
+    each taken as often. An empty table gives an empty result.
+    """
     repeats = F.sequence(F.lit(1).cast("bigint"), F.col("copies"))
     return (
         mix_plan(docs)

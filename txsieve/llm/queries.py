@@ -80,7 +80,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_mixing",
     f"""
     with d as (
-      select doc_id, coalesce('=' || source, '') as key,
+      select doc_id, md5(coalesce(text, '')) as of_text, coalesce('=' || source, '') as key,
              cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size
       from documents),
     s as (select key, cast(sum(size) as bigint) as source_size from d group by key),
@@ -106,7 +106,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned as (
       select doc_id, size, source_size, target,
              case when source_size > 0 then target / source_size else 0 end as rate,
-             ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint
+             ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null') || ':' || of_text), 1, 13))::bigint
                / 4503599627370496.0::double as u
       from d join targets using (key)),
     copied as (
