@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -370,3 +371,29 @@ def test_one_row_of_each_text_group(spark):
         (7, None), (None, None), (None, ""), (None, " "), (8, ""), (8, ""),
     ]
     assert sorted(map(repr, expected)) == sorted(repr((r["doc_id"], r["text"])) for r in kept.collect())
+
+
+def test_html_attributes_and_unknown_elements():
+    def text(page):
+        return html.extract(page, None)
+
+    assert text("<p data-x=it's>It isn't lost, is it.</p><p>More.</p>") == "It isn't lost, is it.\n\nMore."
+    assert text('<p title="5" tall">One.</p><p>Two.</p>') == "One.\n\nTwo."
+    assert text('<p title="a > b">One.</p>') == "One."
+    paragraphs = "".join(f"<p>Paragraph {i} of the story, long enough to count.</p>" for i in range(5))
+    assert text(f'<story-body class="widget-content">{paragraphs}</story-body>').count("Paragraph") == 5
+    assert text('<p>A <span class="search-hit">word</span> stays.</p>') == "A word stays."
+    noise = '<p>A <span class="ad">x <span>y</span> z</span>word stays.</p>'
+    assert text(noise) == "A word stays."
+    assert text("<p>An <x-term>odd</x-term> word stays in its paragraph.</p>") == "An odd word stays in its paragraph."
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<a x='" * 200_000, '<a x=">" ' * 120_000, "<div>" * 200_000, "<p><b>x" * 100_000, "<span hidden>" * 80_000,
+     "<li><ul>" * 100_000 + "</li>" * 1000, "<!-- " * 200_000, "".join(f"<div><p>text {i}</p>" for i in range(4000))],
+)
+def test_html_takes_time_in_proportion(page):
+    start = time.process_time()
+    html.extract(page, None)
+    assert time.process_time() - start < 30

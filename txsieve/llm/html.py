@@ -65,15 +65,33 @@ LISTS = frozenset("ul ol dl table tbody thead menu".split())
 # elements that are text themselves, no containers
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd td pre blockquote table figure figcaption hgroup header details address".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|(?<!\S)(hidden)(?!\S)", re.S)
+# inline elements; any other that isn't named here is a block if a block comes first inside of it
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark meter nobr output progress q rp rt ruby s samp "
+    "slot small span strike strong sub sup time tt u var picture".split()
+)
+#: Elements nested deeper become siblings, as in browsers.
+DEEPEST = 512
+
+# An attribute value that isn't quoted ends at white space or ">"; a tag without an end reaches to the end of the
+# page. Nothing is tried twice, so a page of any content takes time in proportion to its length.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+    r"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+)*+)(?:>|\Z)",
+    re.S,
+)
+_ATTRIBUTE = re.compile(
+    r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))?+)?+", re.S
+)
+_NEXT_TAG = re.compile(r"\s*+<([a-zA-Z][^\s/>]*+)")
 _P, _NOT_P = frozenset(["p"]), BLOCKS - {"p"}
 _NAME = re.compile(r"[a-z]+")
 _GENERAL = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("parent", "tag", "path", "noise", "heading", "names", "main", "text", "links", "items")
+    __slots__ = ("parent", "tag", "path", "noise", "heading", "names", "main", "text", "links", "items", "depth")
 
     def __init__(
         self, parent: Element | None, tag: str, path: str, noise: bool, heading: bool, names: frozenset[str] = frozenset()
@@ -81,6 +99,7 @@ class Element:
         self.parent, self.tag, self.path, self.noise, self.heading = parent, tag, path, noise, heading
         self.names, self.main = names, False  # own names of noise; whether a title or main element is inside
         self.text = self.links = self.items = 0
+        self.depth: int = parent.depth + 1 if parent is not None else 0
 
 
 class Page:
@@ -95,6 +114,8 @@ class Page:
         self.elements: list[Element] = []
         self.blocks: list[tuple[Element, str, int]] = []  # element, text, characters in links
         self.named: set[str] = set()  # paths of elements that are noise by name
+        self.paths: dict[tuple[str, str], str] = {}  # path below a path, one string for all
+        self.own_blocks: set[str] = set()  # other elements that hold blocks
         self.by_name = True
         self._parse(html)
         self._drop_named()
@@ -102,20 +123,15 @@ class Page:
             self.elements, self.by_name = [], False
             self.named.clear()
             self._parse(html)
-        for element, text, links in self.blocks:
-            at: Element | None = element
-            while at is not None:
-                at.text += len(text)
-                at.links += links
-                at.items += 1
-                at = at.parent
+        self._measure()
+        for element, _, links in self.blocks:
+            element.links += links
+            element.items += 1
+        for e in reversed(self.elements):  # parents come first
+            e.parent.links += e.links
+            e.parent.items += e.items
         self.blocks = [b for b in self.blocks if not self._in_menu(b[0])]
-        for e in (self.root, *self.elements):
-            e.text = 0
-        for element, text, links in self.blocks:
-            while element is not None:
-                element.text += len(text) - links
-                element = element.parent
+        self._measure(linked=False)
 
     def _drop_named(self) -> None:
         """Takes out the blocks of elements that are noise by name, replies first.
@@ -154,13 +170,14 @@ class Page:
         for e in (self.root, *self.elements):
             e.text = 0
 
-    def _measure(self) -> None:
+    def _measure(self, linked: bool = True) -> None:
+        """Text of every element with what lies inside of it, without that of links unless ``linked``."""
         for e in (self.root, *self.elements):
             e.text = 0
-        for element, text, _ in self.blocks:
-            while element is not None:
-                element.text += len(text)
-                element = element.parent
+        for element, text, links in self.blocks:
+            element.text += len(text) if linked else len(text) - links
+        for e in reversed(self.elements):  # parents come first
+            e.parent.text += e.text
 
     def _drop_blocks(self, noise: dict[int, frozenset[str]]) -> None:
         """Takes out the blocks inside of these elements; headings stay in the header of an article."""
@@ -188,6 +205,7 @@ class Page:
 
     def _parse(self, html: str) -> None:
         at, current = 0, self.root
+        ends: dict[int, int] | None = None
         pieces: list[str] = []
         linked: list[str] = []
         in_link = 0
@@ -241,7 +259,7 @@ class Page:
             if closing:
                 if tag == "a":
                     in_link = max(0, in_link - 1)
-                if tag in BLOCKS or tag in NOISE_TAGS:
+                if tag in BLOCKS or tag in NOISE_TAGS or tag in self.own_blocks:
                     leave({tag}, frozenset() if tag != "li" else LISTS)
                 continue
             if tag in RAW:
@@ -258,27 +276,34 @@ class Page:
                 in_link = 1
                 continue
             attributes = match[3]
-            if tag not in BLOCKS and tag not in NOISE_TAGS and not attributes.strip():
+            block = tag in BLOCKS
+            if not block and tag not in NOISE_TAGS and tag not in INLINE:
+                inside = _NEXT_TAG.match(html, at)
+                block = inside is not None and inside[1].lower() in BLOCKS
+                if block:
+                    self.own_blocks.add(tag)
+            if not block and tag not in NOISE_TAGS and not attributes.strip():
                 continue
             noise, name, names = self._judge(tag, attributes)
             if not self.by_name:
                 names = frozenset()
-            if tag not in BLOCKS and not noise and not names:
-                continue
-            if tag not in BLOCKS and tag not in NOISE_TAGS:
-                # an inline element that names itself noise: its text goes, up to its end
-                if not match[0].endswith("/>"):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                    at = end.end() if end else at
+            if not block and tag not in NOISE_TAGS:
+                # an inline element that is noise, or all of whose name says so: its text goes, up to its end
+                if (noise or (names and self._named_inline(attributes))) and not match[0].endswith("/>"):
+                    ends = ends if ends is not None else self._ends(html)
+                    at = ends.get(at, at)
                 continue
             flush()
-            if tag in BLOCKS:
+            if block:
                 leave(_P, _NOT_P)
                 if tag in CLOSES:
                     leave(CLOSES[tag], LISTS)
-            if match[0].endswith("/>") and tag not in BLOCKS:
+            if match[0].endswith("/>") and not block:
                 continue
-            path = f"{current.path}>{tag}.{name}" if name else f"{current.path}>{tag}"
+            if current.depth >= DEEPEST:
+                current = current.parent
+            step = f">{tag}.{name}" if name else f">{tag}"
+            path = self.paths.setdefault((current.path, step), current.path + step)
             # the header of an article holds its headings, any other none of its text
             header = tag == "header" or (tag == "div" and self.by_name and _names_header(name))
             heading = current.heading or (header and self._within_article(current))
@@ -289,6 +314,31 @@ class Page:
             self.elements.append(current)
         flush()
 
+    @staticmethod
+    def _named_inline(attributes: str) -> bool:
+        """Whether a class or the id consists of names of noise only: ``share-links`` doesn't, ``share`` does."""
+        for m in _ATTRIBUTE.finditer(attributes):
+            if m[1].lower() in ("class", "id"):
+                value = next((x for x in m.groups()[1:4] if x is not None), "").lower()
+                if any(words and words <= NOISE_NAMES for words in map(_own_words, value.split())):
+                    return True
+        return False
+
+    @staticmethod
+    def _ends(html: str) -> dict[int, int]:
+        """Where each inline element ends, by the end of its opening tag; those without an end are left out."""
+        ends: dict[int, int] = {}
+        opened: dict[str, list[int]] = {}
+        for m in _TOKEN.finditer(html):
+            tag = (m[2] or "").lower()
+            if not tag or tag in BLOCKS or tag in VOID:
+                continue
+            if not m[1]:
+                opened.setdefault(tag, []).append(m.end())
+            elif opened.get(tag):
+                ends[opened[tag].pop()] = m.end()
+        return ends
+
     @staticmethod
     def _is_heading(element: Element) -> bool:
         return element.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -310,8 +360,7 @@ class Page:
             return False, "", frozenset()
         found = {}
         for m in _ATTRIBUTE.finditer(attributes):
-            key = (m[1] or m[5]).lower()
-            found[key] = next((x for x in m.groups()[1:4] if x is not None), "").lower()
+            found.setdefault(m[1].lower(), next((x for x in m.groups()[1:4] if x is not None), "").lower())
         noise = (
             "hidden" in found
             or found.get("aria-hidden") == "true"
