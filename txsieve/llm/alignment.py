@@ -88,7 +88,7 @@ class Vocabularies:
         for piece, b in zip(missing, self.b.encode([p.removeprefix(" ") for p in missing]) if missing else [], strict=True):
             known[piece] = self.a.encode_piece(piece), pack_ids(b if piece[0] == " " else b[1:])
         self.new.update((p, found) for p, found in known.items() if len(p) <= LONGEST)
-        if len(self.new) > CACHE:
+        if len(self.new) > CACHE // 2:
             self.old, self.new = self.new, {}
         result = []
         for segment, cut in zip(segments, cuts, strict=True):

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import functools
 import struct
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Pieces in each of the two generations that a worker remembers, as many words, about 200 bytes each, and the longest piece worth it.
-CACHE = 125_000
+#: Pieces in each of the two generations that a worker remembers, about 200 bytes each, and the longest piece worth it.
+CACHE = 250_000
 LONGEST = 64
 #: Marks that make a token of their own behind a word, alone or in a row; an apostrophe may belong to the word.
 _MARKS = '.,;:!?%&#*$|<>()[]{}"/+=@^~-'
@@ -21,7 +23,7 @@ _DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
 
 def pack_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return array("I", ids).tobytes() if sys.byteorder == "little" else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def plain_pieces(text: str) -> list[str] | None:
@@ -39,7 +41,9 @@ class Remembered(dict):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.old[key] if key in self.old else self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= LONGEST:
             if len(self) >= self.limit:
                 self.old = dict(self)
@@ -70,7 +74,7 @@ class TextEncoder:
         self.model = self.tokenizer.model
         # the tokenizer with a normalizer lowers letters and drops white space
         self.lower = self.tokenizer.normalizer is not None
-        self.pieces, self.words = Remembered(self.encode_piece, limit), Remembered(self._word, limit)
+        self.pieces, self.marks = Remembered(self.encode_piece, limit), Remembered(self._word, limit)
         self.letters = self._letters()
 
     @staticmethod
@@ -81,8 +85,11 @@ class TextEncoder:
         return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
     def _word(self, word: str) -> bytes:
-        """Ids of one word; it may come with other marks behind it, so words are remembered by themselves."""
-        spelled = "".join([self.letters[b] for b in word.encode()])
+        """Ids of one word, or of marks in a row."""
+        if word.isascii():  # printable letters stand for themselves
+            spelled = word.replace(" ", self.letters[32])
+        else:
+            spelled = "".join([self.letters[b] for b in word.encode()])
         return pack_ids([t.id for t in self.model.tokenize(spelled)])
 
     def encode_piece(self, piece: str) -> bytes:
@@ -91,9 +98,10 @@ class TextEncoder:
         if self.lower:
             space, body = False, body.lower()
         word = body.rstrip(_MARKS)
-        if word.isalpha() and max(word) < "\u0250":
-            found = self.words[" " + word if space else word]
-            return found + self.words[body[len(word) :]] if len(word) < len(body) else found
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            if len(word) < len(body):  # words are remembered by themselves, and come with other marks
+                return self.pieces[" " + word if self.lower or space else word] + self.marks[body[len(word) :]]
+            return self._word(" " + word if space else word)
         return pack_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def packed(self, text: str) -> bytes:
