@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import time
 import zlib
@@ -9,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -201,6 +203,30 @@ def test_range_coder_blocks():
         rangecoder.decode_blocks([bytes(broken)])
 
 
+def test_range_coder_packs_better_than_deflate(sf_dir):
+    texts = pq.read_table(f"{os.path.dirname(sf_dir)}/sf0.01/documents.parquet").column("text").to_pylist()
+    encode = TextEncoder(rangecoder.TOKENIZER)
+    ids = np.concatenate([encode.ids(t or "") for t in texts])
+    blocks = rangecoder.cut(ids)
+    coded = rangecoder.encode_blocks(blocks)
+    deflated = sum(len(zlib.compress(b.astype("<u2").tobytes(), 6)) for b in blocks)
+    assert sum(map(len, coded)) < 0.95 * deflated
+    payload = rangecoder.join_payload(coded)
+    assert rangecoder.split_payload(payload) == coded
+    back = rangecoder.decode_blocks(coded)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back, strict=True))
+
+
+def test_damaged_blocks_are_found():
+    rng = np.random.default_rng(8)
+    coded = rangecoder.encode_blocks([(rng.zipf(1.3, 3000) % 50000).astype(np.uint32)])[0]
+    for at in rng.integers(8, len(coded) - 2, 60):
+        broken = bytearray(coded)
+        broken[at] ^= 1 << rng.integers(8)
+        with pytest.raises(ValueError, match="damaged"):
+            rangecoder.decode_blocks([bytes(broken)])
+
+
 def language_rows(rng, count):
     alphabets = {"aa": "abcde", "bb": "fghij", "cc": "абвгд"}
     rows = []

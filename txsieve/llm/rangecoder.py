@@ -1,17 +1,18 @@
 """Files of token ids, compressed by an adaptive context-mixing range coder.
 
-A block holds up to ``BLOCK`` ids and starts from a reset model, so blocks are
-coded independently. That is used twice: a damaged block spoils no other, and
-numpy codes many blocks in step, one array element each.
-
-For each id the model has three predictions: the id last seen after the same two
-ids (order 2), after the same id (order 1), and a table of recent ids (order 0).
-One symbol says which prediction is right or that a literal follows. Its
-probability mixes counts of three contexts: none, the last symbol with the
-agreement of the predictions, and the confidence of the predictions. Position
-in the order-0 table and literals are equally likely among themselves.
-
-The coder is a carry-less range coder with 64-bit state and 32-bit output words.
+A block holds up to ``BLOCK`` ids and starts from a reset model, so blocks are coded
+independently and a damaged one spoils no other. Its ids are cut into up to ``STREAMS``
+equal runs, each coded into words of its own, which share the model of the block:
+numpy codes the runs of many blocks in step, one array element each. The model learns
+after 8, 16, 32, ... ids of every run, from all runs at once, and stands still between.
+
+For each id there are three predictions: the id last seen after the same two ids (order
+2), after the same id (order 1), and counts of all ids on top of a prior that falls with the
+id (order 0). A first symbol says whether one of the two guesses is right; its probability mixes
+counts of two contexts, none and the confidence and agreement of the guesses. If both
+are wrong, the id follows by its order-0 count.
+
+The coder is a carry-less range coder with 64-bit state and 16-bit output words.
 """
 
 from __future__ import annotations
@@ -31,202 +32,289 @@ from txsieve.session import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
-#: Ids of a block; ids are below 65536.
-BLOCK = 2048
+#: Ids of a block, and the ids that there are.
+BLOCK = 65536
+IDS = 65536
+#: Runs of a block that are coded in step, and the least ids worth a run.
+STREAMS, LEAST_RUN = 128, 128
 #: Blocks that are coded in step.
-LANES = 4096
+LANES = 48
 #: Ids of a segment, the row of a file; a longer document makes a longer segment.
-SEGMENT = 256 * BLOCK
-MAGIC = b"TXRC"
-
-_ORDER0, _ORDER1, _ORDER2 = 9, 10, 11  # bits of the tables
-_TOTAL = 28
-_WORD = np.uint64(32)
-_LOW = np.uint64(2**32 - 1)
+SEGMENT = 8 * BLOCK
+MAGIC = b"TXRD"
+
+_KIND, _LITERAL = 12, 24  # bits of the probability of a kind, and of an id of order 0
+_TOTAL = np.uint64(_KIND + _LITERAL)
+_LITERAL_BITS = np.uint64(_LITERAL)
+_SHIFT, _TOP = np.uint64(16), np.uint64(48)
+_LEAST = np.uint64(2**48)
+_REST = np.uint64(2**48 - 1)
 _MIX1, _MIX2 = np.int32(0x1E3779B1), np.int32(0x05EBCA6B)
-_AT_LEAST = np.array([[1], [2], [3]], np.int32)
-_SUB_BITS = np.array([0, 0, _ORDER0, 16], np.uint64)
-_STEP, _MOST = 24, 200
-_ZERO, _ONE, _TWO, _THREE = np.arange(4, dtype=np.int32)
+#: An id that was seen weighs this much more each time than the prior of the last ids.
+_GAIN = 512
+_PRIOR = (2**16 // (np.arange(IDS) + 64) + 1).astype(np.int32)
+_CONTEXTS = 32
+#: The decoder looks an id up by these leading bits of its place; where ids share them it searches.
+_LEAD = 14
+_EXACT = 2**_LITERAL - IDS
+
+
+def _boundaries(steps: int) -> list[int]:
+    """Steps after which the model learns, up to ``steps``."""
+    marks = [0]
+    while marks[-1] < steps:
+        marks.append(min(steps, max(8, 2 * marks[-1])))
+    return marks
 
 
 class _Model:
-    """Tables of all lanes; ``before`` gives what both directions know, ``after`` learns an id."""
-
-    def __init__(self, lanes: int) -> None:
-        self.lane = np.arange(lanes, dtype=np.int32)
-        self.recent = np.zeros(lanes << _ORDER0, np.int32)
-        self.first = np.zeros(lanes << _ORDER1, np.int32)  # id * 4 + confidence
-        self.second = np.zeros(lanes << _ORDER2, np.int32)
-        self.counts = [np.ones((4, lanes * n), np.int32) for n in (1, 8, 16)]
-        self.previous = np.zeros(lanes, np.int32)
-        self.earlier = np.zeros(lanes, np.int32)
-        self.symbol = np.zeros(lanes, np.int32)
-        self.base0, self.base1, self.base2 = (self.lane << bits for bits in (_ORDER0, _ORDER1, _ORDER2))
-        self.bounds = np.zeros((5, lanes), np.int32)
-        self.bounds[4] = 4096
-
-    def before(self, n: int) -> None:
-        p = self.previous[:n]
-        self.at1 = self.base1[:n] + ((p * _MIX1 >> 12) & ((1 << _ORDER1) - 1))
-        self.at2 = self.base2[:n] + ((p * _MIX2 + self.earlier[:n] * _MIX1 >> 14) & ((1 << _ORDER2) - 1))
-        self.e1, self.e2 = self.first.take(self.at1), self.second.take(self.at2)
-        self.guess1, self.guess2 = self.e1 >> 2, self.e2 >> 2
-        lane = self.lane[:n]
-        self.places = [
-            lane,
-            (lane << 3) + (self.symbol[:n] << 1) + (self.guess1 == self.guess2),
-            (lane << 4) + ((self.e2 & 3) << 2) + (self.e1 & 3),
-        ]
-        mixed = self.counts[2].take(self.places[2], axis=1)
-        mixed <<= 1
-        mixed += self.counts[1].take(self.places[1], axis=1)
-        mixed <<= 1
-        mixed += self.counts[0][:, :n]
-        for k in (1, 2, 3):
-            mixed[k] += mixed[k - 1]
-        scale = np.float32(4092) / mixed[3]
-        self.bounds[1:4, :n] = mixed[:3] * scale
-        self.bounds[1:4] += _AT_LEAST
-
-    def interval(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and width of each lane's symbol, of 4096."""
-        lanes = self.bounds.shape[1]
-        at = symbol * lanes + self.lane[: len(symbol)]
-        begin, end = self.bounds.take(at), self.bounds.take(at + lanes)
-        return begin.astype(np.uint64), (end - begin).astype(np.uint64)
-
-    def slot(self, ids: np.ndarray) -> np.ndarray:
-        return (ids * _MIX1 >> 10) & ((1 << _ORDER0) - 1)
-
-    def after(self, ids: np.ndarray, slot: np.ndarray, symbol: np.ndarray) -> None:
-        n = len(ids)
-        self.recent[self.base0[:n] + slot] = ids
-        for table, at, entry, guess in (
-            (self.first, self.at1, self.e1, self.guess1),
-            (self.second, self.at2, self.e2, self.guess2),
-        ):
-            confidence = entry & 3
-            wrong = np.where(confidence > 0, entry - 1, ids << 2)
-            table[at] = np.where(guess == ids, entry + (confidence < 3), wrong)
-        for counts, at in zip(self.counts, self.places, strict=True):
-            flat = counts.reshape(-1)
-            place = symbol * counts.shape[1] + at
-            new = flat.take(place) + _STEP
-            flat[place] = new
-            full = np.flatnonzero(new > _MOST)
-            if len(full):
-                row = at[full]
-                counts[:, row] = (counts[:, row] >> 1) | 1
-        self.earlier[:n] = self.previous[:n]
-        self.previous[:n] = ids
-        self.symbol[:n] = symbol
+    """Tables of all blocks. ``lanes`` are their runs, of which the first ``n`` are still coded."""
+
+    def __init__(self, block_of_lane: np.ndarray, blocks: int) -> None:
+        self.blocks = blocks
+        self.block = block_of_lane.astype(np.int32)
+        self.base = self.block * np.int32(IDS)
+        self.place = self.block * np.int32(_CONTEXTS)
+        self.counts = np.zeros(blocks * IDS, np.int32)
+        self.first = np.zeros(blocks * IDS, np.int32)  # id * 4 + confidence
+        self.second = np.zeros(blocks * IDS, np.int32)
+        self.kinds = np.zeros((blocks * _CONTEXTS, 3), np.int32)
+        self.freeze()
+
+    def freeze(self) -> None:
+        """Intervals of the kinds and of the ids by what was learned so far."""
+        weights = (self.counts * np.int32(_GAIN)).reshape(self.blocks, IDS)
+        weights += _PRIOR
+        ends = np.cumsum(weights, axis=1, dtype=np.int32)
+        scaled = (ends * (_EXACT / ends[:, -1:].astype(np.float64))).astype(np.int32)
+        scaled += np.arange(1, IDS + 1, dtype=np.int32)
+        # the end of each id; the ids of a block lie after those of the blocks before
+        scaled += (np.arange(self.blocks, dtype=np.int32) << _LITERAL)[:, None]
+        self.ends = scaled.reshape(-1)
+        every = self.kinds.reshape(self.blocks, _CONTEXTS, 3).sum(axis=1)
+        every = 64 * every // np.maximum(1, every.sum(axis=1, keepdims=True))
+        mixed = 4 * self.kinds + np.repeat(every, _CONTEXTS, axis=0) + [1, 1, 2]
+        upto = np.cumsum(mixed, axis=1)
+        share = upto * (4093 / upto[:, -1:].astype(np.float64))
+        self.bounds = np.zeros((len(mixed), 4), np.int64)
+        self.bounds[:, 1:] = share.astype(np.int64) + [1, 2, 3]
+        self.bounds = self.bounds.reshape(-1)
+
+    def guesses(self, n: int, previous: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Places and entries of both orders, and the context of the kind, for lanes (first axis)."""
+        shape = (n,) + (1,) * (previous.ndim - 1)
+        base = self.base[:n].reshape(shape)
+        at1 = base + previous
+        at2 = base + ((previous * _MIX2 + earlier * _MIX1 >> 12) & np.int32(IDS - 1))
+        e1, e2 = self.first.take(at1), self.second.take(at2)
+        agree = (e1 ^ e2) < 4
+        context = self.place[:n].reshape(shape) + ((e2 & 3) << 3) + ((e1 & 3) << 1) + agree
+        return at1, at2, e1, e2, context
+
+    def interval(self, n: int, ids: np.ndarray, kind: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and width of the ids, of 2 ** (_KIND + _LITERAL)."""
+        at = (context << 2) + kind
+        begin, end = self.bounds.take(at), self.bounds.take(at + 1)
+        width = end - begin
+        start, size = self.literal(n, ids)
+        literal = kind == 2
+        low = (begin << _LITERAL) + np.where(literal, start, 0) * width
+        return low.astype(np.uint64), (np.where(literal, size, 1 << _LITERAL) * width).astype(np.uint64)
+
+    def starts(self) -> None:
+        """For the decoder: the first id of each lead, by block."""
+        above = np.bincount((self.ends - 1 >> np.int32(_LITERAL - _LEAD)) + 1, minlength=(self.blocks << _LEAD) + 1)
+        self.lead = np.minimum(np.cumsum(above), len(self.ends) - 1).astype(np.int32)
+
+    def find(self, sought: np.ndarray) -> np.ndarray:
+        """The ids, with their blocks, whose intervals hold the places."""
+        at = sought >> np.int32(_LITERAL - _LEAD)
+        found = self.lead.take(at)
+        several = np.flatnonzero(found != self.lead.take(at + 1))
+        here = np.searchsorted(self.ends, sought[several], side="right")
+        found[several] = np.minimum(here, len(self.ends) - 1)
+        return found
+
+    def literal(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shape = (n,) + (1,) * (ids.ndim - 1)
+        at = self.base[:n].reshape(shape) + ids
+        zero = (self.block[:n] << np.int32(_LITERAL)).reshape(shape)
+        start = np.where(ids > 0, self.ends.take(at - 1, mode="wrap"), zero)
+        return (start - zero).astype(np.int64), (self.ends.take(at) - start).astype(np.int64)
+
+    def learn(self, n: int, ids: np.ndarray, previous: np.ndarray, earlier: np.ndarray) -> None:
+        """Learns ``ids`` (lanes x steps) that were coded since the last time."""
+        at1, at2, e1, e2, context = self.guesses(n, previous, earlier)
+        kind = np.where((e2 >> 2) == ids, 0, np.where((e1 >> 2) == ids, 1, 2))
+        seen = np.bincount((context * 3 + kind).reshape(-1), minlength=self.kinds.size)
+        self.kinds += seen.reshape(self.kinds.shape).astype(np.int32)
+        self.counts += np.bincount((self.base[:n, None] + ids).reshape(-1), minlength=len(self.counts)).astype(np.int32)
+        for table, at, entry in ((self.first, at1, e1), (self.second, at2, e2)):
+            right = (entry >> 2) == ids
+            table[at.reshape(-1)] = np.where(
+                right, entry + ((entry & 3) < 3), np.where((entry & 3) > 0, entry - 1, (ids << 2))
+            ).reshape(-1)
+
+
+def _shape(n: int) -> tuple[int, int]:
+    """Runs of a block of ``n`` ids and the ids of a run."""
+    runs = max(1, min(STREAMS, n // LEAST_RUN))
+    return runs, -(-n // runs)
+
+
+def _lanes(sizes: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Order of the blocks, longest runs first; the block and the steps of each lane."""
+    order = sorted(range(len(sizes)), key=lambda i: -_shape(sizes[i])[1])
+    shapes = [_shape(sizes[i]) for i in order]
+    runs = np.array([s[0] for s in shapes], np.int64)
+    return order, np.repeat(np.arange(len(order)), runs), np.repeat(np.array([s[1] for s in shapes], np.int64), runs)
+
+
+def _history(ids: np.ndarray, n: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of steps ``a`` to ``b`` of the first ``n`` lanes, and the one and two before; two columns lead."""
+    return ids[:n, a + 2 : b + 2], ids[:n, a + 1 : b + 1], ids[:n, a:b]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Coded bytes of each block: ids, words and checksum of the ids, then the words."""
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    lengths = np.array([len(blocks[i]) for i in order])
-    steps = int(lengths[0]) if len(lengths) else 0
-    ids = np.zeros((steps, len(order)), np.int32)
-    for lane, i in enumerate(order):
-        ids[: len(blocks[i]), lane] = blocks[i]
-    model = _Model(len(order))
-    low = np.zeros(len(order), np.uint64)
-    span = np.full(len(order), 2**64 - 1, np.uint64)
-    words = np.zeros((len(order), steps + 4), np.uint32)
-    written = np.zeros(len(order), np.int64)
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # lanes longer than each step
-    for t in range(steps):
-        n = int(active[t])
-        x = ids[t, :n]
-        model.before(n)
-        slot = model.slot(x)
-        symbol = np.where(
-            model.guess2 == x,
-            _ZERO,
-            np.where(model.guess1 == x, _ONE, np.where(model.recent.take(model.base0[:n] + slot) == x, _TWO, _THREE)),
-        )
-        begin, width = model.interval(symbol)
-        sub = np.where(symbol == 2, slot, np.where(symbol == 3, x, _ZERO)).astype(np.uint64)
-        left = np.uint64(16) - _SUB_BITS[symbol]
-        unit = span[:n] >> np.uint64(_TOTAL)
-        part = width << left
-        low[:n] += ((begin << np.uint64(16)) + sub * part) * unit
-        span[:n] = part * unit
-        out = np.flatnonzero(span[:n] <= _LOW)
-        if len(out):
-            value, size = low[out], span[out]
-            words[out, written[out]] = value >> _WORD
-            written[out] += 1
-            size = np.minimum(size, np.uint64(2**32) - (value & _LOW))
-            low[out], span[out] = value << _WORD, size << _WORD
-        model.after(x, slot, symbol)
-    for k in (_WORD, np.uint64(0)):
-        words[model.lane, written] = ((low >> k) & _LOW).astype(np.uint32)
-        written += 1
+    """Coded bytes of each block: ids, words and checksum of the ids, the words of each run, then the words."""
+    if not blocks:
+        return []
+    order, block, steps = _lanes([len(b) for b in blocks])
+    lanes, most = len(block), int(steps[0])
+    ids = np.zeros((lanes, most + 2), np.int32)
+    at = 0
+    for i in order:
+        runs, length = _shape(len(blocks[i]))
+        padded = np.zeros(runs * length, np.int32)
+        padded[: len(blocks[i])] = blocks[i]
+        ids[at : at + runs, 2 : length + 2] = padded.reshape(runs, length)
+        at += runs
+    model = _Model(block, len(order))
+    low = np.zeros(lanes, np.uint64)
+    span = np.full(lanes, 2**64 - 1, np.uint64)
+    words = np.zeros((lanes, 4 * most + 4), np.uint16)
+    written = np.zeros(lanes, np.int64)
+    marks = _boundaries(most)
+    for a, b in zip(marks, marks[1:], strict=False):
+        for c in range(a, b, 128):  # bounds the arrays
+            d = min(b, c + 128)
+            n = int(np.searchsorted(-steps, -c, side="left"))
+            x, previous, earlier = _history(ids, n, c, d)
+            _, _, e1, e2, context = model.guesses(n, previous, earlier)
+            kind = np.where((e2 >> 2) == x, 0, np.where((e1 >> 2) == x, 1, 2))
+            begin, width = model.interval(n, x, kind, context)
+            begin, width = np.ascontiguousarray(begin.T), np.ascontiguousarray(width.T)
+            for t in range(d - c):
+                n = int(np.searchsorted(-steps, -(c + t), side="left"))
+                unit = span[:n] >> _TOTAL
+                low[:n] += begin[t, :n] * unit
+                unit *= width[t, :n]
+                span[:n] = unit
+                out = np.flatnonzero(unit < _LEAST)
+                while len(out):
+                    value, size = low[out], span[out]
+                    words[out, written[out]] = value >> _TOP
+                    written[out] += 1
+                    size = np.minimum(size, _LEAST - (value & _REST)) << _SHIFT
+                    low[out], span[out] = value << _SHIFT, size
+                    out = out[size < _LEAST]
+        if b < most:
+            n = int(np.searchsorted(-steps, -b, side="left"))
+            model.learn(n, *_history(ids, n, a, b))
+            model.freeze()
+    words[np.arange(lanes), written] = (low + _REST) >> _TOP
+    written += 1
     coded: list[bytes] = [b""] * len(order)
-    for lane, i in enumerate(order):
-        data = words[lane, : written[lane]].astype("<u4").tobytes()
+    at = 0
+    for i in order:
+        runs, _ = _shape(len(blocks[i]))
+        sizes = written[at : at + runs]
+        data = b"".join([words[at + k, : sizes[k]].astype("<u2").tobytes() for k in range(runs)])
         checksum = zlib.crc32(blocks[i].astype("<u4").tobytes())
-        coded[i] = struct.pack("<III", len(blocks[i]), int(written[lane]), checksum) + data
+        coded[i] = struct.pack("<III", len(blocks[i]), len(data) // 2, checksum) + sizes.astype("<u2").tobytes() + data
+        at += runs
     return coded
 
 
 def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     """Ids of the blocks; a block whose checksum differs is an error."""
+    if not coded:
+        return []
     heads = [struct.unpack_from("<III", c) for c in coded]
-    order = sorted(range(len(coded)), key=lambda i: -heads[i][0])
-    lengths = np.array([heads[i][0] for i in order])
-    steps = int(lengths[0]) if len(lengths) else 0
-    words = np.zeros((len(order), max((h[1] for h in heads), default=0) + 2), np.uint64)
-    for lane, i in enumerate(order):
-        words[lane, : heads[i][1]] = np.frombuffer(coded[i], "<u4", heads[i][1], 12)
-    ids = np.zeros((steps, len(order)), np.int32)
-    model = _Model(len(order))
-    low = np.zeros(len(order), np.uint64)
-    span = np.full(len(order), 2**64 - 1, np.uint64)
-    code = (words[:, 0] << _WORD) | words[:, 1]
-    read = np.full(len(order), 2, np.int64)
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    for t in range(steps):
-        n = int(active[t])
-        model.before(n)
-        unit = span[:n] >> np.uint64(_TOTAL)
-        value = np.minimum((code[:n] - low[:n]) // unit, np.uint64(2**_TOTAL - 1))
-        kind = (value >> np.uint64(16)).astype(np.int32)
-        symbol = (kind >= model.bounds[1:4, :n]).sum(axis=0, dtype=np.int32)
-        begin, width = model.interval(symbol)
-        part = width << (np.uint64(16) - _SUB_BITS[symbol])
-        sub = (value - (begin << np.uint64(16))) // part
-        number = sub.astype(np.int32)
-        slot = np.where(symbol == 2, number, _ZERO)
-        x = np.where(
-            symbol == 0,
-            model.guess2,
-            np.where(
-                symbol == 1,
-                model.guess1,
-                np.where(symbol == 2, model.recent.take(model.base0[:n] + slot), number),
-            ),
-        )
-        ids[t, :n] = x
-        low[:n] += ((begin << np.uint64(16)) + sub * part) * unit
-        span[:n] = part * unit
-        out = np.flatnonzero(span[:n] <= _LOW)
-        if len(out):
-            start, size = low[out], span[out]
-            size = np.minimum(size, np.uint64(2**32) - (start & _LOW))
-            low[out], span[out] = start << _WORD, size << _WORD
-            code[out] = (code[out] << _WORD) | words[out, read[out]]
-            read[out] += 1
-        model.after(x, model.slot(x), symbol)
+    order, block, steps = _lanes([h[0] for h in heads])
+    lanes, most = len(block), int(steps[0])
+    sizes = [np.frombuffer(coded[i], "<u2", _shape(heads[i][0])[0], 12).astype(np.int64) for i in order]
+    # all words in a row, each run behind the other; past its end a run reads what is there, which decides nothing
+    data = [np.frombuffer(coded[i], "<u2", heads[i][1], 12 + 2 * len(s)) for i, s in zip(order, sizes, strict=True)]
+    words = np.concatenate([*data, np.zeros(8, "<u2")]).astype(np.uint64)
+    size = np.concatenate(sizes)
+    if size.sum() + 8 != len(words):
+        raise ValueError("a block of token ids is damaged")
+    last = np.cumsum(size)
+    read = last - size
+    ids = np.zeros((lanes, most + 2), np.int32)
+    model = _Model(block, len(order))
+    low = np.zeros(lanes, np.uint64)
+    span = np.full(lanes, 2**64 - 1, np.uint64)
+    code = np.zeros(lanes, np.uint64)
+    for k in range(4):
+        code = (code << _SHIFT) | np.where(read < last, words[np.minimum(read, len(words) - 1)], np.uint64(0))
+        read += 1
+    marks = _boundaries(most)
+    previous = earlier = np.zeros(lanes, np.int32)
+    for a, b in zip(marks, marks[1:], strict=False):
+        model.starts()
+        for t in range(a, b):
+            n = int(np.searchsorted(-steps, -t, side="left"))
+            _, _, e1, e2, context = model.guesses(n, previous[:n], earlier[:n])
+            unit = span[:n] >> _TOTAL
+            value = ((code[:n] - low[:n]) // unit).astype(np.int64)
+            at = context << 2
+            share = value >> _LITERAL
+            kind = (share >= model.bounds.take(at + 1)).astype(np.int32) + (share >= model.bounds.take(at + 2))
+            at += kind
+            begin = model.bounds.take(at)
+            width = model.bounds.take(at + 1) - begin
+            x = np.where(kind == 0, e2, e1) >> 2
+            start = begin << _LITERAL
+            part = width << _LITERAL
+            open_ = np.flatnonzero(kind == 2)
+            if len(open_):
+                w, zero = width[open_], model.block[open_] << np.int32(_LITERAL)
+                # only damaged words lead beyond the last place
+                sought = np.clip((value[open_] - start[open_]) // w, 0, 2**_LITERAL - 1).astype(np.int32) + zero
+                found = model.find(sought)
+                x[open_] = found & np.int32(IDS - 1)
+                begins = np.where(x[open_] > 0, model.ends.take(found - 1), zero)
+                start[open_] += (begins - zero) * w
+                part[open_] = (model.ends.take(found) - begins) * w
+            low[:n] += start.astype(np.uint64) * unit
+            unit *= part.astype(np.uint64)
+            span[:n] = unit
+            out = np.flatnonzero(unit < _LEAST)
+            while len(out):
+                begins, size = low[out], span[out]
+                size = np.minimum(size, _LEAST - (begins & _REST)) << _SHIFT
+                low[out], span[out] = begins << _SHIFT, size
+                r = read[out]
+                code[out] = (code[out] << _SHIFT) | np.where(r < last[out], words[np.minimum(r, len(words) - 1)], np.uint64(0))
+                read[out] = r + 1
+                out = out[size < _LEAST]
+            ids[:n, t + 2] = x
+            earlier, previous = previous, x
+        if b < most:
+            n = int(np.searchsorted(-steps, -b, side="left"))
+            model.learn(n, *_history(ids, n, a, b))
+            model.freeze()
     decoded: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(order)
-    for lane, i in enumerate(order):
-        block = ids[: heads[i][0], lane].astype("<u4")
-        if zlib.crc32(block.tobytes()) != heads[i][2]:
+    at = 0
+    for i in order:
+        runs, length = _shape(heads[i][0])
+        found = ids[at : at + runs, 2 : length + 2].reshape(-1)[: heads[i][0]].astype("<u4")
+        if zlib.crc32(found.tobytes()) != heads[i][2]:
             raise ValueError("a block of token ids is damaged")
-        decoded[i] = block
+        decoded[i] = found
+        at += runs
     return decoded
 
 
@@ -243,7 +331,8 @@ def split_payload(payload: bytes) -> list[bytes]:
         raise ValueError("not a segment of token ids")
     blocks, at = [], 8
     for _ in range(struct.unpack_from("<I", payload, 4)[0]):
-        size = 12 + 4 * struct.unpack_from("<I", payload, at + 4)[0]
+        n, words = struct.unpack_from("<II", payload, at)
+        size = 12 + 2 * _shape(n)[0] + 2 * words
         blocks.append(payload[at : at + size])
         at += size
     return blocks
