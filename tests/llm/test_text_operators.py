@@ -7,6 +7,8 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -165,6 +167,50 @@ def test_edited_likeness(spark, edge):
     assert lone["near_next"] == 1.0
 
 
+def plain_fingerprint(text):
+    """(position, hash) of the chosen grams, one window after the other."""
+    apart = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ", text).lower()
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", apart) if w]
+    grams = []
+    for i in range(max(1, len(words) - winnow.GRAM + 1) if words else 0):
+        whole = 0
+        for k, word in enumerate(words[i : i + winnow.GRAM]):
+            h = xxhash.xxh64_intdigest(word.encode(), seed=42)
+            whole ^= (h << 21 * k | h >> 64 - 21 * k) % 2**64
+        grams.append(whole >> 32)
+    chosen = []
+    for i in range(max(1, len(grams) - winnow.WINDOW + 1) if grams else 0):
+        window = grams[i : i + winnow.WINDOW]
+        at = max(k for k, g in enumerate(window) if g == min(window)) + i
+        if not chosen or chosen[-1][0] != at:
+            chosen.append((at, grams[at]))
+    return chosen
+
+
+def test_fingerprints_and_likeness_by_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    extra = [(-1, "同じ 文 字"), (-2, "a b"), (-3, "x " * 40), (-4, ""), (-5, None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    ids = sorted(texts, reverse=True)
+    following = dict(zip(ids, ids[1:] + ids[:1], strict=True))
+    spell = lambda chosen: " ".join(f"{at}:{h:x}" for at, h in chosen)
+
+    def alike(a, b):
+        a, b = {h for _, h in a}, {h for _, h in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    found = winnow.edited_likeness(docs).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        text, after = texts[r["doc_id"]], texts[following[r["doc_id"]]]
+        third = len(text) // 3
+        own, other = plain_fingerprint(text), plain_fingerprint(text[: len(text) - third] + after[:third])
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (spell(own), spell(other))
+        assert r["near_edited"] == pytest.approx(alike(own, other))
+        assert r["near_next"] == pytest.approx(alike(own, plain_fingerprint(after)))
+
+
 def test_chat_windows_read_back(spark):
     hostile = "\\### Assistant: </turn> ok\\"
     said = [hostile, None, "", "x </turn>\n### user ###\ny", "\\\\#<<", "word " * 700, "日本 " * 60, "a\n\nb"]
