@@ -81,6 +81,30 @@ def test_common_lines_deplete_documents_but_copies_do_not(spark):
     assert notice in cleaned[300]
 
 
+def test_common_lines_of_a_large_host(spark):
+    say = lambda name, k: " ".join(f"{name}x{j}" for j in range(k))
+    often, seldom, long_notice = say("often", 60), say("seldom", 60), say("long", 940)
+    rows = [(i, f"{say(f'a{i}', 10)}\n{often}", "h") for i in range(300)]
+    rows += [(1000 + i, f"{say(f'b{i}', 10)}\n{seldom}", "h") for i in range(60)]
+    rows += [(2000 + i, f"{say(f'c{i}', 60)}\n{long_notice}", "h") for i in range(60)]
+    rows += [(3000 + i, say(f"d{i}", 80), "h") for i in range(2800)]
+    # near copies: one line of ten differs in each of them, so each line is in 180
+    body = [say(f"e{j}", 12) for j in range(10)]
+    rows += [
+        (8000 + i, "\n".join(f"{line} copy{i}" if j == i % 10 else line for j, line in enumerate(body)), "h")
+        for i in range(200)
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    found = {r["doc_id"]: (r["kept"], r["common_words"]) for r in quality.quality_rules(docs).collect()}
+    assert {found[i] for i in range(300)} == {(False, 60)}
+    assert {found[i] for i in range(1000, 1060)} == {(False, 60)}
+    assert {found[i] for i in range(2000, 2060)} == {(False, 940)}
+    assert {found[i] for i in found if 3000 <= i < 8000} == {(True, 0)}
+    assert all(found[i][0] and found[i][1] <= 12 for i in found if i >= 8000)
+    few = docs.where("doc_id not between 49 and 299")  # 49 documents, and under a tenth of the host
+    assert all(r["kept"] for r in quality.quality_rules(few).where("doc_id < 49").collect())
+
+
 def water_fill(sizes):
     """Targets by repeated sharing of the excess."""
     names = sorted((n for n in sizes if n is not None)) + [None] * (None in sizes)

@@ -11,13 +11,19 @@ from txsieve.session import materialize
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-#: A line is common on a host from this many distinct texts on ...
+#: A line is common on a host that has it in this many distinct documents ...
+COMMON_DOCUMENTS = 50
+#: ... and on a small host from this many, if they are more than this share of its distinct texts.
 MIN_LINE_DOCUMENTS = 20
-#: ... if they are also more than this share of the distinct texts of the host.
 MAX_LINE_PERCENT = 10
-#: A document is depleted if common lines leave it less than both of these.
+#: A document is depleted if common lines leave it less than both of these ...
 MIN_LEFT_WORDS = 50
 MIN_LEFT_PERCENT = 50
+#: ... or less than this share of its words, however many they are.
+LEAST_LEFT_PERCENT = 10
+#: The lines of a host are spread over this many tasks, however hot one of them is.
+SALTS = 32
+
 
 
 def repeated_words(words: Column) -> Column:
@@ -97,33 +103,74 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
 
 
-def depleted_texts(docs: DataFrame) -> DataFrame:
-    """``host, text_key, common_words, common_lines``: words and hashes of the common lines of each text that has some.
+def lines_of(text: Column) -> Column:
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normal_line)
+    return F.filter(lines, lambda line: line != "")
+
 
-    Exact copies of a text count as one document of their host. The line counts
-    are pre-aggregated in every task, so a hot line or host is a few rows per task.
+def common_lines(docs: DataFrame) -> DataFrame:
+    """``host, line``: hashes of the lines that too many distinct documents of a host share.
+
+    For a line, documents are told apart by the smallest md5 of their *other*
+    lines. Exact copies are one document, and most members of a group of near
+    copies share that line too and are one; a notice on unlike documents has about as
+    many others as it has documents. Counts are pre-aggregated by host, line and
+    other line, so neither a hot line nor a hot host is a group in one task.
     """
+    marked = F.transform(
+        lines_of(F.col("text")), lambda line: F.struct(F.xxhash64(line).alias("line"), F.md5(line).alias("digest"))
+    )
+    first_two = lambda e: F.slice(
+        F.array_sort(F.array_distinct(F.transform(e, lambda x: x["digest"]))), 1, 2
+    )
+    beside = lambda e, m: F.transform(
+        e,
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.xxhash64(
+                F.when(x["digest"] == F.get(m, 0), F.coalesce(F.get(m, 1), F.lit(""))).otherwise(F.get(m, 0))
+            ).alias("other"),
+        ),
+    )
+    whole = F.struct(F.lit(None).cast("bigint").alias("line"), F.xxhash64("text_key").alias("other"))
+    each = let(marked, lambda e: let(first_two(e), lambda m: F.concat(F.array(whole), beside(e, m))))
+    counts = (
+        docs.select("host", F.explode(each).alias("x"))
+        .select("host", "x.line", "x.other")
+        .distinct()
+        .groupBy("host", "line")
+        .agg(F.count(F.lit(1)).alias("documents"))
+    )
+    hosts = counts.where("line is null").select("host", F.col("documents").alias("host_documents"))
+    return (
+        counts.where(F.col("line").isNotNull() & (F.col("documents") >= MIN_LINE_DOCUMENTS))
+        .join(hosts, "host")
+        .where(
+            (F.col("documents") >= COMMON_DOCUMENTS)
+            | (F.col("documents") * 100 > F.col("host_documents") * MAX_LINE_PERCENT)
+        )
+        .select("host", "line")
+    )
+
+
+def depleted_texts(docs: DataFrame) -> DataFrame:
+    """``host, text_key, common_words, common_lines``: words and hashes of the common lines of each text that has some."""
     whole = F.struct(F.lit(None).cast("bigint").alias("line"), F.lit(1).alias("words"))
-    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), normal_line)
     each = F.transform(
-        F.filter(lines, lambda line: line != ""),
+        lines_of(F.col("text")),
         lambda line: F.struct(F.xxhash64(line).alias("line"), F.size(F.split(line, " ")).alias("words")),
     )
     found = (
         docs.select("host", "text_key", F.explode(F.concat(F.array(whole), each)).alias("x"))
         .groupBy("host", F.col("x.line").alias("line"), "text_key")
         .agg(F.sum("x.words").alias("words"))
+        .withColumn("salt", F.pmod(F.xxhash64("text_key"), F.lit(SALTS)).cast("int"))
     )
-    counts = found.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
-    hosts = counts.where("line is null").select("host", F.col("documents").alias("host_documents"))
-    common = (
-        counts.where((F.col("line").isNotNull()) & (F.col("documents") >= MIN_LINE_DOCUMENTS))
-        .join(hosts, "host")
-        .where(F.col("documents") * 100 > F.col("host_documents") * MAX_LINE_PERCENT)
-        .select("host", "line", F.lit(True).alias("common"))
+    common = common_lines(docs).select(
+        "host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("common")
     )
     return (
-        found.join(common, ["host", "line"], "left")
+        found.join(common, ["host", "line", "salt"], "left")
         .where("line is null or common")
         .groupBy("host", "text_key")
         .agg(
@@ -146,7 +193,8 @@ def base_failed() -> Column:
 
 def is_depleted() -> Column:
     left = F.col("n_words") - F.coalesce(F.col("common_words"), F.lit(0))
-    return (left < MIN_LEFT_WORDS) & (left * 100 < MIN_LEFT_PERCENT * F.col("n_words"))
+    few = (left < MIN_LEFT_WORDS) & (left * 100 < MIN_LEFT_PERCENT * F.col("n_words"))
+    return few | (left * 100 < LEAST_LEFT_PERCENT * F.col("n_words"))
 
 
 def text_key() -> Column:
@@ -157,10 +205,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text, source``): base counts and the verdict.
 
     Lines are normalised (lower case, single spaces), hashed, and counted once
-    per distinct text of a host (``source``). Lines in at least
-    ``MIN_LINE_DOCUMENTS`` texts and more than ``MAX_LINE_PERCENT`` of the texts
-    of their host are taken out; a document is rejected if less than
-    ``MIN_LEFT_WORDS`` words and less than ``MIN_LEFT_PERCENT`` of its words are left.
+    per distinct document of a host (``source``, see ``common_lines``). Lines in
+    at least ``COMMON_DOCUMENTS`` of them are taken out; on small hosts also those in at least
+    ``MIN_LINE_DOCUMENTS`` that are more than ``MAX_LINE_PERCENT`` of its texts. A document is rejected if less than
+    ``MIN_LEFT_WORDS`` words and less than ``MIN_LEFT_PERCENT`` of its words are left,
+    or less than ``LEAST_LEFT_PERCENT`` of them.
 
     NULL or empty text has no words and fails the base rules. NULL source is a
     host of its own. Repeated rows each get a row; their text counts once. Other
@@ -211,6 +260,8 @@ def without_common_lines(docs: DataFrame) -> DataFrame:
     """The rows that ``keep_good`` keeps, with the common lines of their host taken out of ``text``.
 
     Other columns stay as they are. Texts without common lines are unchanged.
+    NULL or empty texts fail the base rules and go, repeated rows stay repeated,
+    an empty table gives an empty result.
     """
     named = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

@@ -40,11 +40,16 @@ def query(name: str, oracle: str | None = None):
     worded as (select * from lines where line <> ''),
     dup as (
       select doc_id, count(*) - count(distinct l) as n_dup_lines from worded group by doc_id),
-    counts as (select host, line, count(distinct text) as n from worded group by host, line),
+    digests as (select doc_id, list_sort(list_distinct(list(md5(line)))) as m from worded group by doc_id),
+    counts as (
+      select host, line,
+             count(distinct coalesce(case when md5(line) = m[1] then m[2] else m[1] end, '')) as n
+      from worded join digests using (doc_id) group by host, line),
     hosts as (select host, count(distinct text) as h from d group by host),
     common as (
       select host, line from counts join hosts using (host)
-      where n >= {quality.MIN_LINE_DOCUMENTS} and n * 100 > h * {quality.MAX_LINE_PERCENT}),
+      where n >= {quality.COMMON_DOCUMENTS}
+         or (n >= {quality.MIN_LINE_DOCUMENTS} and n * 100 > h * {quality.MAX_LINE_PERCENT})),
     taken as (
       select doc_id, cast(sum(len(string_split(line, ' '))) as bigint) as common_words
       from worded join common using (host, line) group by doc_id),
@@ -67,7 +72,8 @@ def query(name: str, oracle: str | None = None):
       from base)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            not (base_failed or (n_words - common_words < {quality.MIN_LEFT_WORDS}
-             and (n_words - common_words) * 100 < {quality.MIN_LEFT_PERCENT} * n_words)) as kept,
+             and (n_words - common_words) * 100 < {quality.MIN_LEFT_PERCENT} * n_words)
+             or (n_words - common_words) * 100 < {quality.LEAST_LEFT_PERCENT} * n_words) as kept,
            common_words
     from judged
     """,
