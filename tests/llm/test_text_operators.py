@@ -273,6 +273,35 @@ def test_chat_windows_read_back(spark):
     assert chat.digest(chat.read_windows(chat.format_windows(frame.where("false")))).count() == 0
 
 
+def test_a_long_conversation_is_cut_into_bounded_windows(spark):
+    turns = [(1, t, "assistant" if t % 2 else "user", f"w{t} " * (1 + t * 7 % 90)) for t in range(3000)]
+    turns += [(c, 0, "user", "hi") for c in range(2, 40)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        assert chat.placed_turns(frame).where("conv_id = 1").select("part").distinct().count() > 1
+        rows = sorted(chat.format_windows(frame).where("conv_id = 1").collect(), key=lambda r: r["window"])
+    finally:
+        spark.conf.unset(coalesce)
+    cost = [len(text.split()) + chat.OVERHEAD for conv, _, _, text in turns if conv == 1]
+    before = [sum(cost[:t]) for t in range(3000)]
+    spans = defaultdict(list)
+    for t, b in enumerate(before):
+        spans[b // (chat.BUDGET - chat.HISTORY)].append(t)
+    assert [r["window"] for r in rows] == sorted(spans)
+    for r in rows:
+        new = spans[r["window"]]
+        allowed = min(chat.HISTORY, chat.BUDGET - sum(cost[t] for t in new))
+        kept = [t for t in range(new[0]) if before[new[0]] - before[t] <= allowed]
+        said = [line.removesuffix(" </turn>").split() for line in r["formatted"].split("\n")[1::2]]
+        assert [words[0] for words in said] == [f"w{t}" for t in kept + new]
+        assert r["n_repeated"] == len(kept)
+        assert r["tokens"] == sum(cost[t] for t in kept + new)
+        texts = [r["formatted"][m["start"] : m["start"] + m["length"]] for m in r["loss"]]
+        assert texts == [turns[t][3] for t in new if t % 2]
+
+
 def test_shards_fit(spark, edge):
     docs = spark.createDataFrame([(i, "x" * (37 * i % 900)) for i in range(2000)] + [(-1, "y" * 90_000)], "doc_id long, text string")
     limit = 20_000

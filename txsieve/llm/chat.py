@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txsieve.llm.common import let, words_of
+from txsieve.session import materialize
 
 #: Tokens of a window, of repeated history, and of the marks around a turn. A word counts as one token.
 BUDGET = 512
@@ -13,6 +14,8 @@ HISTORY = 128
 OVERHEAD = 4
 #: A window takes at least this many tokens of new turns, however long the system turn is.
 LEAST_NEW = 64
+#: Characters of a role or text that decide where the sorted turns are cut into ranges.
+CUT_CHARS = 64
 #: Marks of a turn. Texts and roles never hold them: see ``escape``.
 OPEN, MIDDLE, CLOSE = "### ", " ###\n", " </turn>\n"
 SYSTEM, TARGET = "system", "assistant"
@@ -31,6 +34,45 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), escape(role), F.lit(MIDDLE), escape(text), F.lit(CLOSE))
 
 
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """All turns with ``before``, the tokens of their conversation before them, and ``part``, their range of the order.
+
+    The turns are sorted into ranges, so a long conversation lies in many of
+    them: sums run within a range, and the sums of whole ranges are added up.
+    Ranges are cut by the first characters of roles and texts, so cuts stay small;
+    only repeats of one turn are never told apart by them.
+    """
+    rows = turns.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    ).withColumn("cost", (F.size(words_of(F.col("text"))) + OVERHEAD).cast("bigint"))
+    ranged = materialize(
+        rows.repartitionByRange(
+            "conv_id", "turn", F.substring("role", 1, CUT_CHARS), F.substring("text", 1, CUT_CHARS)
+        ).withColumn("part", F.spark_partition_id()),
+        "turns",
+    )
+    sums = ranged.groupBy("conv_id", "part").agg(F.sum("cost").alias("total"))
+    so_far = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("conv_id", "part", F.coalesce(F.sum("total").over(so_far), F.lit(0)).alias("base"))
+    earlier = (
+        Window.partitionBy("conv_id", "part")
+        .orderBy("turn", "role", "text")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        join_parts(ranged, bases)
+        .withColumn("before", F.col("base") + F.coalesce(F.sum("cost").over(earlier), F.lit(0)))
+        .drop("base")
+    )
+
+
+def join_parts(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their conversation's range in ``parts``."""
+    other = parts.withColumnsRenamed({"conv_id": "__conv", "part": "__part"})
+    same = F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("part") == F.col("__part"))
+    return rows.join(other, same).drop("__conv", "__part")
+
+
 def format_windows(turns: DataFrame) -> DataFrame:
     """``conv_id, window, formatted, loss, n_repeated, tokens`` from ``conv_id, turn, role, text``.
 
@@ -41,57 +83,51 @@ def format_windows(turns: DataFrame) -> DataFrame:
     turns at its start were in an earlier window. ``loss`` lists start (from 0) and
     length, in code points, of the texts of the span's assistant turns; repeated
     ones are masked. Only the last turn of a span can exceed the budget; it isn't cut.
+    Numbers of windows start from 0 and rise; a turn longer than a span leaves a gap.
+
+    A window is put together on its own, from the turns of its span and those
+    that start at most ``HISTORY`` tokens before one, so a row is bounded by the
+    budget and one turn, however long the conversation is.
 
     NULL role or text is empty. Turns with equal numbers are ordered by role and text,
     NULL numbers come first, repeated rows are repeated turns. NULL ids are
     one conversation. An empty table gives an empty result. Other columns are ignored.
     """
-    rows = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("cost", (F.size(words_of(F.col("text"))) + OVERHEAD).cast("bigint"))
-    earlier = (
-        Window.partitionBy("conv_id")
-        .orderBy("turn", "role", "text")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    placed = materialize(placed_turns(turns), "turns")
+    first = placed.where("before = 0").select(
+        F.col("conv_id").alias("__conv"),
+        (F.col("role") == SYSTEM).cast("int").alias("has_system"),
+        F.when(F.col("role") == SYSTEM, F.struct("before", "role", "text", "cost")).alias("system_turn"),
     )
-    conversations = (
-        rows.withColumn("before", F.coalesce(F.sum("cost").over(earlier), F.lit(0)))
-        .groupBy("conv_id")
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "before", "cost"))).alias("turns"))
-        .withColumn("has_system", (F.col("turns")[0]["role"] == SYSTEM).cast("int"))
-        .withColumn("system_cost", F.col("has_system") * F.col("turns")[0]["cost"])
+    # one row per conversation and range
+    parts = (
+        placed.select("conv_id", "part")
+        .distinct()
+        .join(first, F.col("conv_id").eqNullSafe(F.col("__conv")))
+        .drop("__conv")
+        .withColumn("system_cost", F.coalesce(F.col("system_turn.cost"), F.lit(0)).cast("bigint"))
         .withColumn("room", F.greatest(F.lit(LEAST_NEW), BUDGET - HISTORY - F.col("system_cost")))
     )
-    spans = let(
-        F.transform("turns", lambda t: F.floor(t["before"] / F.col("room"))),
-        lambda s: F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
-        ),
+    spanned = join_parts(placed, parts.select("conv_id", "part", "has_system", "room")).withColumn(
+        "span", F.floor(F.col("before") / F.col("room"))
     )
+    last = F.floor((F.col("before") + HISTORY) / F.col("room"))
+    may_repeat = (last > F.col("span")) & ~((F.col("before") == 0) & (F.col("has_system") == 1))
+    serves = F.when(may_repeat, F.sequence("span", last)).otherwise(F.array("span"))
+    turn = F.struct("before", "role", "text", "cost")
+    own = F.col("window") == F.col("span")
     windows = (
-        conversations.withColumn("starts", spans)
-        .select(
-            "*",
-            F.posexplode(
-                F.transform(
-                    "starts",
-                    lambda s, k: F.struct(
-                        s.alias("first"),
-                        F.coalesce(F.get("starts", k + 1), F.size("turns")).alias("end"),
-                    ),
-                )
-            ).alias("window", "span"),
-        )
-        .withColumn("new", F.slice("turns", F.col("span.first") + 1, F.col("span.end") - F.col("span.first")))
-        # every turn costs at least OVERHEAD tokens, so history is a bounded slice
-        .withColumn("back", F.greatest(F.col("has_system"), F.col("span.first") - HISTORY // OVERHEAD))
-        .withColumn(
-            "near",
-            F.when(
-                F.col("back") < F.col("span.first"),
-                F.slice("turns", F.col("back") + 1, F.col("span.first") - F.col("back")),
-            ).otherwise(F.slice("turns", 1, 0)),
+        spanned.withColumn("window", F.explode(serves))
+        .groupBy("conv_id", "window")
+        .agg(
+            F.sort_array(F.collect_list(F.when(own, turn))).alias("new"),
+            F.sort_array(F.collect_list(F.when(~own, turn))).alias("near"),
+            F.min(F.when(own, F.col("part"))).alias("part"),
         )
+        .where(F.size("new") > 0)
+    )
+    windows = (
+        join_parts(windows, parts.select("conv_id", "part", "system_turn", "system_cost"))
         .withColumn("new_cost", F.aggregate("new", F.lit(0).cast("bigint"), lambda a, t: a + t["cost"]))
         .withColumn(
             "allowed", F.least(F.lit(HISTORY), BUDGET - F.col("new_cost") - F.col("system_cost"))
@@ -99,8 +135,7 @@ def format_windows(turns: DataFrame) -> DataFrame:
         .withColumn("begins", F.col("new")[0]["before"])
         .withColumn("history", F.filter("near", lambda t: F.col("begins") - t["before"] <= F.col("allowed")))
         .withColumn(
-            "system",
-            F.slice("turns", 1, F.when(F.col("window") > 0, F.col("has_system")).otherwise(F.lit(0))),
+            "system", F.when(F.col("begins") > 0, F.array_compact(F.array("system_turn"))).otherwise(F.slice("new", 1, 0))
         )
         .withColumn("parts", F.concat("system", "history", "new"))
         .withColumn("n_repeated", F.size("system") + F.size("history"))
@@ -138,7 +173,7 @@ def format_windows(turns: DataFrame) -> DataFrame:
 
 
 def read_windows(windows: DataFrame) -> DataFrame:
-    """``conv_id, turns, targets, formatted_chars``: the conversations read back from formatted windows.
+    """``conv_id, window, turns, targets, chars``: what each formatted window says, read back.
 
     ``turns`` are ``role, text`` in order without the repeated ones, ``targets`` the texts under the loss masks.
     """
@@ -156,27 +191,37 @@ def read_windows(windows: DataFrame) -> DataFrame:
     targets = F.transform(
         "loss", lambda m: unescape(F.substring(F.col("formatted"), m["start"] + 1, m["length"]))
     )
-    in_order = lambda name: F.flatten(F.transform("windows", lambda w: w[name]))
-    return (
-        windows.select("conv_id", "window", parsed.alias("turns"), targets.alias("targets"), F.length("formatted").alias("chars"))
-        .groupBy("conv_id")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("window", "turns", "targets"))).alias("windows"),
-            F.sum("chars").alias("formatted_chars"),
-        )
-        .select("conv_id", in_order("turns").alias("turns"), in_order("targets").alias("targets"), "formatted_chars")
+    return windows.select(
+        "conv_id", "window", parsed.alias("turns"), targets.alias("targets"), F.length("formatted").alias("chars")
     )
 
 
 def digest(read: DataFrame) -> DataFrame:
-    """Sizes and checksums of what was read back."""
+    """Sizes and checksums of what was read back, per conversation.
+
+    A checksum is over all that a conversation says, so its windows come
+    together here as two strings; ``format_windows`` and ``read_windows`` never do that.
+    """
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join("targets", "")
-    return read.select(
-        "conv_id",
-        F.size("turns").cast("bigint").alias("n_turns"),
-        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
-        F.length(learned).cast("bigint").alias("loss_chars"),
-        F.sha2(learned, 256).alias("loss_sha256"),
-        F.col("formatted_chars").cast("bigint"),
+    in_order = lambda name: F.array_join(F.transform("windows", lambda w: w[name]), "")
+    return (
+        read.select(
+            "conv_id", "window", F.size("turns").alias("n"), "chars",
+            F.array_join(said, "").alias("said"), F.array_join("targets", "").alias("learned"),
+        )
+        .groupBy("conv_id")
+        .agg(
+            F.sum("n").alias("n_turns"),
+            F.sum("chars").alias("formatted_chars"),
+            F.sort_array(F.collect_list(F.struct("window", "said", "learned"))).alias("windows"),
+        )
+        .select("conv_id", "n_turns", "formatted_chars", in_order("said").alias("said"), in_order("learned").alias("learned"))
+        .select(
+            "conv_id",
+            F.col("n_turns").cast("bigint"),
+            F.sha2("said", 256).alias("turns_sha256"),
+            F.length("learned").cast("bigint").alias("loss_chars"),
+            F.sha2("learned", 256).alias("loss_sha256"),
+            F.col("formatted_chars").cast("bigint"),
+        )
     )
