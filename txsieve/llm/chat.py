@@ -53,7 +53,10 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     )
     sums = ranged.groupBy("conv_id", "part").agg(F.sum("cost").alias("total"))
     so_far = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("conv_id", "part", F.coalesce(F.sum("total").over(so_far), F.lit(0)).alias("base"))
+    # stored, so its size is known and Spark need not shuffle the texts to join a small one
+    bases = materialize(
+        sums.select("conv_id", "part", F.coalesce(F.sum("total").over(so_far), F.lit(0)).alias("base")), "ranges"
+    )
     earlier = (
         Window.partitionBy("conv_id", "part")
         .orderBy("turn", "role", "text")
@@ -100,13 +103,14 @@ def format_windows(turns: DataFrame) -> DataFrame:
         F.when(F.col("role") == SYSTEM, F.struct("before", "role", "text", "cost")).alias("system_turn"),
     )
     # one row per conversation and range
-    parts = (
+    parts = materialize(
         placed.select("conv_id", "part")
         .distinct()
         .join(first, F.col("conv_id").eqNullSafe(F.col("__conv")))
         .drop("__conv")
         .withColumn("system_cost", F.coalesce(F.col("system_turn.cost"), F.lit(0)).cast("bigint"))
-        .withColumn("room", F.greatest(F.lit(LEAST_NEW), BUDGET - HISTORY - F.col("system_cost")))
+        .withColumn("room", F.greatest(F.lit(LEAST_NEW), BUDGET - HISTORY - F.col("system_cost"))),
+        "ranges",
     )
     spanned = join_parts(placed, parts.select("conv_id", "part", "has_system", "room")).withColumn(
         "span", F.floor(F.col("before") / F.col("room"))
