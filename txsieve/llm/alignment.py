@@ -79,15 +79,18 @@ class Vocabularies:
         known = {"": (b"", b"")}
         missing = []
         for piece in set(itertools.chain.from_iterable(c for c in cuts if c)) - {""}:
-            found = self.new.get(piece) or self.old.get(piece)
-            if found:
-                known[piece] = found
-            else:
-                missing.append(piece)
+            found = self.new.get(piece)
+            if found is None:
+                found = self.old.get(piece)
+                if found is None:
+                    missing.append(piece)
+                    continue
+                self.new[piece] = found
+            known[piece] = found
         # B adds a space to what begins with a line end, too
         for piece, b in zip(missing, self.b.encode([p.removeprefix(" ") for p in missing]) if missing else [], strict=True):
-            known[piece] = self.a.encode_piece(piece), pack_ids(b if piece[0] == " " else b[1:])
-        self.new.update((p, found) for p, found in known.items() if len(p) <= LONGEST)
+            known[piece] = self.a.pieces[piece], pack_ids(b if piece[0] == " " else b[1:])
+        self.new.update((p, known[p]) for p in missing if len(p) <= LONGEST)
         if len(self.new) > CACHE // 2:
             self.old, self.new = self.new, {}
         result = []
@@ -127,6 +130,11 @@ def segments(text: str) -> Iterator[str]:
     yield text
 
 
+def below(ends: np.ndarray) -> np.ndarray:
+    """How many of the ascending ``ends`` lie below each number up to the last end and one more."""
+    return np.cumsum(np.bincount(ends + 1))
+
+
 def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     """The terminal token of the component of each token, first those of A, then those of B.
 
@@ -135,8 +143,8 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     takes every token to the last one of its component.
     """
     n = len(a_ends)
-    of_a = n + np.searchsorted(b_ends, a_ends)
-    holder = np.searchsorted(a_ends, b_ends)
+    of_a = n + below(b_ends)[a_ends]
+    holder = below(a_ends)[b_ends]
     own = n + np.arange(len(b_ends))
     next_ = np.concatenate([of_a, np.where(a_ends[holder] > b_ends, holder, own)])
     while True:
@@ -148,8 +156,9 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
 
 def overlaps(a_ends: np.ndarray, b_ends: np.ndarray, a_lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all overlapping tokens: of A ascending, and of B."""
-    first = np.searchsorted(b_ends, a_ends - a_lengths, side="right")
-    n = np.searchsorted(b_ends, a_ends) - first + 1
+    ended = below(b_ends)
+    first = ended[a_ends - a_lengths + 1]
+    n = ended[a_ends] - first + 1
     a = np.repeat(np.arange(len(a_ends)), n)
     return a, np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + first[a]
 
@@ -216,11 +225,16 @@ class Aligner:
         a_ends, b_ends = np.cumsum(a_lengths), np.cumsum(self.v.b_lengths[b_ids])
         n, last = len(a_ids), terminals(a_ends, b_ends)
         # a terminal is the last B token of its group, so terminals ascend with the groups
-        group = np.searchsorted(np.unique(last), last)
+        terminal = np.zeros(len(b_ids), bool)
+        terminal[last - n] = True
+        group = (np.cumsum(terminal) - terminal)[last - n]
         a_of, b_of = (np.repeat(np.arange(len(documents)), [len(p) for p in parts]) for parts in (a_parts, b_parts))
 
         # tokens in the order they are written: groups, A before B
-        order = np.argsort(2 * group + (np.arange(len(group)) >= n), kind="stable")
+        of_group = [np.cumsum(np.bincount(g)) for g in (group[:n], group[n:])]
+        order = np.empty(len(group), np.int64)
+        order[np.arange(n) + np.concatenate([[0], of_group[1]])[group[:n]]] = np.arange(n)
+        order[np.arange(len(b_ids)) + of_group[0][group[n:]]] = np.arange(n, len(group))
         side, at = order >= n, group[order]
         mark = np.ones(len(order), np.int64)  # the other side follows
         mark[:-1][(at[1:] == at[:-1]) & (side[1:] == side[:-1])] = 0
@@ -232,7 +246,7 @@ class Aligner:
         of = a_of[a]
         keys, times = np.unique(of << 32 | a_ids[a] << 16 | b_ids[b], return_counts=True)
         cuts = np.searchsorted(keys >> 32, np.arange(1, len(documents)))
-        groups = np.bincount(b_of[np.unique(last) - n], minlength=len(documents)).tolist()
+        groups = np.bincount(b_of[terminal], minlength=len(documents)).tolist()
         links = np.bincount(of, minlength=len(documents)).tolist()
         start = 0
         for k, (document, key, time) in enumerate(
