@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from txsieve.operators import filters, monitoring, reports
 from txsieve.operators.windows import window_stats
+from txsieve.plans import catalog
 from txsieve.sources import history
 
 START = dt.datetime(2024, 1, 1)
@@ -97,6 +98,23 @@ def test_recent_table_is_a_top_k(spark):
     assert reports.recent_table(given, only_anomalies=True).count() == 1
 
 
+def test_recent_table_unscored_shows_every_one_of_the_newest_rows(spark, tmp_path):
+    """No row is left out by its fee or its score, and only a missing feature leaves a row unscored."""
+    events = spark.range(500).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        (F.col("id") / 100.0).alias("value"),
+        F.concat(F.lit('{"k": '), F.col("id") % 50, F.lit("}")).alias("props"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = catalog.QUERIES["recent_table_unscored"](spark, str(tmp_path)).collect()
+    assert len(found) == len({row["time"] for row in found}) == 400
+    assert {row["size"] for row in found if row["status"] == "Unscored"} == {"0"}
+    assert sum(row["status"] == "Unscored" for row in found) == 8
+
+
 def test_model_metrics(spark):
     given = view(spark, (0, 10, 100, 2.0), (0, 20, 100, 0.0), (0, 0, 50, 0.0))
     found = reports.model_metrics(given).first().asDict()

@@ -469,11 +469,11 @@ def kpi_cards_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
         format('{{:,}}', fee) as fee, printf('%.2f', fee_rate) as fee_rate,
         printf('%.2f', anomaly_score) as anomaly_score,
         case when is_anomaly then 'Anomaly' when not is_anomaly then 'Normal' else 'Unscored' end as status
-        from (select * from ({fx.GAPS_SQL}) order by transaction_time desc, hash limit 60)""",
+        from (select * from ({fx.PARTLY_SCORED_SQL}) order by transaction_time desc, hash limit 400)""",
 )
 def recent_table_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest rows, some of which have no score."""
-    return reports.recent_table(fx.gaps_in_scores(spark, sf_dir), rows=60)
+    """Enough of the newest rows that some have no score."""
+    return reports.recent_table(fx.partly_scored_transactions(spark, sf_dir), rows=400)
 
 
 @register(
