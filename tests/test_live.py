@@ -5,12 +5,13 @@ from __future__ import annotations
 import threading
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from txsieve.operators import records
 from txsieve.operators.features import Preprocessor
 from txsieve.operators.iforest import AnomalyModel
+from txsieve.plans import catalog
 from txsieve.plans import fixtures as fx
 from txsieve.schemas import FEATURES
 from txsieve.sources import commits, history, messages, registry
@@ -107,6 +108,43 @@ def stream_of(spark, sf_dir, folder):
     return messages.file_stream(spark, folder, "parquet", schema, maxFilesPerTrigger="1")
 
 
+def test_a_batch_is_one_slice_of_several_files(spark, tmp_path):
+    """A large slice is dealt to several files; a short or empty one makes a batch of its own all the same."""
+    sizes = {0: 1000, 1: 2, 2: 0, 3: 600}
+    events = spark.range(1000).withColumn("slice", F.lit(0))
+    for k, n in list(sizes.items())[1:]:
+        events = events.unionByName(spark.range(n).withColumn("slice", F.lit(k)))
+    files = fx.files_a_slice(events, 250)
+    assert files == 4
+    fx.land_slices(events.withColumn("of", F.col("slice")), f"{tmp_path}/landed", range(4), files)
+    held = spark.read.parquet(f"{tmp_path}/landed").groupBy(F.input_file_name().alias("file"), "of").count()
+    assert max(row["count"] for row in held.collect()) < 500
+
+    stream = messages.file_stream(spark, f"{tmp_path}/landed", "parquet", "id long, of int", maxFilesPerTrigger=str(files))
+    batches = {}
+
+    def write(batch, batch_id):
+        batches[batch_id] = {row["of"]: row["count"] for row in batch.groupBy("of").count().collect()}
+
+    pipelines.triggered(stream.writeStream.foreachBatch(write), f"{tmp_path}/c", None).start().awaitTermination()
+    assert batches == {k: {k: n} if n else {} for k, n in sizes.items()}
+
+
+def test_the_offset_is_found_without_scoring_again(spark, monkeypatch):
+    scanned = []
+
+    def quantiles(df, columns, q):
+        scanned.append(plan(df))
+        return {"raw": 0.5}
+
+    monkeypatch.setattr(catalog, "exact_quantiles", quantiles)
+    plain = Preprocessor(["fee", "size"], [None] * 2, [0.0] * 2, [1.0] * 2)
+    model = AnomalyModel(plain, [(0, 0, None, None, None, None, 4, 0)], 1, 4, 0, 0.1)
+    rows_of_two = spark.range(5).select(F.col("id").alias("fee"), F.col("id").alias("size"))
+    assert catalog._score_quantile(rows_of_two, model, 0.9) == 0.5
+    assert "ArrowEvalPython" not in scanned[0]
+
+
 def test_late_rows_are_those_that_spark_drops(spark, sf_dir, landed, tmp_path):
     stream = pipelines.enriched(records.to_messages(fx.as_transactions(stream_of(spark, sf_dir, landed))))
     stats = pipelines.start_window_stats(stream, f"{tmp_path}/s", f"{tmp_path}/sc", trigger=None)

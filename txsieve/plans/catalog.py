@@ -840,10 +840,10 @@ def _sliced(spark: SparkSession, sf_dir: str, displaced: bool = False) -> DataFr
     return materialize(fx.slices(fx.table(spark, sf_dir, "events"), _SLICES, displaced), "slices")
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """Events of a folder, one file a batch."""
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str, files: int) -> DataFrame:
+    """Events of a folder, one slice of ``files`` files a batch."""
     schema = fx.table(spark, sf_dir, "events").schema
-    return messages.file_stream(spark, folder, "parquet", schema, maxFilesPerTrigger="1")
+    return messages.file_stream(spark, folder, "parquet", schema, maxFilesPerTrigger=str(files))
 
 
 def _enriched_events(events: DataFrame) -> DataFrame:
@@ -859,10 +859,11 @@ def history_mixed_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table from a stream, appends by date and without, and a compaction in between."""
     path = scratch_path(spark, "mixed")
     events = _sliced(spark, sf_dir)
+    files = fx.files_a_slice(events)
 
     def stream(wanted: range) -> None:
-        fx.land_slices(events, f"{path}/landed", wanted)
-        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        fx.land_slices(events, f"{path}/landed", wanted, files)
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed", files))
         pipelines.start_history(
             tx, f"{path}/table", f"{path}/checkpoint", trigger=None, by_date=True
         ).awaitTermination()
@@ -895,8 +896,10 @@ def history_mixed_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows below the watermark of their batch, over several batches of which each tenth row comes late."""
     path = scratch_path(spark, "stream-late")
-    fx.land_slices(_sliced(spark, sf_dir, True), f"{path}/landed", range(_SLICES))
-    tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+    events = _sliced(spark, sf_dir, True)
+    files = fx.files_a_slice(events)
+    fx.land_slices(events, f"{path}/landed", range(_SLICES), files)
+    tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed", files))
     live.start_late_rows(tx, f"{path}/late", f"{path}/checkpoint", trigger=None).awaitTermination()
     return live.read_late_rows(spark, f"{path}/late").select("hash", "transaction_time", "window_end", "batch")
 
@@ -906,18 +909,19 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window statistics of a stream that is stopped after two batches, breaks off in the fourth and is resumed."""
     path = scratch_path(spark, "stream-restart")
     events = _sliced(spark, sf_dir)
+    files = fx.files_a_slice(events)
 
     def run(broken: bool = False) -> None:
-        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed", files))
         if broken:
             last = events.where(F.col("slice") == 3).agg(F.max("event_id")).first()[0]
             failure = F.raise_error(F.lit("broken off")).cast("bigint")
             tx = tx.withColumn("fee", F.when(F.col("hash") == f"tx_{last}", failure).otherwise(F.col("fee")))
         pipelines.start_window_stats(tx, f"{path}/table", f"{path}/checkpoint", trigger=None).awaitTermination()
 
-    fx.land_slices(events, f"{path}/landed", range(2))
+    fx.land_slices(events, f"{path}/landed", range(2), files)
     run()
-    fx.land_slices(events, f"{path}/landed", range(2, _SLICES))
+    fx.land_slices(events, f"{path}/landed", range(2, _SLICES), files)
     try:
         run(broken=True)
     except StreamingQueryException:
@@ -998,7 +1002,8 @@ def _known_forest(spark: SparkSession, sf_dir: str, path: str) -> AnomalyModel:
     rows = features.complete_rows(
         materialize(fx.enriched_transactions(spark, sf_dir).select(*FEATURES), "features")
     )
-    low, middle, high = (exact_quantiles(rows, FEATURES, q) for q in (0.25, 0.5, 0.75))
+    total = rows.count()
+    low, middle, high = (exact_quantiles(rows, FEATURES, q, rows=total) for q in (0.25, 0.5, 0.75))
     nodes = []
     for tree, name in enumerate(FEATURES):
         after = (tree + 1) % len(FEATURES)
@@ -1011,12 +1016,17 @@ def _known_forest(spark: SparkSession, sf_dir: str, path: str) -> AnomalyModel:
     width = len(FEATURES)
     plain = features.Preprocessor(FEATURES, [None] * width, [0.0] * width, [1.0] * width)
     model = AnomalyModel(plain, nodes, width, 256, 0, 0.01)
-    raw = rows.select(model.raw_score(spark).alias("raw"))
-    offset = exact_quantiles(raw, ["raw"], 0.99)["raw"]
+    offset = _score_quantile(rows, model, 0.99)
     registry.save_model(spark, path, dataclasses.replace(model, offset=offset))
     return registry.load_model(spark, path)
 
 
+def _score_quantile(rows: DataFrame, model: AnomalyModel, q: float) -> float | None:
+    """Exact quantile of the raw scores, which are stored so that its scans do not score again."""
+    raw = materialize(rows.select(model.raw_score(rows.sparkSession).alias("raw")), "raw")
+    return exact_quantiles(raw, ["raw"], q)["raw"]
+
+
 _LEAF_ROWS = (64, 32, 16, 8)
 
 
@@ -1093,11 +1103,12 @@ def stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of a stream during which a second version of the model is registered."""
     path = scratch_path(spark, "stream-reload")
     events = _sliced(spark, sf_dir)
+    files = fx.files_a_slice(events)
     first = _known_forest(spark, sf_dir, f"{path}/models")
 
     def run(wanted: range) -> None:
-        fx.land_slices(events, f"{path}/landed", wanted)
-        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed"))
+        fx.land_slices(events, f"{path}/landed", wanted, files)
+        tx = _enriched_events(_event_stream(spark, sf_dir, f"{path}/landed", files))
         live.start_newest_scores(
             tx, f"{path}/models", f"{path}/table", f"{path}/checkpoint", trigger=None
         ).awaitTermination()
@@ -1106,7 +1117,7 @@ def stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.complete_rows(
         materialize(fx.enriched_transactions(spark, sf_dir).select(*FEATURES), "features")
     )
-    offset = exact_quantiles(rows.select(first.raw_score(spark).alias("raw")), ["raw"], 0.95)["raw"]
+    offset = _score_quantile(rows, first, 0.95)
     registry.save_model(spark, f"{path}/models", dataclasses.replace(first, offset=offset))
     run(range(3, _SLICES))
     stored = history.read_history(spark, f"{path}/table")
@@ -1116,9 +1127,11 @@ def stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """All events as a stream of several batches, scored by the known forest, with observed durations."""
     model = _known_forest(spark, sf_dir, f"{path}/models")
-    fx.land_slices(_sliced(spark, sf_dir, True), f"{path}/landed", range(_SLICES))
-    events = _event_stream(spark, sf_dir, f"{path}/landed")
-    tx = fx.as_transactions(events, (F.col("value") / 10).alias("seconds"))
+    events = _sliced(spark, sf_dir, True)
+    files = fx.files_a_slice(events)
+    fx.land_slices(events, f"{path}/landed", range(_SLICES), files)
+    landed = _event_stream(spark, sf_dir, f"{path}/landed", files)
+    tx = fx.as_transactions(landed, (F.col("value") / 10).alias("seconds"))
     return model.score(enrich.with_guarded_ratios(tx))
 
 

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsieve.operators.enrich import flag_by_threshold, with_ratios
+from txsieve.sources.commits import table_exists
 from txsieve.sources.history import file_position
 
+#: Rows of a landed file: more files let more tasks work on a batch.
+FILE_ROWS = 100_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -116,10 +120,28 @@ def slice_sql(n: int, displaced: bool = False) -> str:
     return f"least({own} + case when event_id % 10 = 3 then 2 else 0 end, {n - 1})" if displaced else own
 
 
-def land_slices(events: DataFrame, folder: str, wanted: range) -> None:
-    """One Parquet file for each slice, in order, for a stream that takes file by file."""
+def files_a_slice(events: DataFrame, rows: int = FILE_ROWS) -> int:
+    """Files of at most about ``rows`` rows that the largest slice needs."""
+    largest = events.groupBy("slice").count().agg(F.max("count")).first()[0]
+    return max(1, -(-(largest or 0) // rows))
+
+
+def land_slices(events: DataFrame, folder: str, wanted: range, files: int = 1) -> None:
+    """``files`` Parquet files for each slice, in order, for a stream that takes as many files a batch.
+
+    A slice that fills fewer files gets empty ones, so that no batch takes files of two slices.
+    """
+    spark = events.sparkSession
     for k in wanted:
-        events.where(F.col("slice") == k).drop("slice").coalesce(1).write.mode("append").parquet(folder)
+        rows = events.where(F.col("slice") == k).drop("slice")
+        before = _landed(spark, folder)
+        rows.repartition(files).write.mode("append").parquet(folder)
+        for _ in range(before + files - _landed(spark, folder)):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _landed(spark: SparkSession, folder: str) -> int:
+    return len(spark.read.parquet(folder).inputFiles()) if table_exists(spark, folder) else 0
 
 
 def partly_scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
