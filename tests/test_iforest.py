@@ -80,6 +80,19 @@ def test_walk_equals_plain_descent(table, fitted):
     assert forest.score(list(points.T)) == pytest.approx(expected)
 
 
+def test_a_walk_is_as_long_as_the_deepest_leaf():
+    nodes = [
+        (0, 0, 0, 1.0, 1, 2, 100, 0), (0, 1, None, None, None, None, 90, 1), (0, 2, 1, 5.0, 5, 6, 10, 1),
+        (0, 5, None, None, None, None, 8, 2), (0, 6, None, None, None, None, 2, 2),
+    ]
+    forest = iforest.Forest.from_nodes(nodes, 1, 256)
+    assert forest.depth == 2
+    found = forest.score([np.array([0.0, 2.0, 2.0]), np.array([9.0, 5.0, 6.0])])
+    paths = [1 + average_path(90), 2 + average_path(8), 2 + average_path(2)]
+    assert list(found) == list(np.exp2(-np.array(paths) / average_path(256)))
+    assert iforest.Forest.from_nodes([(0, 0, None, None, None, None, 4, 0)], 1, 4).score([np.zeros(1)]).shape == (1,)
+
+
 def test_same_seed_same_model_for_any_split(spark, table, fitted, tmp_path):
     model, _ = fitted
     again, _ = fit_isolation_forest(table.repartition(7))

@@ -200,7 +200,7 @@ class Forest:
 
     @classmethod
     def from_nodes(cls, nodes: list[tuple], n_trees: int, psi: int) -> Forest:
-        depth = max(1, math.ceil(math.log2(psi)))
+        depth = max([1, *(node[7] for node in nodes)])
         inner = 2**depth - 1
         feature = np.zeros((n_trees, inner), dtype=np.intp)
         threshold = np.full((n_trees, inner), np.inf)
