@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +204,34 @@ def test_range_coder_blocks():
         rangecoder.decode_blocks([bytes(broken)])
 
 
+def test_all_ids_are_those_of_the_library():
+    encode = TextEncoder(rangecoder.TOKENIZER, limit=100)
+    rng = random.Random(4)
+    odd = [c for c in map(chr, range(0x3100)) if c.isspace() or not c.isalnum()] + list("aZ09é日ßŕΩя")
+    texts = [*ODD, None, *[pattern.replace("{}", c) for c in odd for pattern in ("a{} b", "é{}\nY.", "b {}c", "a'{}s {}", "1{}2")]]
+    some = [" ", " ", "\n", "'s", ".", "ab", "Cd", "12", "é", "\u00a0", "\u3000", "<|endoftext|>"]
+    texts += ["".join(rng.choices(some, k=rng.randrange(12))) for _ in range(2000)]
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        ids, counts = encode.all_ids(pa.array(part, pa.string()).slice(3))
+        wanted = [encode.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part[3:]]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+    assert len(encode.pieces) <= 100 and len(encode.pieces.old) <= 100
+    assert [len(x) for x in encode.all_ids(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_words_of_a_batch_are_encoded_together(monkeypatch):
+    encode = TextEncoder(rangecoder.TOKENIZER)
+    calls = []
+    monkeypatch.setattr(encode, "encode_piece", lambda piece: calls.append(piece))
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeé", k=6)) for _ in range(3000)]
+    ids, _ = encode.all_ids(pa.array([" ".join(words), "\n".join(words) + "."]))
+    wanted = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in (" ".join(words), "\n".join(words) + ".")]
+    assert ids.tolist() == wanted[0] + wanted[1] and not calls
+
+
 def test_range_coder_packs_better_than_deflate(sf_dir):
     texts = pq.read_table(f"{os.path.dirname(sf_dir)}/sf0.01/documents.parquet").column("text").to_pylist()
     encode = TextEncoder(rangecoder.TOKENIZER)

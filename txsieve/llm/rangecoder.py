@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ STREAMS, LEAST_RUN = 128, 128
 LANES = 48
 #: Ids of a segment, the row of a file; a longer document makes a longer segment.
 SEGMENT = 8 * BLOCK
+#: Bytes of text that are encoded together.
+CHUNK = 2**22
 MAGIC = b"TXRD"
 
 _KIND, _LITERAL = 12, 24  # bits of the probability of a kind, and of an id of order 0
@@ -57,6 +60,7 @@ _CONTEXTS = 32
 #: The decoder looks an id up by these leading bits of its place; where ids share them it searches.
 _LEAD = 14
 _EXACT = 2**_LITERAL - IDS
+_FOLLOWING = np.arange(1, IDS + 1, dtype=np.int32)
 
 
 def _boundaries(steps: int) -> list[int]:
@@ -68,87 +72,81 @@ def _boundaries(steps: int) -> list[int]:
 
 
 class _Model:
-    """Tables of all blocks. ``lanes`` are their runs, of which the first ``n`` are still coded."""
-
-    def __init__(self, block_of_lane: np.ndarray, blocks: int) -> None:
-        self.blocks = blocks
-        self.block = block_of_lane.astype(np.int32)
-        self.base = self.block * np.int32(IDS)
-        self.place = self.block * np.int32(_CONTEXTS)
-        self.counts = np.zeros(blocks * IDS, np.int32)
+    """Tables of all blocks, one behind the other. They learn and freeze block by block, so that those of one stay at hand."""
+
+    def __init__(self, blocks: int) -> None:
+        self.counts = np.zeros((blocks, IDS), np.int32)
         self.first = np.zeros(blocks * IDS, np.int32)  # id * 4 + confidence
         self.second = np.zeros(blocks * IDS, np.int32)
-        self.kinds = np.zeros((blocks * _CONTEXTS, 3), np.int32)
-        self.freeze()
-
-    def freeze(self) -> None:
-        """Intervals of the kinds and of the ids by what was learned so far."""
-        weights = (self.counts * np.int32(_GAIN)).reshape(self.blocks, IDS)
-        weights += _PRIOR
-        ends = np.cumsum(weights, axis=1, dtype=np.int32)
-        scaled = (ends * (_EXACT / ends[:, -1:].astype(np.float64))).astype(np.int32)
-        scaled += np.arange(1, IDS + 1, dtype=np.int32)
+        self.kinds = np.zeros((blocks, _CONTEXTS, 3), np.int32)
+        self.bounds = np.zeros((blocks, _CONTEXTS, 4), np.int64)
         # the end of each id; the ids of a block lie after those of the blocks before
-        scaled += (np.arange(self.blocks, dtype=np.int32) << _LITERAL)[:, None]
-        self.ends = scaled.reshape(-1)
-        every = self.kinds.reshape(self.blocks, _CONTEXTS, 3).sum(axis=1)
-        every = 64 * every // np.maximum(1, every.sum(axis=1, keepdims=True))
-        mixed = 4 * self.kinds + np.repeat(every, _CONTEXTS, axis=0) + [1, 1, 2]
-        upto = np.cumsum(mixed, axis=1)
+        self.ends = np.zeros((blocks, IDS), np.int32)
+        self.lead = np.zeros((blocks << _LEAD) + 1, np.int32)
+        self.lead[-1] = blocks * IDS - 1
+
+    def freeze(self, block: int) -> None:
+        """Intervals of the kinds and of the ids by what the block has learned so far."""
+        ends = self.counts[block] * np.int32(_GAIN)
+        ends += _PRIOR
+        np.cumsum(ends, out=ends)
+        scaled = self.ends[block]
+        scaled[:] = ends * (_EXACT / float(ends[-1]))
+        scaled += _FOLLOWING
+        scaled += np.int32(block << _LITERAL)
+        kinds = self.kinds[block]
+        every = kinds.sum(axis=0)
+        every = 64 * every // max(1, every.sum())
+        upto = np.cumsum(4 * kinds + every + [1, 1, 2], axis=1)
         share = upto * (4093 / upto[:, -1:].astype(np.float64))
-        self.bounds = np.zeros((len(mixed), 4), np.int64)
-        self.bounds[:, 1:] = share.astype(np.int64) + [1, 2, 3]
-        self.bounds = self.bounds.reshape(-1)
-
-    def guesses(self, n: int, previous: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Places and entries of both orders, and the context of the kind, for lanes (first axis)."""
-        shape = (n,) + (1,) * (previous.ndim - 1)
-        base = self.base[:n].reshape(shape)
-        at1 = base + previous
-        at2 = base + ((previous * _MIX2 + earlier * _MIX1 >> 12) & np.int32(IDS - 1))
+        self.bounds[block, :, 1:] = share.astype(np.int64) + [1, 2, 3]
+
+    def starts(self, block: int) -> None:
+        """For the decoder: the first id of each lead of the block."""
+        ends = self.ends[block] - np.int32((block << _LITERAL) + 1)
+        ends >>= np.int32(_LITERAL - _LEAD)
+        before = np.cumsum(np.bincount(ends, minlength=1 << _LEAD))
+        at = block << _LEAD
+        self.lead[at] = block * IDS
+        self.lead[at + 1 : at + (1 << _LEAD)] = before[:-1] + block * IDS
+
+    def guesses(self, base: np.ndarray | int, place: np.ndarray | int, previous: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Places and entries of both orders, and the context of the kind. ``base`` and ``place`` are where a block's tables begin."""
+        at1 = previous + base
+        at2 = previous * _MIX2
+        at2 += earlier * _MIX1
+        at2 >>= 12
+        at2 &= np.int32(IDS - 1)
+        at2 += base
         e1, e2 = self.first.take(at1), self.second.take(at2)
-        agree = (e1 ^ e2) < 4
-        context = self.place[:n].reshape(shape) + ((e2 & 3) << 3) + ((e1 & 3) << 1) + agree
+        context = (e2 & 3) << 3
+        context += (e1 & 3) << 1
+        context += (e1 ^ e2) < 4
+        context += place
         return at1, at2, e1, e2, context
 
-    def interval(self, n: int, ids: np.ndarray, kind: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and width of the ids, of 2 ** (_KIND + _LITERAL)."""
-        at = (context << 2) + kind
-        begin, end = self.bounds.take(at), self.bounds.take(at + 1)
-        width = end - begin
-        start, size = self.literal(n, ids)
-        literal = kind == 2
-        low = (begin << _LITERAL) + np.where(literal, start, 0) * width
-        return low.astype(np.uint64), (np.where(literal, size, 1 << _LITERAL) * width).astype(np.uint64)
-
-    def starts(self) -> None:
-        """For the decoder: the first id of each lead, by block."""
-        above = np.bincount((self.ends - 1 >> np.int32(_LITERAL - _LEAD)) + 1, minlength=(self.blocks << _LEAD) + 1)
-        self.lead = np.minimum(np.cumsum(above), len(self.ends) - 1).astype(np.int32)
-
     def find(self, sought: np.ndarray) -> np.ndarray:
         """The ids, with their blocks, whose intervals hold the places."""
         at = sought >> np.int32(_LITERAL - _LEAD)
-        found = self.lead.take(at)
-        several = np.flatnonzero(found != self.lead.take(at + 1))
-        here = np.searchsorted(self.ends, sought[several], side="right")
-        found[several] = np.minimum(here, len(self.ends) - 1)
+        found, upto = self.lead.take(at), self.lead.take(at + 1)
+        several = np.flatnonzero(found != upto)
+        if len(several):
+            place, here, end = sought[several], found[several], upto[several]
+            ends = self.ends.reshape(-1)
+            for _ in range(int((end - here).max()).bit_length()):
+                middle = (here + end) >> 1
+                behind = ends.take(middle, mode="clip") <= place
+                here = np.where(behind, middle + 1, here)
+                end = np.where(behind, end, middle)
+            found[several] = np.minimum(here, len(ends) - 1)
         return found
 
-    def literal(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shape = (n,) + (1,) * (ids.ndim - 1)
-        at = self.base[:n].reshape(shape) + ids
-        zero = (self.block[:n] << np.int32(_LITERAL)).reshape(shape)
-        start = np.where(ids > 0, self.ends.take(at - 1, mode="wrap"), zero)
-        return (start - zero).astype(np.int64), (self.ends.take(at) - start).astype(np.int64)
-
-    def learn(self, n: int, ids: np.ndarray, previous: np.ndarray, earlier: np.ndarray) -> None:
-        """Learns ``ids`` (lanes x steps) that were coded since the last time."""
-        at1, at2, e1, e2, context = self.guesses(n, previous, earlier)
-        kind = np.where((e2 >> 2) == ids, 0, np.where((e1 >> 2) == ids, 1, 2))
-        seen = np.bincount((context * 3 + kind).reshape(-1), minlength=self.kinds.size)
-        self.kinds += seen.reshape(self.kinds.shape).astype(np.int32)
-        self.counts += np.bincount((self.base[:n, None] + ids).reshape(-1), minlength=len(self.counts)).astype(np.int32)
+    def learn(self, block: int, ids: np.ndarray, guesses: tuple[np.ndarray, ...], kind: np.ndarray) -> None:
+        """Learns ``ids`` (runs x steps) of a block that were coded since the last time, with what was guessed."""
+        at1, at2, e1, e2, context = guesses
+        seen = np.bincount((context * 3 + kind).reshape(-1) - block * _CONTEXTS * 3, minlength=_CONTEXTS * 3)
+        self.kinds[block] += seen.reshape(_CONTEXTS, 3).astype(np.int32)
+        np.add.at(self.counts[block], ids.reshape(-1), np.int32(1))
         for table, at, entry in ((self.first, at1, e1), (self.second, at2, e2)):
             right = (entry >> 2) == ids
             table[at.reshape(-1)] = np.where(
@@ -156,6 +154,11 @@ class _Model:
             ).reshape(-1)
 
 
+def _kind(ids: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> np.ndarray:
+    """0 and 1 for a right guess of order 2 and 1, else 2."""
+    return np.where((e2 >> 2) == ids, 0, np.where((e1 >> 2) == ids, 1, 2)).astype(np.int32)
+
+
 def _shape(n: int) -> tuple[int, int]:
     """Runs of a block of ``n`` ids and the ids of a run."""
     runs = max(1, min(STREAMS, n // LEAST_RUN))
@@ -170,9 +173,30 @@ def _lanes(sizes: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
     return order, np.repeat(np.arange(len(order)), runs), np.repeat(np.array([s[1] for s in shapes], np.int64), runs)
 
 
-def _history(ids: np.ndarray, n: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ids of steps ``a`` to ``b`` of the first ``n`` lanes, and the one and two before; two columns lead."""
-    return ids[:n, a + 2 : b + 2], ids[:n, a + 1 : b + 1], ids[:n, a:b]
+def _history(ids: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of steps ``a`` to ``b``, and the one and two before; two columns lead."""
+    return ids[:, a + 2 : b + 2], ids[:, a + 1 : b + 1], ids[:, a:b]
+
+
+def _intervals(ids: np.ndarray, begin: np.ndarray, width: np.ndarray) -> None:
+    """Puts begin and width of the ids of a block (runs x steps), of 2 ** (_KIND + _LITERAL), into arrays by step and run."""
+    model = _Model(1)
+    marks = _boundaries(ids.shape[1] - 2)
+    for a, b in zip(marks, marks[1:], strict=False):
+        model.freeze(0)
+        x, previous, earlier = _history(ids, a, b)
+        guesses = model.guesses(np.int32(0), np.int32(0), previous, earlier)
+        kind = _kind(x, guesses[2], guesses[3])
+        at = (guesses[4] << 2) + kind
+        bounds, ends = model.bounds.reshape(-1), model.ends.reshape(-1)
+        low = bounds.take(at)
+        share = bounds.take(at + 1) - low
+        start = np.where(x > 0, ends.take(x - 1, mode="wrap"), 0)
+        literal = kind == 2
+        begin[a:b] = ((low << _LITERAL) + np.where(literal, start, 0) * share).T
+        width[a:b] = (np.where(literal, ends.take(x) - start, 1 << _LITERAL) * share).T
+        if b < marks[-1]:
+            model.learn(0, x, guesses, kind)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -181,55 +205,45 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         return []
     order, block, steps = _lanes([len(b) for b in blocks])
     lanes, most = len(block), int(steps[0])
-    ids = np.zeros((lanes, most + 2), np.int32)
+    begin, width = np.empty((most, lanes), np.uint64), np.empty((most, lanes), np.uint64)
     at = 0
     for i in order:
         runs, length = _shape(len(blocks[i]))
         padded = np.zeros(runs * length, np.int32)
         padded[: len(blocks[i])] = blocks[i]
-        ids[at : at + runs, 2 : length + 2] = padded.reshape(runs, length)
+        ids = np.zeros((runs, length + 2), np.int32)
+        ids[:, 2:] = padded.reshape(runs, length)
+        _intervals(ids, begin[:, at : at + runs], width[:, at : at + runs])
         at += runs
-    model = _Model(block, len(order))
     low = np.zeros(lanes, np.uint64)
     span = np.full(lanes, 2**64 - 1, np.uint64)
-    words = np.zeros((lanes, 4 * most + 4), np.uint16)
-    written = np.zeros(lanes, np.int64)
-    marks = _boundaries(most)
-    for a, b in zip(marks, marks[1:], strict=False):
-        for c in range(a, b, 128):  # bounds the arrays
-            d = min(b, c + 128)
-            n = int(np.searchsorted(-steps, -c, side="left"))
-            x, previous, earlier = _history(ids, n, c, d)
-            _, _, e1, e2, context = model.guesses(n, previous, earlier)
-            kind = np.where((e2 >> 2) == x, 0, np.where((e1 >> 2) == x, 1, 2))
-            begin, width = model.interval(n, x, kind, context)
-            begin, width = np.ascontiguousarray(begin.T), np.ascontiguousarray(width.T)
-            for t in range(d - c):
-                n = int(np.searchsorted(-steps, -(c + t), side="left"))
-                unit = span[:n] >> _TOTAL
-                low[:n] += begin[t, :n] * unit
-                unit *= width[t, :n]
-                span[:n] = unit
-                out = np.flatnonzero(unit < _LEAST)
-                while len(out):
-                    value, size = low[out], span[out]
-                    words[out, written[out]] = value >> _TOP
-                    written[out] += 1
-                    size = np.minimum(size, _LEAST - (value & _REST)) << _SHIFT
-                    low[out], span[out] = value << _SHIFT, size
-                    out = out[size < _LEAST]
-        if b < most:
-            n = int(np.searchsorted(-steps, -b, side="left"))
-            model.learn(n, *_history(ids, n, a, b))
-            model.freeze()
-    words[np.arange(lanes), written] = (low + _REST) >> _TOP
-    written += 1
+    # one word of each run after the other
+    words = np.zeros((4 * most + 4) * lanes, np.uint16)
+    place = np.arange(lanes)
+    for t in range(most):
+        n = int(np.searchsorted(-steps, -t, side="left"))
+        unit = span[:n] >> _TOTAL
+        low[:n] += begin[t, :n] * unit
+        unit *= width[t, :n]
+        span[:n] = unit
+        out = np.flatnonzero(unit < _LEAST)
+        while len(out):
+            value, size = low[out], span[out]
+            at = place[out]
+            words[at] = value >> _TOP
+            place[out] = at + lanes
+            size = np.minimum(size, _LEAST - (value & _REST)) << _SHIFT
+            low[out], span[out] = value << _SHIFT, size
+            out = out[size < _LEAST]
+    words[place] = (low + _REST) >> _TOP
+    written = place // lanes + 1
+    by_run = np.ascontiguousarray(words.reshape(-1, lanes)[: int(written.max())].T).astype("<u2", copy=False)
     coded: list[bytes] = [b""] * len(order)
     at = 0
     for i in order:
         runs, _ = _shape(len(blocks[i]))
         sizes = written[at : at + runs]
-        data = b"".join([words[at + k, : sizes[k]].astype("<u2").tobytes() for k in range(runs)])
+        data = b"".join([by_run[at + k, : sizes[k]].tobytes() for k in range(runs)])
         checksum = zlib.crc32(blocks[i].astype("<u4").tobytes())
         coded[i] = struct.pack("<III", len(blocks[i]), len(data) // 2, checksum) + sizes.astype("<u2").tobytes() + data
         at += runs
@@ -246,75 +260,91 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     sizes = [np.frombuffer(coded[i], "<u2", _shape(heads[i][0])[0], 12).astype(np.int64) for i in order]
     # all words in a row, each run behind the other; past its end a run reads what is there, which decides nothing
     data = [np.frombuffer(coded[i], "<u2", heads[i][1], 12 + 2 * len(s)) for i, s in zip(order, sizes, strict=True)]
-    words = np.concatenate([*data, np.zeros(8, "<u2")]).astype(np.uint64)
+    words = np.concatenate([*data, np.zeros(8, "<u2")])
     size = np.concatenate(sizes)
     if size.sum() + 8 != len(words):
         raise ValueError("a block of token ids is damaged")
     last = np.cumsum(size)
     read = last - size
-    ids = np.zeros((lanes, most + 2), np.int32)
-    model = _Model(block, len(order))
-    low = np.zeros(lanes, np.uint64)
+    ids = np.zeros((most + 2, lanes), np.int32)
+    model = _Model(len(order))
+    bounds, ends = model.bounds.reshape(-1), model.ends.reshape(-1)
+    base, place = (block * IDS).astype(np.int32), (block * _CONTEXTS).astype(np.int32)
+    zeros = (block << _LITERAL).astype(np.int32)
     span = np.full(lanes, 2**64 - 1, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for k in range(4):
-        code = (code << _SHIFT) | np.where(read < last, words[np.minimum(read, len(words) - 1)], np.uint64(0))
+    low = np.zeros(lanes, np.uint64)
+    ahead = np.zeros(lanes, np.uint64)  # how far the words lie above ``low``
+    for _ in range(4):
+        ahead = (ahead << _SHIFT) | np.where(read < last, words.take(read, mode="clip"), 0).astype(np.uint64)
         read += 1
     marks = _boundaries(most)
-    previous = earlier = np.zeros(lanes, np.int32)
+    firsts = np.searchsorted(block, np.arange(len(order) + 1))
     for a, b in zip(marks, marks[1:], strict=False):
-        model.starts()
+        for k in range(len(order)):
+            runs = slice(firsts[k], firsts[k + 1])
+            if a and steps[runs.start] <= a:
+                break
+            if a:
+                before = marks[marks.index(a) - 1]
+                x, previous, earlier = _history(np.ascontiguousarray(ids[before : a + 2, runs].T), 0, a - before)
+                guesses = model.guesses(np.int32(k * IDS), np.int32(k * _CONTEXTS), previous, earlier)
+                model.learn(k, x, guesses, _kind(x, guesses[2], guesses[3]))
+            model.freeze(k)
+            model.starts(k)
         for t in range(a, b):
             n = int(np.searchsorted(-steps, -t, side="left"))
-            _, _, e1, e2, context = model.guesses(n, previous[:n], earlier[:n])
+            _, _, e1, e2, at = model.guesses(base[:n], place[:n], ids[t + 1, :n], ids[t, :n])
             unit = span[:n] >> _TOTAL
-            value = ((code[:n] - low[:n]) // unit).astype(np.int64)
-            at = context << 2
+            value = (ahead[:n] // unit).view(np.int64)
+            at <<= 2
             share = value >> _LITERAL
-            kind = (share >= model.bounds.take(at + 1)).astype(np.int32) + (share >= model.bounds.take(at + 2))
-            at += kind
-            begin = model.bounds.take(at)
-            width = model.bounds.take(at + 1) - begin
-            x = np.where(kind == 0, e2, e1) >> 2
-            start = begin << _LITERAL
-            part = width << _LITERAL
-            open_ = np.flatnonzero(kind == 2)
+            second = share >= bounds.take(at + 1)
+            open_ = share >= bounds.take(at + 2)
+            at += second
+            at += open_
+            start = bounds.take(at)
+            part = bounds.take(at + 1) - start
+            start <<= _LITERAL
+            x = np.where(second, e1, e2) >> 2
+            open_ = np.flatnonzero(open_)
             if len(open_):
-                w, zero = width[open_], model.block[open_] << np.int32(_LITERAL)
+                w, zero, begin = part[open_], zeros[open_], start[open_]
                 # only damaged words lead beyond the last place
-                sought = np.clip((value[open_] - start[open_]) // w, 0, 2**_LITERAL - 1).astype(np.int32) + zero
+                sought = np.clip((value[open_] - begin) // w, 0, 2**_LITERAL - 1).astype(np.int32) + zero
                 found = model.find(sought)
-                x[open_] = found & np.int32(IDS - 1)
-                begins = np.where(x[open_] > 0, model.ends.take(found - 1), zero)
-                start[open_] += (begins - zero) * w
-                part[open_] = (model.ends.take(found) - begins) * w
-            low[:n] += start.astype(np.uint64) * unit
-            unit *= part.astype(np.uint64)
+                here = found & np.int32(IDS - 1)
+                x[open_] = here
+                begins = np.where(here > 0, ends.take(found - 1, mode="clip"), zero)
+                part <<= _LITERAL
+                start[open_] = begin + (begins - zero) * w
+                part[open_] = (ends.take(found) - begins) * w
+            else:
+                part <<= _LITERAL
+            moved = start.view(np.uint64) * unit
+            low[:n] += moved
+            ahead[:n] -= moved
+            unit *= part.view(np.uint64)
             span[:n] = unit
             out = np.flatnonzero(unit < _LEAST)
             while len(out):
-                begins, size = low[out], span[out]
-                size = np.minimum(size, _LEAST - (begins & _REST)) << _SHIFT
+                begins = low[out]
+                size = np.minimum(span[out], _LEAST - (begins & _REST)) << _SHIFT
                 low[out], span[out] = begins << _SHIFT, size
                 r = read[out]
-                code[out] = (code[out] << _SHIFT) | np.where(r < last[out], words[np.minimum(r, len(words) - 1)], np.uint64(0))
+                # past its last word a run reads zeros
+                word = words.take(r, mode="clip")
+                word[r >= last[out]] = 0
+                ahead[out] = (ahead[out] << _SHIFT) | word
                 read[out] = r + 1
                 out = out[size < _LEAST]
-            ids[:n, t + 2] = x
-            earlier, previous = previous, x
-        if b < most:
-            n = int(np.searchsorted(-steps, -b, side="left"))
-            model.learn(n, *_history(ids, n, a, b))
-            model.freeze()
+            ids[t + 2, :n] = x
     decoded: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(order)
-    at = 0
-    for i in order:
-        runs, length = _shape(heads[i][0])
-        found = ids[at : at + runs, 2 : length + 2].reshape(-1)[: heads[i][0]].astype("<u4")
+    for k, i in enumerate(order):
+        length = _shape(heads[i][0])[1]
+        found = ids[2 : length + 2, firsts[k] : firsts[k + 1]].T.reshape(-1)[: heads[i][0]].astype("<u4")
         if zlib.crc32(found.tobytes()) != heads[i][2]:
             raise ValueError("a block of token ids is damaged")
         decoded[i] = found
-        at += runs
     return decoded
 
 
@@ -352,17 +382,16 @@ def write_ids(docs: DataFrame, path: str) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(TOKENIZER)
-        end = END.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         segments: list[tuple[list, list[int], int, np.ndarray]] = []
         names: list = []
         counts: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         tokens, before, waiting = 0, 0, 0
 
         def close() -> None:
             nonlocal names, counts, held, tokens, before, waiting
-            segments.append((names, counts, before, np.frombuffer(b"".join(held), "<u4")))
+            segments.append((names, counts, before, np.concatenate(held)))
             before += tokens
             waiting += -(-tokens // BLOCK)
             names, counts, held, tokens = [], [], [], 0
@@ -392,16 +421,26 @@ def write_ids(docs: DataFrame, path: str) -> None:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                packed = encode.packed(text.as_py() or "") + end
-                names.append(doc_id.as_py())
-                counts.append(len(packed) // 4)
-                held.append(packed)
-                tokens += counts[-1]
-                if tokens >= SEGMENT:
-                    close()
-                if waiting >= LANES:
-                    yield from coded()
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            upto = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64))
+            first = 0
+            while first < len(texts):
+                done = int(upto[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(upto, done + CHUNK, side="right")))
+                ids, sizes = encode.all_ids(texts[first:last])
+                ids = np.insert(ids, np.cumsum(sizes), END)
+                at = 0
+                for doc_id, size in zip(doc_ids[first:last], (sizes + 1).tolist(), strict=True):
+                    names.append(doc_id)
+                    counts.append(size)
+                    held.append(ids[at : at + size])
+                    at += size
+                    tokens += size
+                    if tokens >= SEGMENT:
+                        close()
+                    if waiting >= LANES:
+                        yield from coded()
+                first = last
         if names:
             close()
         if segments:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import struct
 import sys
 from array import array
@@ -10,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 #: Pieces in each of the two generations that a worker remembers, about 200 bytes each, and the longest piece worth it.
@@ -21,6 +23,59 @@ _MARKS = '.,;:!?%&#*$|<>()[]{}"/+=@^~-'
 _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["\0"]
 _DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
+#: Kinds of bytes: space or line end, control, letter, digit, apostrophe, mark, other UTF-8, other UTF-8 that may end white space.
+_GAP, _CONTROL, _LETTER, _DIGIT, _QUOTE, _MARK, _HIGH, _HIGH_GAP = range(8)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _CONTROL, np.uint8)
+    kinds[33:127], kinds[128:] = _MARK, _HIGH
+    for low, high, kind in (("A", "Z", _LETTER), ("a", "z", _LETTER), ("0", "9", _DIGIT), ("'", "'", _QUOTE)):
+        kinds[ord(low) : ord(high) + 1] = kind
+    kinds[[ord(" "), ord("\n")]] = _GAP
+    kinds[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = _HIGH_GAP
+    return kinds
+
+
+def _word_ends() -> np.ndarray:
+    """By 8 * kind of a byte + kind of the next: whether no token of a byte-level tokenizer can hold both.
+
+    Its words are letters, digits or marks, perhaps behind one space, or white space. An
+    apostrophe takes the letters behind it along.
+    """
+    ends = np.zeros((8, 8), bool)
+    ends[_LETTER, [_GAP, _CONTROL, _DIGIT, _QUOTE, _MARK]] = True
+    ends[_DIGIT, [_GAP, _LETTER, _MARK]] = True
+    ends[_MARK, [_GAP, _LETTER, _DIGIT]] = True
+    ends[[_QUOTE, _HIGH], _GAP] = True
+    return ends.reshape(-1)
+
+
+_KINDS, _WORD_ENDS = _kinds(), _word_ends()
+
+
+def word_starts(raw: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8: whether a token surely starts there, whatever lies before and behind."""
+    kinds = _KINDS[raw]
+    starts = np.zeros(len(raw), bool)
+    pairs = (kinds[:-1] << 3) + kinds[1:]
+    starts[1:] = _WORD_ENDS[pairs]
+    # behind a character that ends like white space, but has two bytes other than C2 .. or three from E4 on
+    at = np.flatnonzero(pairs == 8 * _HIGH_GAP + _GAP) + 1
+    at = at[at >= 3]
+    two, three = raw[at - 2], raw[at - 3]
+    starts[at[((two > 0xC2) & (two < 0xE0)) | ((three >= 0xE4) & (three < 0xF0))]] = True
+    # behind a Latin letter of two bytes, U+00C0 to U+017F
+    at = np.flatnonzero((pairs >> 3 >= _HIGH) & ((pairs & 7) >= _DIGIT) & ((pairs & 7) <= _MARK)) + 1
+    at = at[at >= 2]
+    two, one = raw[at - 2], raw[at - 1]
+    starts[at[(two >= 0xC3) & (two <= 0xC5) & ~((two == 0xC3) & ((one == 0x97) | (one == 0xB7)))]] = True
+    # behind a line end that stands alone
+    at = np.flatnonzero(raw[:-1] == 10)
+    at = at[starts[at] & (kinds[at + 1] >= _LETTER) & (kinds[at + 1] <= _MARK)]
+    starts[at + 1] = True
+    return starts
+
 
 def pack_ids(ids: list[int]) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else struct.pack(f"<{len(ids)}I", *ids)
@@ -51,6 +106,23 @@ class Remembered(dict):
             self[key] = value
         return value
 
+    def many(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Values of different keys; those of all new keys are made together."""
+        values = list(map(self.get, keys))
+        absent = [k for k, value in enumerate(values) if value is None]
+        wanted = [keys[k] for k in absent]
+        found = list(map(self.old.get, wanted))
+        made = iter(make([key for key, value in zip(wanted, found, strict=True) if value is None]))
+        found = [next(made) if value is None else value for value in found]
+        for k, value in zip(absent, found, strict=True):
+            values[k] = value
+        short = {key: value for key, value in zip(wanted, found, strict=True) if len(key) <= LONGEST}
+        if len(self) + len(short) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(itertools.islice(short.items(), self.limit))
+        return values
+
 
 class TextEncoder:
     """Ids of a text as the tokenizer file gives them, without added special tokens.
@@ -76,6 +148,11 @@ class TextEncoder:
         self.lower = self.tokenizer.normalizer is not None
         self.pieces, self.marks = Remembered(self.encode_piece, limit), Remembered(self._word, limit)
         self.letters = self._letters()
+        if not self.lower:
+            self.line_end = self.tokenizer.token_to_id(self.letters[10])
+            vocabulary = self.tokenizer.get_vocab()
+            self.led_by_space = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.led_by_space[[i for token, i in vocabulary.items() if token.startswith(self.letters[32])]] = True
 
     @staticmethod
     def _letters() -> list[str]:
@@ -126,6 +203,94 @@ class TextEncoder:
         parts.append(held)
         return b"".join([self.pieces[x] for x in parts if x])
 
+    def _spelled_out(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of words of Latin letters, made in one text. ``between`` is what starts every word, or else divides them."""
+        if not words:
+            return []
+        joined = "".join(words) if between == " " else between.join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        if between == " ":
+            at = np.flatnonzero(self.led_by_space[ids])
+            begins, ends = at, np.append(at[1:], len(ids))
+        else:
+            at = np.flatnonzero(ids == self.line_end)
+            begins, ends = np.append(0, at + 1), np.append(at, len(ids))
+        if len(begins) != len(words):
+            raise ValueError("words of letters hold tokens that start with a space or a line end")
+        packed = ids.tobytes()
+        return [packed[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that stand alone."""
+        made: list[bytes] = [b""] * len(pieces)
+        led, bare = [], []
+        for k, piece in enumerate(pieces):
+            space = piece[0] == " "
+            if not (piece[1:] if space else piece).isalpha() or max(piece) >= "\u0250":
+                made[k] = pack_ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+            elif space:
+                led.append(k)
+            else:
+                bare.append(k)
+        for at, between in ((led, " "), (bare, "\n")):
+            for k, ids in zip(at, self._spelled_out([pieces[k] for k in at], between), strict=True):
+                made[k] = ids
+        return made
+
+    def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` (NULL: none) in a row, and how many each text has, as ``packed`` gives them.
+
+        For byte-level tokenizers without a normalizer. The texts are cut where words
+        end, and each different piece is looked up once.
+        """
+        texts = texts.fill_null("").cast(pa.large_string())
+        if self.lower:
+            whole = [self.packed(text) for text in texts.to_pylist()]
+            return np.frombuffer(b"".join(whole), "<u4"), np.array([len(w) // 4 for w in whole], np.int64)
+        odd: dict[int, np.ndarray] = {}
+        if self.special and any("<" in text for text in texts.to_pylist()):
+            listed = texts.to_pylist()
+            for k, text in enumerate(listed):
+                if any(s in text.lower() for s in self.special):
+                    odd[k], listed[k] = self.ids(text), ""
+            if odd:
+                texts = pa.array(listed, pa.large_string())
+        ids, counts = self._plain_ids(texts)
+        if odd:
+            parts, at = [], 0
+            for k, upto in enumerate(np.cumsum(counts).tolist()):
+                parts.append(odd.get(k, ids[at:upto]))
+                at = upto
+            counts = np.array([len(p) for p in parts], np.int64)
+            ids = np.concatenate(parts)
+        return ids, counts
+
+    def _plain_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``all_ids`` of texts without special tokens."""
+        if len(texts) == 0:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        if len(raw) == 0:
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        starts = word_starts(raw)
+        starts[bounds[bounds < len(raw)]] = True
+        places = np.flatnonzero(starts)
+        ends = pa.py_buffer(np.append(places, len(raw)))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(places), [None, ends, pa.py_buffer(raw)]).dictionary_encode()
+        known = self.pieces.many(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), self.encode_pieces)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        pool = np.frombuffer(b"".join(known), "<u4")
+        which = pieces.indices.to_numpy()
+        counts = sizes[which]
+        upto = np.append(0, np.cumsum(counts))
+        # where a piece lies in the pool, less where it comes to lie
+        shift = (np.cumsum(sizes) - sizes)[which] - upto[:-1]
+        ids = pool[np.repeat(shift, counts) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.searchsorted(places, bounds)])
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u4")
 
