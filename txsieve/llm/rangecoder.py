@@ -42,6 +42,8 @@ STREAMS, LEAST_RUN = 128, 128
 LANES = 48
 #: Ids of a segment, the row of a file; a longer document makes a longer segment.
 SEGMENT = 8 * BLOCK
+#: Words in each of the two generations that a worker remembers.
+WORDS = 500_000
 #: Bytes of text that are encoded together.
 CHUNK = 2**22
 MAGIC = b"TXRD"
@@ -71,6 +73,19 @@ def _boundaries(steps: int) -> list[int]:
     return marks
 
 
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    """The end of each id, of 2 ** _LITERAL."""
+    ends = counts * np.int32(_GAIN)
+    ends += _PRIOR
+    np.cumsum(ends, out=ends)
+    scaled = (ends * (_EXACT / float(ends[-1]))).astype(np.int32)
+    scaled += _FOLLOWING
+    return scaled
+
+
+_FRESH = _scaled(np.zeros(IDS, np.int32))
+
+
 class _Model:
     """Tables of all blocks, one behind the other. They learn and freeze block by block, so that those of one stay at hand."""
 
@@ -85,15 +100,9 @@ class _Model:
         self.lead = np.zeros((blocks << _LEAD) + 1, np.int32)
         self.lead[-1] = blocks * IDS - 1
 
-    def freeze(self, block: int) -> None:
-        """Intervals of the kinds and of the ids by what the block has learned so far."""
-        ends = self.counts[block] * np.int32(_GAIN)
-        ends += _PRIOR
-        np.cumsum(ends, out=ends)
-        scaled = self.ends[block]
-        scaled[:] = ends * (_EXACT / float(ends[-1]))
-        scaled += _FOLLOWING
-        scaled += np.int32(block << _LITERAL)
+    def freeze(self, block: int, fresh: np.ndarray | None = None) -> None:
+        """Intervals of the kinds and of the ids by what the block has learned so far. ``fresh`` are the ends if that is nothing."""
+        np.add(_scaled(self.counts[block]) if fresh is None else fresh, np.int32(block << _LITERAL), out=self.ends[block])
         kinds = self.kinds[block]
         every = kinds.sum(axis=0)
         every = 64 * every // max(1, every.sum())
@@ -183,7 +192,7 @@ def _intervals(ids: np.ndarray, begin: np.ndarray, width: np.ndarray) -> None:
     model = _Model(1)
     marks = _boundaries(ids.shape[1] - 2)
     for a, b in zip(marks, marks[1:], strict=False):
-        model.freeze(0)
+        model.freeze(0, None if a else _FRESH)
         x, previous, earlier = _history(ids, a, b)
         guesses = model.guesses(np.int32(0), np.int32(0), previous, earlier)
         kind = _kind(x, guesses[2], guesses[3])
@@ -289,7 +298,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
                 x, previous, earlier = _history(np.ascontiguousarray(ids[before : a + 2, runs].T), 0, a - before)
                 guesses = model.guesses(np.int32(k * IDS), np.int32(k * _CONTEXTS), previous, earlier)
                 model.learn(k, x, guesses, _kind(x, guesses[2], guesses[3]))
-            model.freeze(k)
+            model.freeze(k, None if a else _FRESH)
             model.starts(k)
         for t in range(a, b):
             n = int(np.searchsorted(-steps, -t, side="left"))
@@ -310,7 +319,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
             if len(open_):
                 w, zero, begin = part[open_], zeros[open_], start[open_]
                 # only damaged words lead beyond the last place
-                sought = np.clip((value[open_] - begin) // w, 0, 2**_LITERAL - 1).astype(np.int32) + zero
+                sought = np.minimum((value[open_] - begin) / w, 2**_LITERAL - 1).astype(np.int32) + zero
                 found = model.find(sought)
                 here = found & np.int32(IDS - 1)
                 x[open_] = here
@@ -381,7 +390,7 @@ def write_ids(docs: DataFrame, path: str) -> None:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(TOKENIZER)
+        encode = encoder(TOKENIZER, limit=WORDS)
         part = TaskContext.get().partitionId()
         segments: list[tuple[list, list[int], int, np.ndarray]] = []
         names: list = []

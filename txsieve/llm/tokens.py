@@ -163,11 +163,7 @@ class TextEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of one word, or of marks in a row."""
-        if word.isascii():  # printable letters stand for themselves
-            spelled = word.replace(" ", self.letters[32])
-        else:
-            spelled = "".join([self.letters[b] for b in word.encode()])
-        return pack_ids([t.id for t in self.model.tokenize(spelled)])
+        return pack_ids([t.id for t in self.model.tokenize(self._spelled(word))])
 
     def encode_piece(self, piece: str) -> bytes:
         space = piece[:1] == " "
@@ -203,20 +199,32 @@ class TextEncoder:
         parts.append(held)
         return b"".join([self.pieces[x] for x in parts if x])
 
-    def _spelled_out(self, words: list[str], between: str) -> list[bytes]:
-        """Ids of words of Latin letters, made in one text. ``between`` is what starts every word, or else divides them."""
-        if not words:
-            return []
-        joined = "".join(words) if between == " " else between.join(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        if between == " ":
-            at = np.flatnonzero(self.led_by_space[ids])
-            begins, ends = at, np.append(at[1:], len(ids))
+    def _spelled(self, word: str) -> str:
+        """``word`` in the characters of the vocabulary."""
+        if word.isascii():  # printable letters stand for themselves
+            return word.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+        return "".join([self.letters[b] for b in word.encode()])
+
+    def _together(self, words: list[str], led: bool) -> list[bytes]:
+        """Ids of words of Latin letters, ``led`` by a space or not, that the model takes several at a time.
+
+        The space of each word, or a line end behind it, divides them. If a token of its own
+        starts at each of those, no token crosses from word to word, and each word has the ids it has alone.
+        """
+        found: list[int] = []
+        for at in range(0, len(words), 8):
+            several = words[at : at + 8]
+            joined = "".join(several) if led else "\n".join(several) + "\n"
+            found += [t.id for t in self.model.tokenize(self._spelled(joined))]
+        ids = np.array(found, "<u4")
+        if led:
+            begins = np.flatnonzero(self.led_by_space[ids])
+            ends = np.append(begins[1:], len(ids))
         else:
-            at = np.flatnonzero(ids == self.line_end)
-            begins, ends = np.append(0, at + 1), np.append(at, len(ids))
-        if len(begins) != len(words):
-            raise ValueError("words of letters hold tokens that start with a space or a line end")
+            ends = np.flatnonzero(ids == self.line_end)
+            begins = np.append(0, ends[:-1] + 1)
+        if len(ends) != len(words):
+            return [self._word(word) for word in words]
         packed = ids.tobytes()
         return [packed[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
 
@@ -232,9 +240,10 @@ class TextEncoder:
                 led.append(k)
             else:
                 bare.append(k)
-        for at, between in ((led, " "), (bare, "\n")):
-            for k, ids in zip(at, self._spelled_out([pieces[k] for k in at], between), strict=True):
-                made[k] = ids
+        for at in (led, bare):
+            if at:
+                for k, ids in zip(at, self._together([pieces[k] for k in at], at is led), strict=True):
+                    made[k] = ids
         return made
 
     def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -296,6 +305,6 @@ class TextEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(name: str, special: bool = True) -> TextEncoder:
+def encoder(name: str, special: bool = True, limit: int = CACHE) -> TextEncoder:
     """The encoder of this worker process, kept from task to task."""
-    return TextEncoder(name, special=special)
+    return TextEncoder(name, limit, special)
